@@ -1,0 +1,5 @@
+"""Every job of this library is a batch job.
+
+Late or corrected input is handled by keyed upserts (``operators.joins.upsert``) and by
+full rebuilds with an overwriting sink, so there is no stream operator here.
+"""
