@@ -37,7 +37,7 @@ class Rule:
             raise ValueError("a text rule needs a description column")
         chain = None
         for fragment, code in self.by_text:
-            chain = (chain or F).when(text.contains(fragment), F.lit(code))
+            chain = (F if chain is None else chain).when(text.contains(fragment), F.lit(code))
         return chain
 
 
@@ -45,7 +45,7 @@ def classify(name: Column, rules: Sequence[Rule], text: Column | None = None, de
     """First rule that matches ``name`` decides; otherwise ``default`` (null unless given)."""
     chain = None
     for rule in rules:
-        chain = (chain or F).when(rule.condition(name), rule.result(text))
+        chain = (F if chain is None else chain).when(rule.condition(name), rule.result(text))
     fallback = default if isinstance(default, Column) else F.lit(default)
     return chain.otherwise(fallback)
 
@@ -65,5 +65,5 @@ def counter(code: Column, increments: Mapping[str | None, int], default: int = 0
     chain = None
     for key, amount in increments.items():
         test = code.isNull() if key is None else code == F.lit(key)
-        chain = (chain or F).when(test, F.lit(amount))
+        chain = (F if chain is None else chain).when(test, F.lit(amount))
     return (chain.otherwise(F.lit(default)) if chain is not None else F.lit(default)).cast("bigint")

@@ -25,7 +25,7 @@ def magnitude(number: Column) -> Column:
     for power, unit in enumerate(("", "k", "M", "B", "T")):
         scale = 1000.0**power
         shown = F.format_string("%.3f" + unit, value / F.lit(scale))
-        chain = (chain or F).when(value < F.lit(scale * 1000.0), shown)
+        chain = (F if chain is None else chain).when(value < F.lit(scale * 1000.0), shown)
     return chain
 
 

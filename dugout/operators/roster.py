@@ -42,7 +42,7 @@ def search_space(candidates: DataFrame, slots: Sequence[str]) -> DataFrame:
             ways = (ways * (n - F.lit(i))).cast("decimal(38,0)")
             divisor *= i + 1
         ways = (ways / F.lit(divisor)).cast("bigint")
-        choices = (choices or F).when(F.col("position") == position, ways)
+        choices = (F if choices is None else choices).when(F.col("position") == position, ways)
     return (
         candidates.filter(F.col("position").isin(*need))
         .groupBy("position")

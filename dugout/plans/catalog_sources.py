@@ -168,11 +168,12 @@ def empty_then_upsert(t):
 @query(
     """
     SELECT c_nationkey, count(*) AS n_missing FROM customer
-    WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) GROUP BY c_nationkey
+    WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01') GROUP BY c_nationkey
     """
 )
 def missing_inputs(t):
-    absent = missing_keys(t.customer, t.orders.withColumnRenamed("o_custkey", "c_custkey"), ["c_custkey"])
+    recent = t.orders.filter(F.col("o_orderdate") >= F.lit("2001-01-01").cast("timestamp_ntz"))
+    absent = missing_keys(t.customer, recent.withColumnRenamed("o_custkey", "c_custkey"), ["c_custkey"])
     return absent.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n_missing"))
 
 
