@@ -290,14 +290,14 @@ def multi_date_parse(t):
     SELECT o_orderkey, o_orderpriority AS decoded,
            CASE WHEN v < 1e3 THEN printf('%.3f', v) WHEN v < 1e6 THEN printf('%.3fk', v / 1e3)
                 WHEN v < 1e9 THEN printf('%.3fM', v / 1e6) END AS shown
-    FROM (SELECT *, (o_totalprice * (CASE WHEN o_orderkey % 3 = 0 THEN 0.0009765625 WHEN o_orderkey % 3 = 1 THEN 1 ELSE 1024 END)::DOUBLE) AS v FROM orders)
+    FROM (SELECT *, ((o_totalprice + 0.001::DOUBLE) * (CASE WHEN o_orderkey % 3 = 0 THEN 0.0009765625 WHEN o_orderkey % 3 = 1 THEN 1 ELSE 1024 END)::DOUBLE) AS v FROM orders)
     """
 )
 def text_utils(t):
     factor = F.when(F.col("o_orderkey") % 3 == 0, 0.0009765625).when(F.col("o_orderkey") % 3 == 1, 1.0).otherwise(1024.0)
     return t.orders.select(
         "o_orderkey", text.decode_base64(F.base64(F.encode("o_orderpriority", "UTF-8"))).alias("decoded"),
-        text.magnitude(F.col("o_totalprice") * factor).alias("shown"),
+        text.magnitude((F.col("o_totalprice") + 0.001) * factor).alias("shown"),
     )
 
 
