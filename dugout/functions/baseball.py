@@ -51,7 +51,9 @@ COUNTERS = {
 }
 KNOWN_BATTING_CODES = ("SO", "O", "H", "W", "HR", "HBP", "SB", "2B", "3B", "R", "SAC", "FC", "E", "BALK")
 RUN_BATTED_IN = {"HR": 1}
-SCORING_PATTERN = r"[\w ]+ scores\."
+# counts the sentences "<words> scores."; one character before " scores." is enough to tell one, and
+# unlike a repeated class it takes linear time on long texts
+SCORING_PATTERN = r"[\w ] scores\."
 
 # --- fixed values: score weights ------------------------------------------------------------------
 BATTING_WEIGHTS = {

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import baseball as rules
 from ..functions.score import scaled
 from ..functions.text import count_matches
 from ..operators.rollup import batting_rollup
@@ -210,8 +211,8 @@ def forecast_day_sums(t):
 def pattern_count(t):
     return t.documents.groupBy("source").agg(
         F.count(F.lit(1)).alias("n_docs"),
-        F.sum(count_matches(F.col("text"), r"[A-Za-z0-9_ ]+ [a-z]+\.")).alias("n_matches"),
-        F.sum(count_matches(F.col("text"), r"[\w ]+ scores\.")).alias("n_scores"),
+        F.sum(count_matches(F.col("text"), r"[A-Za-z0-9_ ] [a-z]+\.")).alias("n_matches"),
+        F.sum(count_matches(F.col("text"), rules.SCORING_PATTERN)).alias("n_scores"),
     )
 
 
