@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialise
 from .skew import MIN_ROWS, SHARE, number_rows
 
 UNSEEN = -1
@@ -22,8 +23,9 @@ def fit_codes(
 ) -> DataFrame:
     """Dictionary rows ``(column, value, code)`` for all columns, from one scan.
 
-    Each row unpivots into (column, value) pairs that are de-duplicated before the shuffle.  Numbers
-    sort as numbers, text as text.
+    Each row unpivots into (column, value) pairs that are de-duplicated before the shuffle.  The distinct
+    pairs are stored before they are numbered, so the table itself is read once.  Numbers sort as
+    numbers, text as text.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     pairs = []
@@ -32,7 +34,7 @@ def fit_codes(
         pairs.append(
             F.struct(F.lit(c).alias("column"), number.alias("as_number"), F.col(c).cast("string").alias("value"))
         )
-    distinct = df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").distinct()
+    distinct = materialise(df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").distinct(), "values")
     numbered = number_rows(distinct, ["column"], ["as_number", "value"], "__rn", min_rows, share)
     return numbered.select("column", "value", (F.col("__rn") - 1).alias("code"))
 

@@ -77,9 +77,10 @@ def predict(model: GBTRegressionModel, vectors: DataFrame, keys: Sequence[str],
     return model.transform(vectors).select(*keys, F.col("prediction").alias(name))
 
 
-def importances(model: GBTRegressionModel, features: Sequence[str], spark) -> DataFrame:
-    values = [(n, float(v)) for n, v in zip(features, model.featureImportances.toArray(), strict=True)]
-    return spark.createDataFrame(values, "feature string, importance double")
+def importances(model: GBTRegressionModel, features: Sequence[str]) -> list[tuple[str, float]]:
+    """Feature names with their importance, most important first."""
+    values = zip(features, model.featureImportances.toArray().tolist(), strict=True)
+    return sorted(values, key=lambda v: (-v[1], v[0]))
 
 
 def describe(model: GBTRegressionModel, features: Sequence[str]) -> str:

@@ -146,19 +146,11 @@ def rosters_at_least(
     ``candidates`` must be numbered and of checked size.  Each step joins on the slot's position; the
     budget and the score bound are part of the join condition, so hopeless pairs are never emitted.
     """
-    spark = candidates.sparkSession
-    limits = [
-        (k, b * bounds.unit, int(v))
-        for k in range(1, len(slots) + 1)
-        for b, v in enumerate(bounds.table[k])
-        if v > _IMPOSSIBLE // 2
-    ]
-    bound_table = spark.createDataFrame(limits, "__slot int, __left long, __bound long")
     out = candidates.filter((F.col("position") == slots[0]) & (F.col("cost") <= cap)).select(
         F.array("player").alias("players"), F.array("team").alias("teams"), "cost", "points", "cid",
         F.col("position").alias("__pos"),
     )
-    out = _cut(out, 1, cap, floor, bound_table)
+    out = _cut(out, 1, cap, floor, bounds)
     for i, slot in enumerate(slots[1:], start=1):
         pool = candidates.filter(F.col("position") == slot).select(
             F.lit(slot).alias("__next"), *[F.col(c).alias(f"n_{c}") for c in ("player", "team", "cost", "points", "cid")]
@@ -169,17 +161,17 @@ def rosters_at_least(
         new_pick = ~F.col("__repeat") | (F.col("n_cid") > F.col("cid"))
         out = out.join(F.broadcast(pool), "__next").filter(fits & new_pick & room)
         out = _append(out.drop("__repeat", "__pos")).withColumnRenamed("__next", "__pos")
-        out = _cut(out, i + 1, cap, floor, bound_table)
+        out = _cut(out, i + 1, cap, floor, bounds)
         if i == 2:
             out = out.repartition(F.hash("players"))
     return out.select("players", "teams", "cost", "points")
 
 
-def _cut(df: DataFrame, slot: int, cap: int, floor: int, bound_table: DataFrame) -> DataFrame:
+def _cut(df: DataFrame, slot: int, cap: int, floor: int, bounds: _Bounds) -> DataFrame:
     """Drop partial rosters that cannot reach the floor with the budget they have left."""
-    bound = bound_table.filter(F.col("__slot") == slot).select("__left", "__bound")
-    joined = df.join(F.broadcast(bound), F.lit(cap) - F.col("cost") == F.col("__left"))
-    return joined.filter(F.col("points") + F.col("__bound") >= F.lit(floor)).drop("__left", "__bound")
+    reachable = F.lit([int(v) for v in bounds.table[slot]])
+    left = ((F.lit(cap) - F.col("cost")) / F.lit(bounds.unit)).cast("int")
+    return df.filter(F.col("points") + F.get(reachable, left) >= F.lit(floor))
 
 
 def _search(candidates, slots, cap, team_limit, unit, enough) -> DataFrame:

@@ -22,6 +22,7 @@ def build_history(
     tie_break: Sequence[str] = (),
     start: str = START,
     stop: str = STOP,
+    bounded: bool = False,
     min_rows: int = MIN_ROWS,
     share: float = SHARE,
 ) -> DataFrame:
@@ -30,9 +31,12 @@ def build_history(
     A run starts at its first observation and stops where the next one starts; the last run is open
     (9999-01-01).  Other columns keep the value of the last observation of the run.  Runs that start
     and stop at the same moment are dropped.  Null is a value of its own for the comparison.
+
+    ``bounded`` says that no key can have many rows (one per calendar day, say), which saves the
+    search for hot keys.
     """
     order = [at, *tie_break]
-    hot = find_hot_keys(df, [key], order, min_rows, share)
+    hot = HotKeys((key,), None) if bounded else find_hot_keys(df, [key], order, min_rows, share)
     state = F.struct(*[F.col(c) for c in tracked])
     rows = hot.segment(df, order).withColumn("__state", state)
     within = Window.partitionBy(key, SEGMENT).orderBy(*order)

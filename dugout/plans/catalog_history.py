@@ -56,7 +56,7 @@ def daily_history(t):
     """One version per run of days whose last event has the same type."""
     e = t.events.select("user_id", F.to_date("ts").alias("day"), "ts", "event_id", "event_type")
     last = keep_last(e, ["user_id", "day"], ["ts", "event_id"]).select("user_id", "day", "event_type")
-    return build_history(last, "user_id", "day", ["event_type"]).drop("day")
+    return build_history(last, "user_id", "day", ["event_type"], bounded=True).drop("day")
 
 
 def _meetings(t):
@@ -111,7 +111,7 @@ def _cent_facts(t):
     return t.events.select("user_id", F.to_date("ts").alias("day"), (scaled("value") - 5000).alias("cents"))
 
 
-@query(_interval_sql(_CENTS, ", ".join(x for w in _WINDOWS for x in _agg_sql("cents", w))))
+@query(_interval_sql(_CENTS, ", ".join(x for w in _WINDOWS for x in _agg_sql("cents", w))), name="trailing_stats")
 def trailing_averages(t):
     aggregates = ("avg", "std", "var", "l1norm", "l2norm")
     return trailing_stats(_cent_facts(t), "user_id", "day", ["cents"], _WINDOWS, aggregates=aggregates, scales={"cents": 100.0})

@@ -86,7 +86,8 @@ def semi_contest(t):
                WHERE o_orderdate >= TIMESTAMP '2001-07-01')
     SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM u)
     UNION ALL SELECT * FROM u
-    """
+    """,
+    name="upsert",
 )
 def upsert_orders(t):
     stored = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
@@ -244,7 +245,7 @@ def distinct_counts(t):
 _NAMES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
-@query(" UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS n FROM {n}" for n in _NAMES))
+@query(" UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS n FROM {n}" for n in _NAMES), name="table_counts")
 def table_sizes(t):
     return table_counts({n: getattr(t, n) for n in _NAMES})
 
@@ -315,7 +316,7 @@ def decode(t):
     )
 
 
-@query("SELECT p_partkey, ((row_number() OVER (ORDER BY p_retailprice, p_partkey) - 1) // 50)::BIGINT AS batch FROM part")
+@query("SELECT p_partkey, ((row_number() OVER (ORDER BY p_retailprice, p_partkey) - 1) // 50)::BIGINT AS batch FROM part", name="batches")
 def part_batches(t):
     return batches(t.part.select("p_partkey", "p_retailprice"), ["p_retailprice", "p_partkey"], 50).drop("p_retailprice")
 
@@ -324,7 +325,8 @@ def part_batches(t):
     """
     SELECT user_id, event_type, event_id, value FROM (
         SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1
-    """
+    """,
+    name="keep_last",
 )
 def keep_last_event(t):
     last = keep_last(t.events.select("user_id", "event_type", "event_id", "value", "ts"), ["user_id", "event_type"], ["ts", "event_id"])

@@ -60,9 +60,8 @@ def gbt_predict(t):
     ml.save_model(ml.train(train, rounds=5, depth=4, bins=64), path)
     model = ml.load_model(path)
     scored = ml.predict(model, test, ["l_orderkey", "l_linenumber", "l_linestatus", "label"])
-    errors = regression_error(scored, "label", "prediction", ["l_linestatus"])
-    strongest = ml.importances(model, names, t.spark).agg(F.max_by("feature", "importance").alias("strongest_feature"))
-    return errors.join(F.broadcast(strongest), F.lit(True))
+    strongest = ml.importances(model, names)[0][0]
+    return regression_error(scored, "label", "prediction", ["l_linestatus"]).withColumn("strongest_feature", F.lit(strongest))
 
 
 @query(
@@ -174,7 +173,8 @@ def _groups(t):
 
 @query(
     f"""WITH {_PLAYERS.format(k=1)}, {_GROUPS}
-    SELECT cost, arg_min(players, (-points, players)) AS players, max(points) AS points, count(*) - 1 AS n_skipped FROM g GROUP BY cost"""
+    SELECT cost, arg_min(players, (-points, players)) AS players, max(points) AS points, count(*) - 1 AS n_skipped FROM g GROUP BY cost""",
+    name="best_per_cost",
 )
 def best_by_cost(t):
     return best_per_cost(_groups(t).drop("teams"), ["cost"], "points", ["players"])

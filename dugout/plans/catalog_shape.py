@@ -41,7 +41,8 @@ def conform_schema(t):
     SELECT c_acctbal, c_mktsegment, c_name, o_orderkey, o_orderstatus, o_totalprice,
            o_totalprice AS score_orig, c_nationkey + o_totalprice AS score
     FROM orders JOIN customer ON o_custkey = c_custkey
-    """
+    """,
+    name="select_except",
 )
 def column_selection(t):
     customers = t.customer.withColumnRenamed("c_custkey", "o_custkey")
@@ -104,7 +105,8 @@ def defaults_and_roles(t):
     SELECT event_id, CASE WHEN event_type IN ('purchase', 'error') THEN 'O' WHEN starts_with(event_type, 'sign') THEN 'SB'
            WHEN event_type = 'click' THEN CASE WHEN contains(props, '7') THEN '2B' WHEN contains(props, '5') THEN '3B'
            WHEN contains(props, '3') THEN 'O' END END AS code FROM events
-    """
+    """,
+    name="classify",
 )
 def classify_events(t):
     table = [

@@ -23,17 +23,17 @@ class Tables:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
 
-def query(sql: str | None = None):
-    """Register a function of :class:`Tables` under its own name."""
+def query(sql: str | None = None, name: str | None = None):
+    """Register a function of :class:`Tables` under its own or the given name."""
 
     def register(build: Callable[[Tables], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return build(Tables(spark, sf_dir))
 
-        run.__name__ = build.__name__
-        QUERIES[build.__name__] = run
+        run.__name__ = name or build.__name__
+        QUERIES[run.__name__] = run
         if sql is not None:
-            ORACLES[build.__name__] = sql
+            ORACLES[run.__name__] = sql
         return build
 
     return register
