@@ -8,6 +8,7 @@ remaining budget.  The test is exact, so nothing that belongs to the result is l
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -169,7 +170,7 @@ def rosters_at_least(
 
 def _cut(df: DataFrame, slot: int, cap: int, floor: int, bounds: _Bounds) -> DataFrame:
     """Drop partial rosters that cannot reach the floor with the budget they have left."""
-    reachable = F.lit([int(v) for v in bounds.table[slot]])
+    reachable = F.from_json(F.lit(json.dumps(bounds.table[slot].tolist())), "array<bigint>")
     left = ((F.lit(cap) - F.col("cost")) / F.lit(bounds.unit)).cast("int")
     return df.filter(F.col("points") + F.get(reachable, left) >= F.lit(floor))
 
@@ -187,13 +188,13 @@ def _search(candidates, slots, cap, team_limit, unit, enough) -> DataFrame:
     if bounds.best <= _IMPOSSIBLE // 2:
         return rosters_at_least(pool, slots, cap, team_limit, 0, bounds).limit(0)
     lowest = pool.agg(F.min("points")).first()[0] * len(slots)
-    gap = max((bounds.best - lowest) // 256, 1)
+    gap = max((bounds.best - lowest) // 24, 1)
     while True:
         floor = max(bounds.best - gap, lowest)
         found = materialise(rosters_at_least(pool, slots, cap, team_limit, floor, bounds), "rosters")
         if floor <= lowest or enough(found):
             return found
-        gap *= 2
+        gap *= 3
 
 
 def top_rosters(
