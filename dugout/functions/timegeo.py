@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 OPEN_END = "9999-01-01"
+_SHAPES = {"y": r"\d", "M": r"\d", "d": r"\d", "H": r"\d", "m": r"\d", "s": r"\d"}
+
+
+def _parse(text: Column, fmt: str) -> Column:
+    """Null for text that does not fit; the shape is tested first, as a failed parse is costly."""
+    shape = "".join(_SHAPES.get(letter, letter) for letter in re.sub(r"(?<![a-zA-Z])([Md])(?![a-zA-Z])", r"\1?\1", fmt))
+    parsed = F.try_to_timestamp(text, F.lit(fmt))
+    if not re.fullmatch(r"[yMdHms\-/: ]*", fmt):
+        return parsed
+    return F.when(text.rlike(f"^{shape}$"), parsed)
 
 _GAME_DATE = r"gid_(\d+)_(\d+)_(\d+)_"
 _GAME_ID = r"(gid_\d+_\d+_\d+_[^/]*)"
@@ -62,16 +73,16 @@ def hour_of_clock(text: Column) -> Column:
 
 def parse_any(text: Column, formats: Sequence[str]) -> Column:
     """First format that reads the text decides."""
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats]).cast("timestamp_ntz")
+    return F.coalesce(*[_parse(text, f) for f in formats]).cast("timestamp_ntz")
 
 
 def is_valid_date(text: Column, fmt: str) -> Column:
-    return F.try_to_timestamp(text, F.lit(fmt)).isNotNull()
+    return _parse(text, fmt).isNotNull()
 
 
 def reformat_date(text: Column, in_fmt: str, out_fmt: str) -> Column:
     """Date text in another format; text that cannot be read is returned as it is."""
-    return F.coalesce(F.date_format(F.try_to_timestamp(text, F.lit(in_fmt)), out_fmt), text)
+    return F.coalesce(F.date_format(_parse(text, in_fmt), out_fmt), text)
 
 
 def boundary(text: Column) -> Column:
@@ -81,9 +92,10 @@ def boundary(text: Column) -> Column:
 
 def boundary_parts(text: Column) -> Column:
     """How many parts (1 to 3) the partial date has, 0 when it is none."""
-    chain = F.when(F.try_to_timestamp(text, F.lit("yyyy")).isNotNull(), 1)
-    chain = chain.when(F.try_to_timestamp(text, F.lit("yyyy-M")).isNotNull(), 2)
-    return chain.when(F.try_to_timestamp(text, F.lit("yyyy-M-d")).isNotNull(), 3).otherwise(0)
+    chain = F
+    for parts, fmt in enumerate(("yyyy", "yyyy-M", "yyyy-M-d"), start=1):
+        chain = chain.when(_parse(text, fmt).isNotNull(), parts)
+    return chain.otherwise(0)
 
 
 def angle_between(a: Column, b: Column) -> Column:

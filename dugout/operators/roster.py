@@ -147,32 +147,36 @@ def rosters_at_least(
     ``candidates`` must be numbered and of checked size.  Each step joins on the slot's position; the
     budget and the score bound are part of the join condition, so hopeless pairs are never emitted.
     """
-    out = candidates.filter((F.col("position") == slots[0]) & (F.col("cost") <= cap)).select(
-        F.array("player").alias("players"), F.array("team").alias("teams"), "cost", "points", "cid",
-        F.col("position").alias("__pos"),
+    def next_slot(i: int):
+        return F.lit(slots[i] if i < len(slots) else None).cast("string").alias("__slot")
+
+    first = candidates.filter((F.col("position") == slots[0]) & (F.col("cost") <= cap))
+    out = first.filter(_hopeful(F.col("cost"), F.col("points"), 1, cap, floor, bounds)).select(
+        F.array("player").alias("players"), F.array("team").alias("teams"), "cost", "points", "cid", next_slot(1)
     )
-    out = _cut(out, 1, cap, floor, bounds)
     for i, slot in enumerate(slots[1:], start=1):
         pool = candidates.filter(F.col("position") == slot).select(
-            F.lit(slot).alias("__next"), *[F.col(c).alias(f"n_{c}") for c in ("player", "team", "cost", "points", "cid")]
+            F.col("position").alias("__slot"), *[F.col(c).alias(f"n_{c}") for c in ("player", "team", "cost", "points", "cid")]
+        )
+        cost, points = F.col("cost") + F.col("n_cost"), F.col("points") + F.col("n_points")
+        wanted = (cost <= cap) & _hopeful(cost, points, i + 1, cap, floor, bounds)
+        wanted = wanted & (F.size(F.filter("teams", lambda t: t == F.col("n_team"))) < team_limit)
+        if slot == slots[i - 1]:
+            wanted = wanted & (F.col("n_cid") > F.col("cid"))
+        out = out.join(F.broadcast(pool), "__slot").filter(wanted).select(
+            F.concat("players", F.array("n_player")).alias("players"), F.concat("teams", F.array("n_team")).alias("teams"),
+            cost.alias("cost"), points.alias("points"), F.col("n_cid").alias("cid"), next_slot(i + 1),
         )
-        out = out.withColumn("__next", F.lit(slot)).withColumn("__repeat", F.col("__pos") == F.lit(slot))
-        fits = F.col("cost") + F.col("n_cost") <= cap
-        room = F.size(F.filter("teams", lambda t: t == F.col("n_team"))) < team_limit
-        new_pick = ~F.col("__repeat") | (F.col("n_cid") > F.col("cid"))
-        out = out.join(F.broadcast(pool), "__next").filter(fits & new_pick & room)
-        out = _append(out.drop("__repeat", "__pos")).withColumnRenamed("__next", "__pos")
-        out = _cut(out, i + 1, cap, floor, bounds)
         if i == 2:
             out = out.repartition(F.hash("players"))
     return out.select("players", "teams", "cost", "points")
 
 
-def _cut(df: DataFrame, slot: int, cap: int, floor: int, bounds: _Bounds) -> DataFrame:
-    """Drop partial rosters that cannot reach the floor with the budget they have left."""
+def _hopeful(cost, points, slot: int, cap: int, floor: int, bounds: _Bounds):
+    """The floor can still be reached with the budget that is left."""
     reachable = F.from_json(F.lit(json.dumps(bounds.table[slot].tolist())), "array<bigint>")
-    left = ((F.lit(cap) - F.col("cost")) / F.lit(bounds.unit)).cast("int")
-    return df.filter(F.col("points") + F.get(reachable, left) >= F.lit(floor))
+    left = ((F.lit(cap) - cost) / F.lit(bounds.unit)).cast("int")
+    return points + F.get(reachable, left) >= F.lit(floor)
 
 
 def _search(candidates, slots, cap, team_limit, unit, enough) -> DataFrame:
@@ -194,7 +198,7 @@ def _search(candidates, slots, cap, team_limit, unit, enough) -> DataFrame:
         found = materialise(rosters_at_least(pool, slots, cap, team_limit, floor, bounds), "rosters")
         if floor <= lowest or enough(found):
             return found
-        gap *= 3
+        gap = gap * 2 if found.isEmpty() else gap + gap // 2 + 1
 
 
 def top_rosters(

@@ -13,42 +13,57 @@ from ..functions.score import guarded_ratio, ratio
 AGGREGATES = ("avg", "std", "var", "l1norm", "l2norm", "cov")
 
 
-def daily_moments(facts: DataFrame, key: str, day: str, stats: Sequence[str], exact: bool) -> DataFrame:
-    """Count, sum, sum of squares and sum of magnitudes per key and day.
+_NEEDS = {"avg": "s", "std": "sq", "var": "sq", "l1norm": "a", "l2norm": "q", "cov": "sq"}
+
+
+def daily_moments(
+    facts: DataFrame, key: str, day: str, stats: Sequence[str], exact: bool, moments: str = "sqa"
+) -> DataFrame:
+    """Count and the wanted moments (s: sum, q: sum of squares, a: sum of magnitudes) per key and day.
 
     This runs before any window, so the window sees at most one row per key and calendar day however
     many facts a key has.
     """
     parts = [F.count(F.lit(1)).alias("__n")]
     for s in stats:
-        x = F.col(s)
-        if exact:
-            wide = x.cast("decimal(19,0)")
-            parts += [
-                F.sum(wide).cast("decimal(38,0)").alias(f"__s_{s}"),
-                F.sum((wide * wide).cast("decimal(38,0)")).cast("decimal(38,0)").alias(f"__q_{s}"),
-                F.sum(F.abs(wide)).cast("decimal(38,0)").alias(f"__a_{s}"),
-            ]
-        else:
-            x = x.cast("double")
-            parts += [F.sum(x).alias(f"__s_{s}"), F.sum(x * x).alias(f"__q_{s}"), F.sum(F.abs(x)).alias(f"__a_{s}")]
+        x = F.col(s).cast("bigint" if exact else "double")
+        # sums of cents fit a long; sums of their squares do not
+        wide = x.cast("decimal(19,0)")
+        square = (wide * wide).cast("decimal(38,0)") if exact else x * x
+        made = {"s": F.sum(x), "q": F.sum(square).cast("decimal(38,0)") if exact else F.sum(square), "a": F.sum(F.abs(x))}
+        parts += [made[m].alias(f"__{m}_{s}") for m in moments]
     return facts.groupBy(key, day).agg(*parts)
 
 
-def as_of_spine(daily: DataFrame, calendar: DataFrame, key: str, day: str) -> DataFrame:
-    """Every (key, calendar day) that has an earlier fact of the same year.
+def with_as_of_days(daily: DataFrame, calendar: DataFrame, key: str, day: str) -> DataFrame:
+    """Daily rows plus an empty row for every calendar day after the key's first fact of the year.
 
-    The calendar is at most 366 days per year, so it travels as one array per year.
+    The calendar has at most 366 days per year, so it travels as one array per year and is broadcast.
+    The rows it adds come out of the first daily row of each key and year, so the daily table is
+    read and shuffled once, and the rows are already where the window over (key, year) needs them.
     """
-    firsts = daily.groupBy(key, F.year(day).alias("__year")).agg(F.min(day).alias("__first"))
     years = (
         calendar.select(F.col(day).alias("__d"))
         .distinct()
         .groupBy(F.year("__d").alias("__year"))
         .agg(F.collect_set("__d").alias("__days"))
     )
-    later = F.filter("__days", lambda d: d > F.col("__first"))
-    return firsts.join(years, "__year").select(key, "__year", F.explode(later).alias(day))
+    measures = [c for c in daily.columns if c not in (key, day)]
+    by_year = Window.partitionBy(key, "__year").orderBy(day)
+    ranked = daily.withColumn("__year", F.year(day)).withColumn("__rn", F.row_number().over(by_year))
+
+    def row(d, added: bool):
+        return F.struct(d.alias("d"), F.lit(added).alias("asof"))
+
+    later = F.transform(F.filter("__days", lambda d: d > F.col(day)), lambda d: row(d, True))
+    own = F.array(row(F.col(day), False))
+    out = F.when(F.col("__rn") == 1, F.concat(own, later)).otherwise(own)
+    opened = ranked.join(F.broadcast(years), "__year").withColumn("__row", F.explode(out))
+    is_added = F.col("__row.asof")
+    return opened.select(
+        key, "__year", F.col("__row.d").alias(day), is_added.alias("__asof"),
+        *[F.when(~is_added, F.col(m)).alias(m) for m in measures],
+    )
 
 
 def trailing_sums(
@@ -59,22 +74,27 @@ def trailing_sums(
     windows: Sequence[int | str],
     calendar: DataFrame,
     exact: bool = True,
+    moments: str = "sqa",
 ) -> DataFrame:
     """Moments of each window for every as-of day, all from one sort per key and year."""
-    daily = daily_moments(facts, key, day, stats, exact)
-    spine = as_of_spine(daily, calendar, key, day)
+    daily = daily_moments(facts, key, day, stats, exact, moments)
     measures = [c for c in daily.columns if c not in (key, day)]
-    both = daily.withColumn("__year", F.year(day)).withColumn("__asof", F.lit(False)).unionByName(
-        spine.withColumn("__asof", F.lit(True)), allowMissingColumns=True
-    )
-    both = both.withColumn("__t", F.unix_date(day))
+    both = with_as_of_days(daily, calendar, key, day).withColumn("__t", F.unix_date(day))
     ordered = Window.partitionBy(key, "__year").orderBy("__t")
+    before = ordered.rangeBetween(Window.unboundedPreceding, -1)
     columns = []
     for w in windows:
-        lower = Window.unboundedPreceding if w == "SEASON" else -int(w)
-        frame = ordered.rangeBetween(lower, -1)
-        for m in measures:
-            columns.append(F.coalesce(F.sum(m).over(frame), F.lit(0)).alias(f"{m}@{w}"))
+        if w == "SEASON":
+            columns += [F.coalesce(F.sum(m).over(before), F.lit(0)).alias(f"{m}@{w}") for m in measures]
+        elif exact:
+            # a difference of two running sums takes one step per row for any window length
+            older = ordered.rangeBetween(Window.unboundedPreceding, -int(w) - 1)
+            for m in measures:
+                total = F.coalesce(F.sum(m).over(before), F.lit(0)) - F.coalesce(F.sum(m).over(older), F.lit(0))
+                columns.append(total.alias(f"{m}@{w}"))
+        else:
+            frame = ordered.rangeBetween(-int(w), -1)
+            columns += [F.coalesce(F.sum(m).over(frame), F.lit(0)).alias(f"{m}@{w}") for m in measures]
     return both.select(key, day, "__asof", *columns).filter("__asof").drop("__asof")
 
 
@@ -85,7 +105,8 @@ def moment_columns(stat: str, window: int | str, exact: bool, scale: float, cov_
     unit = F.lit(float(scale))
     count = n.cast("double")
     if exact:
-        spread = (n.cast("decimal(19,0)") * q - s * s).cast("double")
+        wide = s.cast("decimal(19,0)")
+        spread = (n.cast("decimal(19,0)") * q - wide * wide).cast("double")
     else:
         spread = F.greatest(count * q - s * s, F.lit(0.0))
     variance = F.coalesce(F.try_divide(spread, count * count), F.lit(0.0))
@@ -127,10 +148,12 @@ def trailing_stats(
     """
     scales = scales or {}
     calendar = facts.select(day) if calendar is None else calendar.select(day)
-    sums = trailing_sums(facts, key, day, stats, windows, calendar, exact)
+    needed = {m for a in aggregates for m in _NEEDS[a]} | ({"s"} if ratios is not None else set())
+    moments = "".join(m for m in "sqa" if m in needed)
+    sums = trailing_sums(facts, key, day, stats, windows, calendar, exact, moments)
     columns = []
     for w in windows:
-        for s in stats:
+        for s in stats if aggregates else ():
             made = moment_columns(s, w, exact, scales.get(s, 1.0), cov_mode)
             columns += [made[a].alias(f"mv_{w}_{a}_{s}") for a in aggregates]
         if ratios is not None:

@@ -30,6 +30,7 @@ def local_session(app: str = "dugout", cores: int | str = "*", partitions: int =
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .getOrCreate()
