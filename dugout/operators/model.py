@@ -27,10 +27,14 @@ def hash_bucket(*keys) -> F.Column:
     return F.conv(F.substring(F.md5(text), 1, 4), 16, 10).cast("int") % 10
 
 
+def is_train(*keys, train_tenths: int = 7) -> F.Column:
+    return hash_bucket(*keys) < train_tenths
+
+
 def split_by_hash(df: DataFrame, keys: Sequence[str], train_tenths: int = 7) -> tuple[DataFrame, DataFrame]:
     """Train and test rows by key bucket, so a key never changes sides between runs."""
-    bucket = hash_bucket(*keys)
-    return df.filter(bucket < train_tenths), df.filter(bucket >= train_tenths)
+    mine = is_train(*keys, train_tenths=train_tenths)
+    return df.filter(mine), df.filter(~mine)
 
 
 def split_random(df: DataFrame, train_share: float = rules.TRAIN_SHARE, seed: int = rules.SEED):

@@ -18,12 +18,19 @@ from pyspark.sql import functions as F
 
 from ..functions import baseball as rules
 from ..session import materialise
+from .joins import lookup
+from .rollup import best_per_cost
 from .topk import top_k_by_group
 
 MAX_CANDIDATES = 20_000
 _IMPOSSIBLE = np.iinfo(np.int64).min // 4
 
 
+def with_points(eligible: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Eligible players with their points; a player without statistics has 0."""
+    return lookup(eligible, stats, keys, {"points": 0})
+
+
 def prune_candidates(
     players: DataFrame, k: Mapping[str, int] | None = None, tie_break: Sequence = (), default_k: int = 1
 ) -> DataFrame:
@@ -52,10 +59,24 @@ def search_space(candidates: DataFrame, slots: Sequence[str]) -> DataFrame:
     )
 
 
+def checked(candidates: DataFrame) -> DataFrame:
+    """The candidates, if there are few enough to send them to every task."""
+    if candidates.limit(MAX_CANDIDATES + 1).count() > MAX_CANDIDATES:
+        raise ValueError("too many candidates; prune them per position and cost first")
+    return candidates
+
+
+def as_groups(candidates: DataFrame) -> DataFrame:
+    """Candidates with arrays of players and teams: a single player is a group of one."""
+    if "players" in candidates.columns:
+        return candidates.select("position", "players", "teams", "cost", "points")
+    return candidates.select("position", F.array("player").alias("players"), F.array("team").alias("teams"), "cost", "points")
+
+
 def number_candidates(candidates: DataFrame) -> DataFrame:
     """Rank inside each position (``cid``) on a candidate set whose size has been checked."""
-    by_points = Window.partitionBy("position").orderBy(F.desc("points"), F.asc("player"))
-    return candidates.withColumn("cid", F.row_number().over(by_points))
+    by_points = Window.partitionBy("position").orderBy(F.desc("points"), F.asc("players"))
+    return as_groups(candidates).withColumn("cid", F.row_number().over(by_points))
 
 
 def combinations(candidates: DataFrame, position: str, picks: int) -> DataFrame:
@@ -63,24 +84,38 @@ def combinations(candidates: DataFrame, position: str, picks: int) -> DataFrame:
 
     Built by extension in rank order; the candidate table must be a pruned one.
     """
-    pool = number_candidates(candidates.filter(F.col("position") == position))
-    out = pool.select("position", F.array("player").alias("players"), F.array("team").alias("teams"), "cost", "points", "cid")
+    pool = number_candidates(checked(candidates).filter(F.col("position") == position))
+    nxt = F.broadcast(pool.select("position", *[F.col(c).alias(f"n_{c}") for c in _PICK]))
+    out = pool.select("position", *_PICK)
     for _ in range(picks - 1):
-        nxt = pool.select("position", *[F.col(c).alias(f"n_{c}") for c in ("player", "team", "cost", "points", "cid")])
-        out = out.join(F.broadcast(nxt), "position").filter(F.col("n_cid") > F.col("cid"))
-        out = _append(out)
+        out = out.join(nxt, "position").filter(F.col("n_cid") > F.col("cid")).select("position", *_extended())
     return out.drop("cid", "position")
 
 
-def _append(df: DataFrame) -> DataFrame:
-    return df.select(
-        *[c for c in df.columns if c not in ("players", "teams", "cost", "points", "cid") and not c.startswith("n_")],
-        F.concat("players", F.array("n_player")).alias("players"),
-        F.concat("teams", F.array("n_team")).alias("teams"),
+_PICK = ("players", "teams", "cost", "points", "cid")
+
+
+def _extended() -> list:
+    return [
+        F.concat("players", "n_players").alias("players"),
+        F.concat("teams", "n_teams").alias("teams"),
         (F.col("cost") + F.col("n_cost")).alias("cost"),
         (F.col("points") + F.col("n_points")).alias("points"),
         F.col("n_cid").alias("cid"),
-    )
+    ]
+
+
+def precombine(candidates: DataFrame, single: str, repeated: str, picks: int, cap: int, name: str) -> DataFrame:
+    """One candidate of a position with several of another as new candidates, only the best per total cost.
+
+    This ignores the team limit, so a legal roster may hide behind one that is not; use it only where
+    that shortcut is wanted.  ``n_skipped`` counts the groups a kept one stands for.
+    """
+    triples = combinations(candidates, repeated, picks).filter(F.col("cost") <= cap).withColumn("position", F.lit(name))
+    one = as_groups(candidates.filter(F.col("position") == single)).withColumn("position", F.lit(name))
+    side = one.select("position", *[F.col(c).alias(f"n_{c}") for c in ("players", "teams", "cost", "points")]).withColumn("n_cid", F.lit(0))
+    groups = triples.join(F.broadcast(side), "position").select("position", *_extended()).drop("cid")
+    return best_per_cost(groups, ["position", "cost"], "points", ["players"])
 
 
 def largest_team(teams) -> F.Column:
@@ -152,21 +187,18 @@ def rosters_at_least(
 
     first = candidates.filter((F.col("position") == slots[0]) & (F.col("cost") <= cap))
     out = first.filter(_hopeful(F.col("cost"), F.col("points"), 1, cap, floor, bounds)).select(
-        F.array("player").alias("players"), F.array("team").alias("teams"), "cost", "points", "cid", next_slot(1)
+        *_PICK, next_slot(1)
     )
     for i, slot in enumerate(slots[1:], start=1):
         pool = candidates.filter(F.col("position") == slot).select(
-            F.col("position").alias("__slot"), *[F.col(c).alias(f"n_{c}") for c in ("player", "team", "cost", "points", "cid")]
+            F.col("position").alias("__slot"), *[F.col(c).alias(f"n_{c}") for c in _PICK]
         )
         cost, points = F.col("cost") + F.col("n_cost"), F.col("points") + F.col("n_points")
         wanted = (cost <= cap) & _hopeful(cost, points, i + 1, cap, floor, bounds)
-        wanted = wanted & (F.size(F.filter("teams", lambda t: t == F.col("n_team"))) < team_limit)
+        wanted = wanted & (largest_team(F.concat("teams", "n_teams")) <= team_limit)
         if slot == slots[i - 1]:
             wanted = wanted & (F.col("n_cid") > F.col("cid"))
-        out = out.join(F.broadcast(pool), "__slot").filter(wanted).select(
-            F.concat("players", F.array("n_player")).alias("players"), F.concat("teams", F.array("n_team")).alias("teams"),
-            cost.alias("cost"), points.alias("points"), F.col("n_cid").alias("cid"), next_slot(i + 1),
-        )
+        out = out.join(F.broadcast(pool), "__slot").filter(wanted).select(*_extended(), next_slot(i + 1))
         if i == 2:
             out = out.repartition(F.hash("players"))
     return out.select("players", "teams", "cost", "points")
@@ -185,9 +217,7 @@ def _search(candidates, slots, cap, team_limit, unit, enough) -> DataFrame:
     for a, b in zip(slots, slots[1:], strict=False):
         if a != b and b in slots[: slots.index(a)]:
             raise ValueError("slots of one position must be next to each other")
-    if candidates.limit(MAX_CANDIDATES + 1).count() > MAX_CANDIDATES:
-        raise ValueError("too many candidates; prune them per position and cost first")
-    pool = materialise(number_candidates(candidates), "candidates")
+    pool = materialise(number_candidates(checked(candidates)), "candidates")
     bounds = _bounds(pool, slots, cap, unit)
     if bounds.best <= _IMPOSSIBLE // 2:
         return rosters_at_least(pool, slots, cap, team_limit, 0, bounds).limit(0)
@@ -212,7 +242,8 @@ def top_rosters(
     """The ``keep`` best legal rosters of the candidates, exact, ties broken by the player ids.
 
     Columns of ``candidates``: position, player (string), team, cost and points (integers; scale
-    decimals up).  Points may be negative.
+    decimals up), or arrays ``players`` and ``teams`` for candidates that are groups.  Points may be
+    negative.
     """
     found = _search(candidates, slots, cap, team_limit, unit, lambda df: df.limit(keep).count() >= keep)
     ids = F.array_join("players", ",")

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.timegeo import OPEN_END
 from .skew import MIN_ROWS, SEGMENT, SHARE, HotKeys, _null_safe_join, find_hot_keys
@@ -125,6 +125,7 @@ def join_valid_versions(
     sides: dict[str, str],
     member: str,
     bucket_days: int = 7,
+    span: tuple[date, date] | None = None,
     start: str = START,
     stop: str = STOP,
 ) -> DataFrame:
@@ -132,16 +133,18 @@ def join_valid_versions(
 
     The "home or away" condition becomes one row per side, and the date range becomes an equality on a
     date bucket, so the join is an equi-join on (member, bucket).  A pair that meets in a bucket fails
-    the range test only if the version changes inside that bucket.
+    the range test only if the version changes inside that bucket.  ``span`` is the first and last date
+    of the facts; without it they are read for it.
     """
-    span = facts.agg(F.min(at).cast("date").alias("lo"), F.max(at).cast("date").alias("hi")).first()
+    if span is None:
+        span = tuple(facts.agg(F.min(at).cast("date"), F.max(at).cast("date")).first())
     spread = fan_out_sides(facts, sides, side="side", member=member)
 
     def bucket(day):
         return F.floor(F.unix_date(day) / F.lit(bucket_days)).cast("int")
 
     spread = spread.withColumn("__bucket", bucket(F.col(at).cast("date")))
-    lo, hi = F.lit(span["lo"]).cast("date"), F.lit(span["hi"]).cast("date")
+    lo, hi = (F.lit(d).cast("date") for d in span)
     first_day = F.greatest(F.col(start).cast("date"), lo)
     last_day = F.least(F.col(stop).cast("date"), hi)
     versions = history.filter((F.col(start).cast("date") <= hi) & (F.col(stop).cast("date") >= lo)).withColumn(
@@ -152,7 +155,3 @@ def join_valid_versions(
         raise ValueError(f"columns on both sides: {clash}")
     joined = spread.join(versions, [member, "__bucket"])
     return joined.filter((F.col(start) <= F.col(at)) & (F.col(at) < F.col(stop))).drop("__bucket")
-
-
-def conform_day(df: DataFrame, column: str) -> DataFrame:
-    return df if isinstance(df.schema[column].dataType, T.DateType) else df.withColumn(column, F.to_date(column))

@@ -17,12 +17,12 @@ _NEEDS = {"avg": "s", "std": "sq", "var": "sq", "l1norm": "a", "l2norm": "q", "c
 
 
 def daily_moments(
-    facts: DataFrame, key: str, day: str, stats: Sequence[str], exact: bool, moments: str = "sqa"
+    facts: DataFrame, key: str, day: str, stats: Sequence[str], exact: bool, moments: str = "sqa", extra: Sequence[Column] = ()
 ) -> DataFrame:
     """Count and the wanted moments (s: sum, q: sum of squares, a: sum of magnitudes) per key and day.
 
     This runs before any window, so the window sees at most one row per key and calendar day however
-    many facts a key has.
+    many facts a key has.  ``extra`` are further aggregates of the same pass.
     """
     parts = [F.count(F.lit(1)).alias("__n")]
     for s in stats:
@@ -32,7 +32,7 @@ def daily_moments(
         square = (wide * wide).cast("decimal(38,0)") if exact else x * x
         made = {"s": F.sum(x), "q": F.sum(square).cast("decimal(38,0)") if exact else F.sum(square), "a": F.sum(F.abs(x))}
         parts += [made[m].alias(f"__{m}_{s}") for m in moments]
-    return facts.groupBy(key, day).agg(*parts)
+    return facts.groupBy(key, day).agg(*parts, *extra)
 
 
 def with_as_of_days(daily: DataFrame, calendar: DataFrame, key: str, day: str) -> DataFrame:
@@ -67,17 +67,9 @@ def with_as_of_days(daily: DataFrame, calendar: DataFrame, key: str, day: str) -
 
 
 def trailing_sums(
-    facts: DataFrame,
-    key: str,
-    day: str,
-    stats: Sequence[str],
-    windows: Sequence[int | str],
-    calendar: DataFrame,
-    exact: bool = True,
-    moments: str = "sqa",
+    daily: DataFrame, key: str, day: str, windows: Sequence[int | str], calendar: DataFrame, exact: bool = True
 ) -> DataFrame:
     """Moments of each window for every as-of day, all from one sort per key and year."""
-    daily = daily_moments(facts, key, day, stats, exact, moments)
     measures = [c for c in daily.columns if c not in (key, day)]
     both = with_as_of_days(daily, calendar, key, day).withColumn("__t", F.unix_date(day))
     ordered = Window.partitionBy(key, "__year").orderBy("__t")
@@ -146,11 +138,35 @@ def trailing_stats(
     the result does not depend on the order of addition.
     ``ratios`` is a function from a dict of window sums to a dict of named columns.
     """
-    scales = scales or {}
     calendar = facts.select(day) if calendar is None else calendar.select(day)
+    moments = moments_for(aggregates, ratios)
+    daily = daily_moments(facts, key, day, stats, exact, moments)
+    return trailing_from_daily(daily, key, day, stats, windows, calendar, aggregates, ratios, scales, exact, cov_mode)
+
+
+def moments_for(aggregates: Sequence[str], ratios=None) -> str:
+    """The moments that statistics and ratios need."""
     needed = {m for a in aggregates for m in _NEEDS[a]} | ({"s"} if ratios is not None else set())
-    moments = "".join(m for m in "sqa" if m in needed)
-    sums = trailing_sums(facts, key, day, stats, windows, calendar, exact, moments)
+    return "".join(m for m in "sqa" if m in needed)
+
+
+def trailing_from_daily(
+    daily: DataFrame,
+    key: str,
+    day: str,
+    stats: Sequence[str],
+    windows: Sequence[int | str],
+    calendar: DataFrame,
+    aggregates: Sequence[str] = AGGREGATES,
+    ratios=None,
+    scales: Mapping[str, float] | None = None,
+    exact: bool = True,
+    cov_mode: str = "ratio",
+) -> DataFrame:
+    """:func:`trailing_stats` of moments that are already there, one row per key and day."""
+    scales = scales or {}
+    wanted = ["__n", *[f"__{m}_{s}" for s in stats for m in moments_for(aggregates, ratios)]]
+    sums = trailing_sums(daily.select(key, day, *wanted), key, day, windows, calendar.select(day), exact)
     columns = []
     for w in windows:
         for s in stats if aggregates else ():

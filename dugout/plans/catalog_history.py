@@ -11,7 +11,8 @@ from ..operators.rollup import batting_rollup
 from ..operators.scd import build_history, join_valid_versions, valid_at
 from ..operators.shape import swap_perspective
 from ..operators.topk import keep_last
-from ..operators.trailing import hitter_ratios, interval_join_sums, trailing_stats
+from ..operators.trailing import daily_moments, hitter_ratios, interval_join_sums, trailing_from_daily, trailing_stats
+from ..session import materialise
 from .registry import query
 
 _HISTORY_SQL = """
@@ -240,11 +241,16 @@ _FEATURE_SQL = f"""
 @query(_FEATURE_SQL.replace("WITH RECURSIVE_FREE AS (SELECT 1), mv", "WITH mv"))
 def feature_assembly(t):
     """Point-in-time features: the version valid on the day, trailing statistics, both sides, the label."""
-    facts = _cent_facts(t)
-    trailing = trailing_stats(
-        facts, "user_id", "day", ["cents"], _WINDOWS, aggregates=("avg", "std"), scales={"cents": 100.0}
+    seen = t.events.select(
+        "user_id", F.to_date("ts").alias("day"), (scaled("value") - 5000).alias("cents"), "ts", "event_id", "event_type"
     )
-    label = facts.groupBy("user_id", "day").agg(F.sum("cents").alias("label_cents"))
+    # one pass over the events gives the moments, the label and the status of each user and day
+    status = F.max_by("event_type", F.struct("ts", "event_id")).alias("status")
+    daily = materialise(daily_moments(seen, "user_id", "day", ["cents"], True, "sq", [status]), "daily")
+    trailing = trailing_from_daily(
+        daily, "user_id", "day", ["cents"], _WINDOWS, daily, aggregates=("avg", "std"), scales={"cents": 100.0}
+    )
+    label = daily.select("user_id", "day", F.col("__s_cents").alias("label_cents"))
     dim = (
         t.customer.join(t.nation, F.col("n_nationkey") == F.col("c_nationkey"))
         .join(t.region, F.col("r_regionkey") == F.col("n_regionkey"))
@@ -254,9 +260,10 @@ def feature_assembly(t):
     def side(name):
         return dim.select(F.col("c_custkey").alias(name), F.col("n_name").alias(f"{name}_nation"), F.col("r_name").alias(f"{name}_region"))
 
-    history = daily_history(t).withColumnRenamed("event_type", "status")
+    history = build_history(daily.select("user_id", "day", "status"), "user_id", "day", ["status"], bounded=True).drop("day")
+    span = tuple(daily.agg(F.min("day"), F.max("day")).first())
     rows = (
-        join_valid_versions(_meetings(t), history, "day", {"home": "home", "away": "away"}, "user_id")
+        join_valid_versions(_meetings(t), history, "day", {"home": "home", "away": "away"}, "user_id", span=span)
         .drop("side", "effective_start_dt", "effective_stop_dt")
         .join(trailing, ["user_id", "day"])
         .join(label, ["user_id", "day"], "left")

@@ -41,9 +41,8 @@ def feature_vector(t):
     """
 )
 def hash_split(t):
-    train, test = ml.split_by_hash(t.orders, ["o_custkey", "o_orderkey"])
-    sides = train.withColumn("is_train", F.lit(True)).unionByName(test.withColumn("is_train", F.lit(False)))
-    return sides.groupBy("is_train").agg(F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("lowest"))
+    marked = t.orders.withColumn("is_train", ml.is_train("o_custkey", "o_orderkey"))
+    return marked.groupBy("is_train").agg(F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("lowest"))
 
 
 @query()
@@ -158,7 +157,7 @@ _GROUPS = f"""{_RANKED},
 
 def _groups(t):
     """Three of one position with one of another, as cost, points, players and teams."""
-    pruned = _candidates(t, 1)
+    pruned = roster.checked(_candidates(t, 1))
     one = pruned.filter(F.col("position") == "SMALL").select(
         F.lit(1).alias("g"), *[F.col(c).alias(f"s_{c}") for c in ("player", "team", "cost", "points")]
     )

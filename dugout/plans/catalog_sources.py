@@ -58,7 +58,7 @@ def link_extract(t):
     WITH s AS (SELECT page_id, string_split_regex(html, '<(?:title|h1)') AS parts FROM pages),
          h AS (SELECT page_id, unnest(parts) AS part, unnest(range(len(parts))) AS heading_no FROM s),
          i AS (SELECT page_id, heading_no,
-                      CASE WHEN heading_no > 0 THEN regexp_extract(part, '^[^>]*>([^<]*)', 1) END AS heading,
+                      CASE WHEN heading_no > 0 THEN regexp_extract(part, '^[^>]*>(?:<[^>]*>)*([^<]*)', 1) END AS heading,
                       regexp_extract_all(part, '<li><a[^>]*>([^<]*)</a></li>', 1) AS items FROM h),
          r AS (SELECT page_id, heading_no, heading, unnest(range(len(items))) AS pos, unnest(items) AS item FROM i)
     SELECT page_id, heading_no::INT AS heading_no, heading, pos::INT AS pos, item,

@@ -276,15 +276,26 @@ def write_predictions(store: Store, scored: DataFrame) -> None:
     write_json(scored.filter(F.col("fd_points") == rules.UNSCORED), store.path("no_predictions.json"))
 
 
-def best_rosters(scored: DataFrame, keep: int = rules.KEEP_ROSTERS, prune: bool = True) -> DataFrame:
-    """The best legal rosters; points are compared to a thousandth."""
+def best_rosters(
+    scored: DataFrame, keep: int = rules.KEEP_ROSTERS, prune: bool = True, literal: bool = False
+) -> DataFrame:
+    """The best legal rosters; points are compared to a thousandth.
+
+    ``literal`` first combines the shortstop with three outfielders and keeps the best group per cost,
+    whatever its teams; the default compares all legal rosters of the candidates.
+    """
     players = scored.select(
         "position", "team", F.col("contest_key").alias("player"), F.col("salary").cast("bigint").alias("cost"),
         F.round(F.col("fd_points") * 1000).cast("bigint").alias("points"), "secondary_sort",
     )
     if prune:
         players = roster.prune_candidates(players, rules.PER_SALARY, [F.desc("secondary_sort")])
-    found = roster.top_rosters(players.drop("secondary_sort"), rules.ROSTER_SLOTS, rules.SALARY_CAP, rules.TEAM_LIMIT, keep)
+    players, slots = players.drop("secondary_sort"), rules.ROSTER_SLOTS
+    if literal:
+        groups = roster.precombine(players, "SS", "OF", 3, rules.SALARY_CAP, "SS+OF").drop("n_skipped")
+        players = roster.as_groups(players).unionByName(groups)
+        slots = (*[s for s in slots if s not in ("SS", "OF")], "SS+OF")
+    found = roster.top_rosters(players, slots, rules.SALARY_CAP, rules.TEAM_LIMIT, keep)
     return found.withColumn("points", F.col("points") / F.lit(1000.0))
 
 

@@ -21,7 +21,9 @@ from ..operators.shape import conform, one_or_many, re_role
 from . import schemas
 
 LINE_SCORE, EVENTS, BOX_SCORE, PLAYERS = "linescore.json", "game_events.json", "boxscore.json", "players.xml"
-MANIFEST = (LINE_SCORE, EVENTS, BOX_SCORE, PLAYERS)
+TOPICS = (LINE_SCORE, EVENTS, BOX_SCORE, PLAYERS)
+# fixed values: the files a game directory may offer, below it where a folder is named
+MANIFEST = ("game.xml", EVENTS, BOX_SCORE, PLAYERS, LINE_SCORE, "inning/inning_all.xml")
 
 
 def months_between(start: date, stop: date) -> list[str]:
@@ -60,7 +62,7 @@ def read_documents(
     return docs.drop("day")
 
 
-def list_games(spark: SparkSession, root: str, manifest: tuple[str, ...] = MANIFEST) -> DataFrame:
+def list_games(spark: SparkSession, root: str, manifest: tuple[str, ...] = TOPICS) -> DataFrame:
     """(game_id, file_name, bytes) of the files that are there."""
     files = (
         spark.read.format("binaryFile")
@@ -217,7 +219,7 @@ def game_players(docs: DataFrame) -> DataFrame:
     return conform(rows, schemas.GAME_PLAYERS)
 
 
-def missing_files(spark: SparkSession, root: str, topics: tuple[str, ...] = MANIFEST) -> DataFrame:
+def missing_files(spark: SparkSession, root: str, topics: tuple[str, ...] = TOPICS) -> DataFrame:
     """(game_id, file_name) pairs a game directory lacks: postponed games and failed fetches."""
     present = list_games(spark, root, topics).select("game_id", "file_name")
     wanted = present.select("game_id").distinct().withColumn("file_name", F.explode(F.array(*[F.lit(t) for t in topics])))

@@ -39,7 +39,7 @@ def url_parts(url: Column) -> dict[str, Column]:
 def sections(html: Column, heading_open: str, item: str) -> Column:
     """Array of (heading_no, heading, items) where the items follow their heading.
 
-    ``heading_open`` is the text that starts a heading; the heading runs up to the next tag.  ``item`` is
+    ``heading_open`` is the text that starts a heading; the heading is the first text in it.  ``item`` is
     a pattern with one group.  Everything happens inside the row, so a page never has to be regrouped.
     """
     parts = F.split(html, heading_open)
@@ -47,7 +47,7 @@ def sections(html: Column, heading_open: str, item: str) -> Column:
         parts,
         lambda part, i: F.struct(
             i.alias("heading_no"),
-            F.when(i > 0, F.regexp_extract(part, r"^[^>]*>([^<]*)", 1)).alias("heading"),
+            F.when(i > 0, F.regexp_extract(part, r"^[^>]*>(?:<[^>]*>)*([^<]*)", 1)).alias("heading"),
             F.regexp_extract_all(part, F.lit(item), F.lit(1)).alias("items"),
         ),
     )
@@ -80,3 +80,28 @@ def roster_rows(pages: DataFrame, team: str, html: str) -> DataFrame:
         team, heading.alias("section"), cell(0).alias("number"), cell(1).alias("name"), cell(2).alias("position"),
         section_status(heading).alias("active"),
     )
+
+
+def game_file_links(games: DataFrame, address: str, names: tuple[str, ...]) -> DataFrame:
+    """One row per game and wanted file with its full address."""
+    return games.withColumn("file_name", F.explode(F.array(*[F.lit(n) for n in names]))).withColumn(
+        "file_address", F.concat_ws("/", F.rtrim(F.col(address), F.lit("/")), "file_name")
+    )
+
+
+def inclusive_range(links_: DataFrame, order: str, address: str, start: str, stop: str) -> DataFrame:
+    """Addresses from the first one that meets ``start`` to the first one that meets ``stop``, both included.
+
+    Two addresses meet when one contains the other, as deeper links do.  Without a start nothing is kept.
+    """
+
+    def meets(boundary: str) -> Column:
+        return F.contains(F.col(address), F.lit(boundary)) | F.contains(F.lit(boundary), F.col(address))
+
+    ends = links_.agg(
+        F.min(F.when(meets(start), F.col(order))).alias("lo"), F.min(F.when(meets(stop), F.col(order))).alias("hi")
+    ).first()
+    if ends["lo"] is None:
+        return links_.limit(0)
+    kept = links_.filter(F.col(order) >= F.lit(ends["lo"]))
+    return kept if ends["hi"] is None else kept.filter(F.col(order) <= F.lit(ends["hi"]))

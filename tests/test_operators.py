@@ -322,3 +322,20 @@ def test_search_limits(spark):
     assert roster.combinations(df.limit(4), "OF", 3).count() == 4
     with pytest.raises(ValueError, match="multiple"):
         roster.top_rosters(df, ["OF"], 400, 4, unit=30)
+
+
+def test_precombined_groups(spark, rows):
+    data = [("SS", "A", "s1", 100, 5), ("OF", "A", "o1", 100, 9), ("OF", "B", "o2", 100, 7), ("OF", "C", "o3", 100, 6), ("OF", "D", "o4", 200, 1), ("C", "A", "c1", 100, 2)]
+    df = spark.createDataFrame(data, "position string, team string, player string, cost long, points long")
+    groups = roster.precombine(df, "SS", "OF", 3, 1000, "X")
+    assert rows(groups, "cost", "points", "n_skipped") == [(400, 27, 0), (500, 22, 2)]
+    both = roster.as_groups(df).unionByName(groups.drop("n_skipped"))
+    best = roster.top_rosters(both, ["C", "X"], 1000, 3).orderBy("rank").collect()
+    assert [(r["players"], r["points"]) for r in best] == [("c1,o1,o2,o3,s1", 29), ("c1,o1,o2,o4,s1", 24)]
+    # the exact search also finds the groups the shortcut hides
+    assert roster.top_rosters(df, ["C", "SS", "OF", "OF", "OF"], 1000, 3).count() == 4
+
+
+def test_default_points(spark, rows):
+    a = spark.createDataFrame([("x",), ("y",)], "name string")
+    assert rows(roster.with_points(a, spark.createDataFrame([("x", 3)], "name string, points int"), ["name"])) == [("x", 3), ("y", 0)]
