@@ -22,7 +22,8 @@ from .joins import lookup
 from .rollup import best_per_cost
 from .topk import top_k_by_group
 
-MAX_CANDIDATES = 20_000
+MAX_CANDIDATES = 5_000
+BROADCAST_ROWS = 2_000_000
 _IMPOSSIBLE = np.iinfo(np.int64).min // 4
 
 
@@ -79,43 +80,78 @@ def number_candidates(candidates: DataFrame) -> DataFrame:
     return as_groups(candidates).withColumn("cid", F.row_number().over(by_points))
 
 
-def combinations(candidates: DataFrame, position: str, picks: int) -> DataFrame:
-    """Unordered selections of ``picks`` different candidates of one position.
+_PICK = ("players", "teams", "cost", "points", "cid")
 
-    Built by extension in rank order; the candidate table must be a pruned one.
-    """
-    pool = number_candidates(checked(candidates).filter(F.col("position") == position))
-    nxt = F.broadcast(pool.select("position", *[F.col(c).alias(f"n_{c}") for c in _PICK]))
-    out = pool.select("position", *_PICK)
-    for _ in range(picks - 1):
-        out = out.join(nxt, "position").filter(F.col("n_cid") > F.col("cid")).select("position", *_extended())
-    return out.drop("cid", "position")
 
+def _with_budget(picks: DataFrame, cap: int, unit: int) -> DataFrame:
+    """Partial rosters with the budget they have left, in units; those over the cap are dropped."""
+    left = ((F.lit(cap) - F.col("cost")) / F.lit(unit)).cast("int")
+    return picks.filter(F.col("cost") <= cap).select(*_PICK, left.alias("left"))
 
-_PICK = ("players", "teams", "cost", "points", "cid")
 
+def _menu(pool: DataFrame, cap: int, unit: int, reach: np.ndarray | None = None) -> DataFrame:
+    """What each budget can buy: a candidate appears under every budget that pays for it.
 
-def _extended() -> list:
-    return [
+    This turns "fits into the budget" into an equality, so partial rosters only meet candidates they
+    can pay.  With ``reach`` (most points for each budget left afterwards) a row also tells the most
+    points the roster can gain from here on.
+    """
+    grid = cap // unit
+    price = (F.col("cost") / F.lit(unit)).cast("int")
+    rows = pool.filter(F.col("cost") <= cap).withColumn("left", F.explode(F.sequence(price, F.lit(grid))))
+    gain = F.lit(None).cast("bigint")
+    if reach is not None:
+        later = F.from_json(F.lit(json.dumps(reach.tolist())), "array<bigint>")
+        gain = F.col("points") + F.get(later, F.col("left") - price)
+    return rows.select("left", gain.alias("gain"), price.alias("price"), *[F.col(c).alias(f"n_{c}") for c in _PICK])
+
+
+def _extend(out: DataFrame, menu: DataFrame, small: bool, wanted=None) -> DataFrame:
+    """Add one affordable candidate to each partial roster where ``wanted`` holds."""
+    joined = out.join(F.broadcast(menu) if small else menu, "left")
+    return (joined if wanted is None else joined.filter(wanted)).select(
         F.concat("players", "n_players").alias("players"),
         F.concat("teams", "n_teams").alias("teams"),
         (F.col("cost") + F.col("n_cost")).alias("cost"),
         (F.col("points") + F.col("n_points")).alias("points"),
         F.col("n_cid").alias("cid"),
-    ]
+        (F.col("left") - F.col("price")).alias("left"),
+    )
+
+
+def _is_small(n_candidates: int, cap: int, unit: int) -> bool:
+    return n_candidates * (cap // unit + 1) <= BROADCAST_ROWS
+
+
+def combinations(candidates: DataFrame, position: str, picks: int, cap: int, unit: int = 100) -> DataFrame:
+    """Unordered selections of ``picks`` different candidates of one position that the cap pays for.
 
+    Built by extension in rank order; the candidate table must be a pruned one.
+    """
+    pool = number_candidates(checked(candidates).filter(F.col("position") == position))
+    menu, small = _menu(pool, cap, unit), _is_small(MAX_CANDIDATES, cap, unit)
+    out = _with_budget(pool, cap, unit)
+    for _ in range(picks - 1):
+        out = _extend(out, menu, small, F.col("n_cid") > F.col("cid"))
+    return out.drop("left")
+
+
+def join_position(groups: DataFrame, candidates: DataFrame, position: str, cap: int, unit: int = 100) -> DataFrame:
+    """Groups with one more candidate of a position, as far as the cap pays for both."""
+    pool = number_candidates(checked(candidates).filter(F.col("position") == position))
+    return _extend(_with_budget(groups, cap, unit), _menu(pool, cap, unit), _is_small(MAX_CANDIDATES, cap, unit)).drop("left", "cid")
 
-def precombine(candidates: DataFrame, single: str, repeated: str, picks: int, cap: int, name: str) -> DataFrame:
+
+def precombine(
+    candidates: DataFrame, single: str, repeated: str, picks: int, cap: int, name: str, unit: int = 100
+) -> DataFrame:
     """One candidate of a position with several of another as new candidates, only the best per total cost.
 
     This ignores the team limit, so a legal roster may hide behind one that is not; use it only where
     that shortcut is wanted.  ``n_skipped`` counts the groups a kept one stands for.
     """
-    triples = combinations(candidates, repeated, picks).filter(F.col("cost") <= cap).withColumn("position", F.lit(name))
-    one = as_groups(candidates.filter(F.col("position") == single)).withColumn("position", F.lit(name))
-    side = one.select("position", *[F.col(c).alias(f"n_{c}") for c in ("players", "teams", "cost", "points")]).withColumn("n_cid", F.lit(0))
-    groups = triples.join(F.broadcast(side), "position").select("position", *_extended()).drop("cid")
-    return best_per_cost(groups, ["position", "cost"], "points", ["players"])
+    groups = join_position(combinations(candidates, repeated, picks, cap, unit), candidates, single, cap, unit)
+    return best_per_cost(groups, ["cost"], "points", ["players"]).withColumn("position", F.lit(name))
 
 
 def largest_team(teams) -> F.Column:
@@ -179,38 +215,25 @@ def rosters_at_least(
 ) -> DataFrame:
     """All legal rosters with at least ``floor`` points.
 
-    ``candidates`` must be numbered and of checked size.  Each step joins on the slot's position; the
-    budget and the score bound are part of the join condition, so hopeless pairs are never emitted.
+    ``candidates`` must be numbered and of checked size.  Each step is an equi-join on the budget left
+    with the menu of the next slot; the score bound drops pairs that cannot reach the floor any more.
     """
-    def next_slot(i: int):
-        return F.lit(slots[i] if i < len(slots) else None).cast("string").alias("__slot")
-
-    first = candidates.filter((F.col("position") == slots[0]) & (F.col("cost") <= cap))
-    out = first.filter(_hopeful(F.col("cost"), F.col("points"), 1, cap, floor, bounds)).select(
-        *_PICK, next_slot(1)
-    )
+    unit, small = bounds.unit, _is_small(MAX_CANDIDATES, cap, bounds.unit)
+    reach = F.from_json(F.lit(json.dumps(bounds.table[1].tolist())), "array<bigint>")
+    out = _with_budget(candidates.filter(F.col("position") == slots[0]), cap, unit)
+    out = out.filter(F.col("points") + F.get(reach, F.col("left")) >= F.lit(floor))
     for i, slot in enumerate(slots[1:], start=1):
-        pool = candidates.filter(F.col("position") == slot).select(
-            F.col("position").alias("__slot"), *[F.col(c).alias(f"n_{c}") for c in _PICK]
-        )
-        cost, points = F.col("cost") + F.col("n_cost"), F.col("points") + F.col("n_points")
-        wanted = (cost <= cap) & _hopeful(cost, points, i + 1, cap, floor, bounds)
+        menu = _menu(candidates.filter(F.col("position") == slot), cap, unit, bounds.table[i + 1])
+        wanted = F.col("points") + F.col("gain") >= F.lit(floor)
         wanted = wanted & (largest_team(F.concat("teams", "n_teams")) <= team_limit)
         if slot == slots[i - 1]:
             wanted = wanted & (F.col("n_cid") > F.col("cid"))
-        out = out.join(F.broadcast(pool), "__slot").filter(wanted).select(*_extended(), next_slot(i + 1))
+        out = _extend(out, menu, small, wanted)
         if i == 2:
             out = out.repartition(F.hash("players"))
     return out.select("players", "teams", "cost", "points")
 
 
-def _hopeful(cost, points, slot: int, cap: int, floor: int, bounds: _Bounds):
-    """The floor can still be reached with the budget that is left."""
-    reachable = F.from_json(F.lit(json.dumps(bounds.table[slot].tolist())), "array<bigint>")
-    left = ((F.lit(cap) - cost) / F.lit(bounds.unit)).cast("int")
-    return points + F.get(reachable, left) >= F.lit(floor)
-
-
 def _search(candidates, slots, cap, team_limit, unit, enough) -> DataFrame:
     """Lower the score floor until ``enough(rosters)`` holds, then every better roster is in the result."""
     slots = list(slots)

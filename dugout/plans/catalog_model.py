@@ -141,10 +141,10 @@ _RANKED = "r AS (SELECT *, row_number() OVER (PARTITION BY position ORDER BY poi
     SELECT a.player || ',' || b.player || ',' || c.player AS players, a.cost + b.cost + c.cost AS cost,
            (a.points + b.points + c.points)::BIGINT AS points
     FROM r a JOIN r b ON b.position = a.position AND b.cid > a.cid JOIN r c ON c.position = a.position AND c.cid > b.cid
-    WHERE a.position = 'PROMO'"""
+    WHERE a.position = 'PROMO' AND a.cost + b.cost + c.cost <= 7000"""
 )
 def combos3(t):
-    triples = roster.combinations(_candidates(t, 1), "PROMO", 3)
+    triples = roster.combinations(_candidates(t, 1), "PROMO", 3, cap=7000)
     return triples.select(F.array_join("players", ",").alias("players"), "cost", "points")
 
 
@@ -156,18 +156,11 @@ _GROUPS = f"""{_RANKED},
 
 
 def _groups(t):
-    """Three of one position with one of another, as cost, points, players and teams."""
-    pruned = roster.checked(_candidates(t, 1))
-    one = pruned.filter(F.col("position") == "SMALL").select(
-        F.lit(1).alias("g"), *[F.col(c).alias(f"s_{c}") for c in ("player", "team", "cost", "points")]
-    )
-    triples = roster.combinations(pruned, "PROMO", 3).withColumn("g", F.lit(1))
-    # at most one row per cost on the small side
-    paired = triples.repartition(F.hash("players")).join(F.broadcast(one), "g")
-    return paired.select(
-        F.concat_ws(",", F.array_join("players", ","), "s_player").alias("players"), (F.col("cost") + F.col("s_cost")).alias("cost"),
-        (F.col("points") + F.col("s_points")).alias("points"), F.concat("teams", F.array("s_team")).alias("teams"),
-    )
+    """Three of one position with one of another, as cost, points, players and teams; the cap pays for all."""
+    pruned = _candidates(t, 1)
+    triples = roster.combinations(pruned, "PROMO", 3, cap=20000).repartition(F.hash("players"))
+    groups = roster.join_position(triples, pruned, "SMALL", cap=20000)
+    return groups.withColumn("players", F.array_join("players", ","))
 
 
 @query(

@@ -319,7 +319,7 @@ def test_search_limits(spark):
     assert roster.top_rosters(df, ["OF"] * 5, 500, 4).count() == 0
     assert roster.top_rosters(df, ["OF"] * 4, 400, 4).count() == 5
     assert roster.top_rosters(df, ["OF"] * 4, 300, 4).count() == 0
-    assert roster.combinations(df.limit(4), "OF", 3).count() == 4
+    assert roster.combinations(df.limit(4), "OF", 3, 400).count() == 4
     with pytest.raises(ValueError, match="multiple"):
         roster.top_rosters(df, ["OF"], 400, 4, unit=30)
 
@@ -339,3 +339,13 @@ def test_precombined_groups(spark, rows):
 def test_default_points(spark, rows):
     a = spark.createDataFrame([("x",), ("y",)], "name string")
     assert rows(roster.with_points(a, spark.createDataFrame([("x", 3)], "name string, points int"), ["name"])) == [("x", 3), ("y", 0)]
+
+
+def test_search_uses_equi_joins(spark):
+    data = [("C", "A", f"c{i}", 100 * i, i) for i in range(1, 5)] + [("OF", "B", f"o{i}", 100 * i, i) for i in range(1, 6)]
+    df = roster.number_candidates(spark.createDataFrame(data, "position string, team string, player string, cost long, points long"))
+    slots = ["C", "OF", "OF"]
+    found = roster.rosters_at_least(df, slots, 900, 2, 0, roster._bounds(df, slots, 900, 100))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and plan.count("BroadcastHashJoin") == 2
+    assert found.count() == 27
