@@ -108,12 +108,15 @@ def valid_at(history: DataFrame, moment, start: str = START, stop: str = STOP) -
 
 def fan_out_sides(df: DataFrame, sides: dict[str, str], side: str = "side", member: str = "member") -> DataFrame:
     """One row per side of a record; when both sides name the same member it appears once."""
-    pairs = [F.struct(F.lit(label).alias(side), F.col(column).alias(member)) for label, column in sides.items()]
-    seen = F.array_distinct(F.array(*[F.col(c) for c in sides.values()]))
-    first = F.transform(
-        seen, lambda m: F.element_at(F.filter(F.array(*pairs), lambda p: p[member].eqNullSafe(m)), 1)
-    )
-    return df.withColumn("__side", F.explode(first)).select(
+    entries, earlier = [], []
+    for label, column in sides.items():
+        entry = F.struct(F.lit(label).alias(side), F.col(column).alias(member))
+        repeated = F.lit(False)
+        for c in earlier:
+            repeated = repeated | F.col(column).eqNullSafe(F.col(c))
+        entries.append(F.when(~repeated, entry))
+        earlier.append(column)
+    return df.withColumn("__side", F.explode(F.array_compact(F.array(*entries)))).select(
         *df.columns, F.col(f"__side.{side}").alias(side), F.col(f"__side.{member}").alias(member)
     )
 
