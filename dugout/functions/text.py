@@ -50,17 +50,16 @@ def splice_starts(items: Column, budget: int) -> Column:
 
     Only a break makes the array grow, so the cost stays near-linear in the number of items.
     """
-    lengths = F.transform(items, lambda x, i: F.struct(i.cast("int").alias("i"), F.length(x).alias("n")))
-    state = F.struct(F.array(F.lit(0)).alias("starts"), F.lit(0).alias("used"))
+    def state(starts, used, at):
+        return F.struct(starts.alias("starts"), used.alias("used"), at.alias("at"))
 
     def step(acc, item):
-        fits = acc["used"] + item["n"] <= F.lit(budget)
-        return F.struct(
-            F.when(fits, acc["starts"]).otherwise(F.concat(acc["starts"], F.array(item["i"]))).alias("starts"),
-            F.when(fits, acc["used"] + item["n"]).otherwise(item["n"]).alias("used"),
-        )
+        size, following = F.length(item), acc["at"] + F.lit(1)
+        return F.when(
+            acc["used"] + size <= F.lit(budget), state(acc["starts"], acc["used"] + size, following)
+        ).otherwise(state(F.concat(acc["starts"], F.array(acc["at"])), size, following))
 
-    return F.aggregate(lengths, state, step, lambda acc: acc["starts"])
+    return F.aggregate(items, state(F.array(F.lit(0)), F.lit(0), F.lit(0)), step, lambda acc: acc["starts"])
 
 
 def splice(items: Column, budget: int) -> Column:
