@@ -32,13 +32,13 @@ def top_k_by_group(
 
 
 def mark_first(df: DataFrame, keys: Sequence[str], order: str, flag: str) -> DataFrame:
-    """Flag the row with the smallest ``order`` value of its group (values are unique in a group).
+    """Flag the row with the smallest ``order`` value of its group.
 
-    A minimum is combined before the shuffle and the join lets adaptive execution split a large
-    group, which a window over the group would not.
+    The minimum is combined before the shuffle.  The join back is on the order column as well, so the
+    rows of a large group spread over many tasks, which a window over the group would not allow.
     """
-    firsts = df.groupBy(*keys).agg(F.min(order).alias("__first"))
-    return df.join(firsts, list(keys)).withColumn(flag, F.col(order) == F.col("__first")).drop("__first")
+    firsts = df.groupBy(*keys).agg(F.min(order).alias(order)).withColumn(flag, F.lit(True))
+    return df.join(firsts, [*keys, order], "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
