@@ -30,14 +30,24 @@ class HotKeys:
 
     keys: tuple[str, ...]
     splits: DataFrame | None
+    most_points: int = 0
 
     def segment(self, df: DataFrame, order: Sequence[str]) -> DataFrame:
-        """Add the segment number: how many cut points lie at or before the row."""
+        """Add the segment number: how many cut points lie at or before the row.
+
+        The points are sorted, so a binary search by descending powers of two finds the number in a
+        few comparisons per row; a step that leads past the end compares with null and is not taken.
+        """
         if self.splits is None:
             return df.withColumn(SEGMENT, F.lit(0))
         point = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])
         tagged = _null_safe_join(df, self.splits, self.keys, "left")
-        number = F.size(F.filter("__points", lambda p: p <= point))
+        steps = [1 << b for b in reversed(range(self.most_points.bit_length()))] or [1]
+
+        def search(found, step):
+            return F.when(F.get("__points", found + step - 1) <= point, found + step).otherwise(found)
+
+        number = F.aggregate(F.lit(steps), F.lit(0), search)
         return tagged.withColumn(SEGMENT, F.coalesce(F.when(F.col("__points").isNotNull(), number), F.lit(0))).drop(
             "__points"
         )
@@ -104,7 +114,8 @@ def find_hot_keys(
         step = max(_SAMPLES_PER_SEGMENT, math.ceil(len(points) * share))
         rows.append((*key, points[step::step]))
     schema = T.StructType([*key_fields, T.StructField("__points", points_type)])
-    return HotKeys(tuple(keys), spark.createDataFrame(rows, schema))
+    splits = spark.createDataFrame(rows, schema).withColumn("__points", F.array_sort("__points"))
+    return HotKeys(tuple(keys), splits, max(len(r[-1]) for r in rows))
 
 
 def number_rows(
