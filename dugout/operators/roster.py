@@ -106,10 +106,14 @@ def _menu(pool: DataFrame, cap: int, unit: int, reach: np.ndarray | None = None)
     return rows.select("left", gain.alias("gain"), price.alias("price"), *[F.col(c).alias(f"n_{c}") for c in _PICK])
 
 
-def _extend(out: DataFrame, menu: DataFrame, small: bool, wanted=None) -> DataFrame:
-    """Add one affordable candidate to each partial roster where ``wanted`` holds."""
+def _extend(out: DataFrame, menu: DataFrame, small: bool, cap: int, wanted=None) -> DataFrame:
+    """Add one affordable candidate to each partial roster where ``wanted`` holds.
+
+    Units round down, so the join never misses a candidate; the exact cost decides.
+    """
+    fits = F.col("cost") + F.col("n_cost") <= cap
     joined = out.join(F.broadcast(menu) if small else menu, "left")
-    return (joined if wanted is None else joined.filter(wanted)).select(
+    return joined.filter(fits if wanted is None else fits & wanted).select(
         F.concat("players", "n_players").alias("players"),
         F.concat("teams", "n_teams").alias("teams"),
         (F.col("cost") + F.col("n_cost")).alias("cost"),
@@ -132,14 +136,15 @@ def combinations(candidates: DataFrame, position: str, picks: int, cap: int, uni
     menu, small = _menu(pool, cap, unit), _is_small(MAX_CANDIDATES, cap, unit)
     out = _with_budget(pool, cap, unit)
     for _ in range(picks - 1):
-        out = _extend(out, menu, small, F.col("n_cid") > F.col("cid"))
+        out = _extend(out, menu, small, cap, F.col("n_cid") > F.col("cid"))
     return out.drop("left")
 
 
 def join_position(groups: DataFrame, candidates: DataFrame, position: str, cap: int, unit: int = 100) -> DataFrame:
     """Groups with one more candidate of a position, as far as the cap pays for both."""
     pool = number_candidates(checked(candidates).filter(F.col("position") == position))
-    return _extend(_with_budget(groups, cap, unit), _menu(pool, cap, unit), _is_small(MAX_CANDIDATES, cap, unit)).drop("left", "cid")
+    menu, small = _menu(pool, cap, unit), _is_small(MAX_CANDIDATES, cap, unit)
+    return _extend(_with_budget(groups, cap, unit), menu, small, cap).drop("left", "cid")
 
 
 def precombine(
@@ -228,7 +233,7 @@ def rosters_at_least(
         wanted = wanted & (largest_team(F.concat("teams", "n_teams")) <= team_limit)
         if slot == slots[i - 1]:
             wanted = wanted & (F.col("n_cid") > F.col("cid"))
-        out = _extend(out, menu, small, wanted)
+        out = _extend(out, menu, small, cap, wanted)
         if i == 2:
             out = out.repartition(F.hash("players"))
     return out.select("players", "teams", "cost", "points")

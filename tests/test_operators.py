@@ -349,3 +349,10 @@ def test_search_uses_equi_joins(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan and plan.count("BroadcastHashJoin") == 2
     assert found.count() == 27
+
+
+def test_costs_between_units_count_exactly(spark, rows):
+    data = [("OF", "A", "a", 150, 1), ("OF", "B", "b", 199, 1), ("OF", "C", "c", 101, 1), ("OF", "D", "d", 202, 1)]
+    df = spark.createDataFrame(data, "position string, team string, player string, cost long, points long")
+    pairs = roster.combinations(df, "OF", 2, 300)
+    assert rows(pairs, "cost") == [(251,), (300,)]
