@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -39,16 +40,23 @@ def local_session(app: str = "dugout", cores: int | str = "*", partitions: int =
     return tune(spark)
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder the cluster names; local only where none is named."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+def scratch_path(spark: SparkSession, name: str, folder: str | None = None) -> str:
+    """A fresh path below the shared folder: ``folder``, else the setting ``spark.checkpoint.dir``.
+
+    Without either, a local folder is made for a local master only; on a cluster that is an error, because
+    executors would write to disks that nobody else reads.
+    """
+    base = folder or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"master {master!r} needs a shared folder: set spark.checkpoint.dir or pass one")
         base = tempfile.mkdtemp(prefix="dugout-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df, name: str):
+def materialise(df, name: str, folder: str | None = None):
     """Write an intermediate result to the shared folder and read it back, so its lineage ends there."""
-    path = scratch_path(df.sparkSession, name)
+    path = scratch_path(df.sparkSession, name, folder)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
