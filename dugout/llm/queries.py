@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import tune
-from . import exact_dedup, license_scan, url_filter
+from . import exact_dedup, license_scan, packing, token_count, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -93,3 +93,31 @@ FROM d WINDOW g AS (PARTITION BY text_sha256)"""
 def op9_exact_dedup(documents: DataFrame, folder: str) -> DataFrame:
     found = exact_dedup.exact_copies(documents)
     return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+OP3_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, sha1(b) AS payload_digest FROM p),
+m AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) END AS original FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN original <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN original <> page_id THEN original END AS refers_to FROM m"""
+
+
+@query("pages", OP3_SQL)
+def op3_warc_revisits(pages: DataFrame, folder: str) -> DataFrame:
+    return warc.archive_pages(pages).drop("path", "place")
+
+
+@query("documents")
+def op4_token_counts(documents: DataFrame, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    counted = token_count.count_tokens(documents, public_tokenizers.path("piece_bpe_32k.model"))
+    return counted.withColumnRenamed("id", "doc_id")
+
+
+@query("documents")
+def op5_square_packing(documents: DataFrame, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(documents, public_tokenizers.path("word_bpe_49k.json")).withColumnRenamed("id", "doc_id")
