@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import tune
-from . import exact_dedup, license_scan, packing, token_count, url_filter, warc
+from . import exact_dedup, license_scan, near_dedup, packing, token_count, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -20,6 +20,7 @@ def query(table: str, sql: str | None = None):
     def register(build):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             folder = sf_dir.rstrip("/")
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")  # whole texts are long
             return build(tune(spark).read.parquet(f"{folder}/{table}.parquet"), folder)
 
         QUERIES[build.__name__] = run
@@ -121,3 +122,22 @@ def op5_square_packing(documents: DataFrame, folder: str) -> DataFrame:
     import public_tokenizers
 
     return packing.pack(documents, public_tokenizers.path("word_bpe_49k.json")).withColumnRenamed("id", "doc_id")
+
+
+OP2_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM w),
+e AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.g = b.g AND a.doc_id <> b.doc_id
+      GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 75 * (min(a.n) + min(b.n) - count(*))),
+r AS (SELECT doc_id AS root, doc_id AS node FROM s UNION SELECT r.root, p.b FROM r JOIN p ON r.node = p.a),
+c AS (SELECT root, min(node) AS component_id FROM r GROUP BY root)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, component_id, s.doc_id = component_id AS kept FROM s JOIN c ON s.doc_id = c.root"""
+
+
+@query("documents", OP2_SQL)
+def op2_near_dedup(documents: DataFrame, folder: str) -> DataFrame:
+    return near_dedup.near_duplicates(documents).withColumnRenamed("id", "doc_id")
