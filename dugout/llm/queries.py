@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import tune
-from . import exact_dedup, license_scan, near_dedup, packing, token_count, url_filter, warc
+from . import exact_dedup, language_id, license_scan, near_dedup, packing, token_count, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -141,3 +141,8 @@ SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, component_id, s.doc_id = compon
 @query("documents", OP2_SQL)
 def op2_near_dedup(documents: DataFrame, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(documents).withColumnRenamed("id", "doc_id")
+
+
+@query("documents")
+def op10_language_id(documents: DataFrame, folder: str) -> DataFrame:
+    return language_id.predict_languages(documents).withColumnRenamed("id", "doc_id")
