@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import tune
-from . import exact_dedup, language_id, license_scan, near_dedup, packing, token_count, url_filter, warc
+from . import exact_dedup, language_id, license_scan, near_dedup, packing, token_count, toxicity, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -146,3 +146,10 @@ def op2_near_dedup(documents: DataFrame, folder: str) -> DataFrame:
 @query("documents")
 def op10_language_id(documents: DataFrame, folder: str) -> DataFrame:
     return language_id.predict_languages(documents).withColumnRenamed("id", "doc_id")
+
+
+@query("documents")
+def op8_toxicity(documents: DataFrame, folder: str) -> DataFrame:
+    labels = documents.sparkSession.read.parquet(f"{folder}/labels.parquet")
+    scored = toxicity.score_toxicity(documents, labels).withColumnRenamed("id", "doc_id")
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
