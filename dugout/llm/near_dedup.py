@@ -7,11 +7,11 @@ meets in some table with probability (1 - (1 - 0.75 ** ROWS) ** HALVES) ** 2, 0.
 
 Half keys that only one document has cannot meet and are dropped before pairs are formed; documents with equal
 shingle sets are one node.  In each table cell every node is compared with the smallest and the largest node
-(two pairs per entry, however large the cell).  Where a cell then still has nodes of different components, the
-pairs across components are compared too: directly in cells of at most ``SMALL_CELL`` nodes, and in larger ones
-by an exact prefix join of their nodes (two sets that are similar enough share one of the first n - ceil(0.75 n)
-+ 1 shingles of any common order; frequent shingles come last in that order).  Links are confirmed on the full
-shingle sets; a comparison of the sketches, wrong at most once in a million links, saves most of that.
+(two pairs per entry, however large the cell).  Nodes of cells that then still hold several components go through
+an exact prefix join across components (two sets that are similar enough share one of the first n - ceil(0.75 n)
++ 1 shingles of any common order, and behind the first shared one both rests must be long enough; frequent
+shingles come last in that order).  So no pairs are formed within a group of copies.  Links are confirmed on the
+full shingle sets; a comparison of the sketches, wrong at most once in a million links, saves most of that.
 
 Defined cases: null or empty texts have no shingles, link with nothing and are their own component; fewer than
 ``WORDS`` words are one shingle; rows that repeat an id are one document; a null id links with nothing, has a
@@ -35,7 +35,6 @@ WORDS = 5
 PERCENT = 75
 HALVES = 16
 ROWS = 4
-SMALL_CELL = 16
 FREQUENT = 10_000
 _MARGIN = 0.25
 
@@ -169,9 +168,11 @@ def _with_labels(entries: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _prefix_pairs(labelled: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs across components that share a prefix shingle, among the nodes given.
+    """Pairs (a, b) across components whose first common shingle leaves room for a link, among the nodes given.
 
-    Shingles that a bounded frequency sketch calls common come last in the order, all others by their hash.
+    Order of shingles: those that a bounded frequency sketch does not list by their hash, then the listed ones by
+    frequency.  Each node sends its prefix with the places.  A pair is kept if, were this its first common
+    shingle, both rests would be long enough; that holds for the first common shingle of every link.
     """
     members = labelled.select("node", "label").distinct().join(sets, "node")
 
@@ -181,28 +182,30 @@ def _prefix_pairs(labelled: DataFrame, sets: DataFrame, percent: int) -> DataFra
                 yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(x.as_py(), np.int64))], ["shingle"])
 
     sketch = members.select("shingles").mapInArrow(spread, "shingle long").agg(F.expr(f"approx_top_k(shingle, {FREQUENT}, {8 * FREQUENT})").alias("top"))
-    common = sketch.select(F.filter("top", lambda t: t["count"] > 2)["item"].alias("common")).first()["common"]
-    frequent = np.array(sorted(common or []), np.int64).view(np.uint64)
+    listed = sorted((np.uint64(t["item"] % 2**64), t["count"]) for t in sketch.first()["top"] or () if t["count"] > 1)
+    frequent = np.array([t[0] for t in listed] or [0], np.uint64)
+    count = np.array([t[1] for t in listed] or [0], np.int64)
 
     def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for node, label, x in zip(batch.column(0), batch.column(1), batch.column(2)):
                 x = np.frombuffer(x.as_py(), np.uint64)
-                late = np.isin(x, frequent)
-                ordered = np.concatenate([x[~late], x[late]])
+                place = np.minimum(np.searchsorted(frequent, x), len(frequent) - 1)
+                ordered = x[np.lexsort((x, np.where(frequent[place] == x, count[place], 0)))]
                 first = ordered[: len(x) - (-(-percent * len(x) // 100)) + 1].view(np.int64)
-                columns = [pa.array([v.as_py()] * len(first), pa.int64()) for v in (node, label)]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(first)], ["node", "label", "shingle"])
+                same = [pa.array(np.full(len(first), v), pa.int64()) for v in (node.as_py(), label.as_py(), len(x))]
+                yield pa.RecordBatch.from_arrays([*same, pa.array(np.arange(len(first))), pa.array(first)], ["node", "label", "n", "at", "shingle"])
 
-    rows = materialise(members.select("node", "label", "shingles").mapInArrow(prefix, "node long, label long, shingle long"), "prefixes")
-    mixed = rows.groupBy("shingle").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("shingle")
-    rows = materialise(rows.join(mixed, "shingle"), "mixed")
-    return _across(rows, "shingle")
-
-
-def _across(rows: DataFrame, key: str) -> DataFrame:
-    other = rows.select(key, F.col("node").alias("b"), F.col("label").alias("other"))
-    return rows.join(other, key).filter("node < b AND label <> other").select(F.col("node").alias("a"), "b").distinct()
+    rows = members.select("node", "label", "shingles").mapInArrow(prefix, "node long, label long, n long, at long, shingle long")
+    rows = materialise(rows, "prefixes")
+    # the component that holds most nodes of a shingle is only met by the others, never by itself
+    most = rows.groupBy("shingle", "label").count().groupBy("shingle").agg(F.max_by("label", "count").alias("most"), F.count(F.lit(1)).alias("labels"))
+    rows = materialise(rows.join(most.filter("labels > 1").drop("labels"), "shingle"), "mixed")
+    other = rows.select("shingle", F.col("node").alias("node_2"), F.col("label").alias("label_2"), F.col("n").alias("n_2"), F.col("at").alias("at_2"))
+    room = (100 + percent) * (F.least(F.col("n") - F.col("at"), F.col("n_2") - F.col("at_2"))) >= percent * (F.col("n") + F.col("n_2"))
+    sizes = 100 * F.least("n", "n_2") >= percent * F.greatest("n", "n_2")
+    met = rows.filter("label <> most").join(other, "shingle").filter(F.expr("label <> label_2 AND (label_2 = most OR node < node_2)") & sizes & room)
+    return met.select(F.least("node", "node_2").alias("a"), F.greatest("node", "node_2").alias("b")).distinct()
 
 
 def near_duplicates(
@@ -213,7 +216,6 @@ def near_duplicates(
     percent: int = PERCENT,
     halves: int = HALVES,
     rows: int = ROWS,
-    small_cell: int = SMALL_CELL,
 ) -> DataFrame:
     """One row per document: id, n_shingles, component_id, kept."""
     found = materialise(features(docs, id_col, text_col, words, halves, rows), "features")
@@ -226,19 +228,16 @@ def near_duplicates(
     nodes = materialise(nodes.select(F.col("id").alias("node"), "n", "halves", "sketch"), "nodes")
 
     entries = materialise(table_entries(nodes, halves), "entries")
-    cells = entries.groupBy("cell").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count(F.lit(1)).alias("size")).filter("lo < hi")
+    cells = entries.groupBy("cell").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi")
     entries = materialise(entries.join(cells, "cell"), "cells")
     ends = entries.select("node", F.explode(F.array("lo", "hi")).alias("end")).filter("node <> end")
     star = ends.select(F.least("node", "end").alias("a"), F.greatest("node", "end").alias("b")).distinct()
     sets = materialise(shingle_rows(docs, entries.select("node").distinct(), id_col, text_col, words), "sets")
     links = materialise(confirm(star, nodes, sets, percent), "links")
 
-    labelled = _with_labels(entries.select("node", "cell", "size"), links)
+    labelled = _with_labels(entries.select("node", "cell"), links)
     mixed = labelled.groupBy("cell").agg(F.min("label").alias("first"), F.max("label").alias("last")).filter("first < last").select("cell")
-    open_cells = materialise(labelled.join(mixed, "cell"), "open-cells")
-    small = _across(open_cells.filter(F.col("size") <= small_cell), "cell")
-    large = _prefix_pairs(open_cells.filter(F.col("size") > small_cell), sets, percent)
-    rest = small.union(large).distinct().join(star, ["a", "b"], "left_anti")
+    rest = _prefix_pairs(materialise(labelled.join(mixed, "cell", "left_semi"), "open-cells"), sets, percent).join(star, ["a", "b"], "left_anti")
     links = materialise(links.union(confirm(rest, nodes, sets, percent)), "all-links")
 
     labels = connected_components(links).select("node", "label")

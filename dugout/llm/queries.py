@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import tune
-from . import exact_dedup, language_id, license_scan, near_dedup, packing, token_count, toxicity, url_filter, warc
+from . import decontaminate, exact_dedup, language_id, license_scan, near_dedup, packing, token_count, toxicity, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -153,3 +153,9 @@ def op8_toxicity(documents: DataFrame, folder: str) -> DataFrame:
     labels = documents.sparkSession.read.parquet(f"{folder}/labels.parquet")
     scored = toxicity.score_toxicity(documents, labels).withColumnRenamed("id", "doc_id")
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query("documents")
+def op7_benchmark_leaks(documents: DataFrame, folder: str) -> DataFrame:
+    benchmark = documents.sparkSession.read.parquet(f"{folder}/benchmark.parquet")
+    return decontaminate.find_leaks(documents, benchmark).withColumnRenamed("id", "doc_id")
