@@ -15,8 +15,10 @@ as documents of their own; an empty table gives no piece; other columns are not
 
 from __future__ import annotations
 
+import functools
 import os
 import re
+import string
 import zlib
 from collections.abc import Iterator
 
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 WINDOW = 2048
 END_ID = 1
 OPEN_LIMIT = 4096
-CACHED_WORDS = 400_000
+CACHED_WORDS = 700_000
 
 # ``str.split`` also cuts at these, which the tokenizer does not take for white space
 _NOT_SPACE = re.compile("[\x1c-\x1f]")
@@ -39,8 +41,9 @@ _CHUNK = re.compile(r"[^ \t\n\r\x0b\x0c]+")
 class ChunkTokenizer:
     """Ids of a text as little-endian 32-bit integers, looked up by chunk between white space.
 
-    The tokenizer never joins across white space, so the ids of a text are those of its chunks in a row.
-    ``limit`` bounds the chunks remembered by one worker.
+    The tokenizer never joins across white space, so the ids of a text are those of its chunks in a row.  Letters
+    with signs behind them are two of its words, and case does not matter, so such chunks are put together from what
+    is known of both.  ``limit`` bounds the chunks remembered by one worker.
     """
 
     def __init__(self, path: str, limit: int = CACHED_WORDS):
@@ -48,6 +51,8 @@ class ChunkTokenizer:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer, self.limit, self.known = Tokenizer.from_file(path), limit, {}
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.ends[[i for piece, i in self.tokenizer.get_vocab().items() if piece.endswith("</w>")]] = True
 
     def __call__(self, text: str) -> bytes:
         chunks = _CHUNK.findall(text) if _NOT_SPACE.search(text) else text.split()
@@ -55,13 +60,48 @@ class ChunkTokenizer:
         if None in found:
             if len(self.known) > self.limit:
                 self.known.clear()
-            missing = list({c for c, ids in zip(chunks, found) if ids is None})
-            coded = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-            new = {c: np.array(e.ids, "<u4").tobytes() for c, e in zip(missing, coded)}
+            missing = {c for c, ids in zip(chunks, found) if ids is None}
+            new = self._encode(missing)
             self.known.update(new)
             found = [new[c] if ids is None else ids for c, ids in zip(chunks, found)]
         return b"".join(found)
 
+    def _each(self, chunks: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+
+    def _encode(self, missing: set[str]) -> dict[str, bytes]:
+        letters: dict[str, tuple[str, str]] = {}
+        for c in missing:
+            body = c.rstrip(string.punctuation)
+            if body.isalpha():
+                letters[c] = (body.lower() if body.isascii() else body, c[len(body) :])
+        tails = {t for _, t in letters.values()}
+        others = list((missing - letters.keys()) | (tails - self.known.keys()))
+        new = dict(zip(others, self._each(others)))
+        words = list({w for w, _ in letters.values() if w not in self.known})
+        coded = self._words(words)
+        self.known.update(coded)
+        for c, (word, tail) in letters.items():
+            new[c] = self.known[word] + (new[tail] if tail in new else self.known[tail])
+        return new
+
+    def _words(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words of letters, coded as one text; each ends with a piece that closes a word."""
+        if not words:
+            return {}
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+        if len(ends) != len(words):  # a letter whose lower case is not a letter alone
+            return dict(zip(words, self._each(words)))
+        raw = ids.tobytes()
+        return {w: raw[a:b] for w, a, b in zip(words, [0, *ends], ends)}
+
+
+@functools.cache
+def chunk_tokenizer(path: str) -> ChunkTokenizer:
+    """One per worker process, so that later tasks find what earlier ones have looked up."""
+    return ChunkTokenizer(path)
+
 
 class SquarePacker:
     """Windows open at each fill level; yields (piece, sequence, offset, sequence length) when windows close.
@@ -156,7 +196,7 @@ def pack(
     names = ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "sequence_length"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = ChunkTokenizer(tokenizer_path)
+        tokens = chunk_tokenizer(tokenizer_path)
         packer = SquarePacker(window, TaskContext.get().partitionId() << 40, open_limit)
         kind = None
 

@@ -15,6 +15,7 @@ counted each on their own; other columns are not read.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -97,13 +98,19 @@ class TextCounter:
         return n_words, sum(map(self.pieces.__getitem__, parts)), sum(map(self.scores.__getitem__, parts))
 
 
+@functools.cache
+def text_counter(path: str, limit: int) -> TextCounter:
+    """One per worker process, so that later tasks find what earlier ones have looked up."""
+    return TextCounter(read_vocabulary(path), limit)
+
+
 def count_tokens(
     docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text", cached_words: int = CACHED_WORDS
 ) -> DataFrame:
     """One row per document: id, n_words, n_tokens, score (log-probability of the best segmentation)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = TextCounter(read_vocabulary(vocabulary_path), cached_words)
+        counter = text_counter(vocabulary_path, cached_words)
         for batch in batches:
             rows = [counter(text.as_py() or "") for text in batch.column(1)]
             words, pieces, scores = zip(*rows) if rows else ((), (), ())
