@@ -7,7 +7,7 @@ must hold one of its first size - c + 1 tokens (prefix filter), must have c temp
 filter), and from the place of a shared prefix token there must be enough tokens left on both sides (positional
 filter).  What passes is verified on the full sets, so the result is exact.
 
-Only tokens of the templates matter for containment; others are dropped when the text is read.  The template
+A template whose tokens are among those of another is found with it.  Only tokens of the templates matter for containment; others are dropped when the text is read.  The template
 tables are of the size of the parameter and are broadcast.
 
 Defined cases: null text counts as empty; an empty text has no words, no labels and score 0; repeated rows and
