@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+_PAGE = 256
 _LINEUP = r"^(\d+)\. (.+) \(([^)]*)\) (\S+)$"
 
 
@@ -48,18 +49,22 @@ def replacement_candidates(name: Column, pairs: Sequence[tuple[str, str]]) -> Co
 def splice_starts(items: Column, budget: int) -> Column:
     """Start indexes of greedy runs of consecutive items whose total length fits the budget.
 
-    Only a break makes the array grow, so the cost stays near-linear in the number of items.
+    Breaks are gathered in pages of ``_PAGE``, so a break copies one page at most and the cost stays linear.
     """
-    def state(starts, used, at):
-        return F.struct(starts.alias("starts"), used.alias("used"), at.alias("at"))
+    def state(pages, page, used, at):
+        return F.struct(pages.alias("pages"), page.alias("page"), used.alias("used"), at.alias("at"))
 
     def step(acc, item):
         size, following = F.length(item), acc["at"] + F.lit(1)
-        return F.when(
-            acc["used"] + size <= F.lit(budget), state(acc["starts"], acc["used"] + size, following)
-        ).otherwise(state(F.concat(acc["starts"], F.array(acc["at"])), size, following))
-
-    return F.aggregate(items, state(F.array(F.lit(0)), F.lit(0), F.lit(0)), step, lambda acc: acc["starts"])
+        full = F.size(acc["page"]) >= F.lit(_PAGE)
+        return (
+            F.when(acc["used"] + size <= F.lit(budget), state(acc["pages"], acc["page"], acc["used"] + size, following))
+            .when(full, state(F.concat(acc["pages"], F.array(acc["page"])), F.array(acc["at"]), size, following))
+            .otherwise(state(acc["pages"], F.concat(acc["page"], F.array(acc["at"])), size, following))
+        )
+
+    start = state(F.array().cast("array<array<int>>"), F.array(F.lit(0)), F.lit(0), F.lit(0))
+    return F.aggregate(items, start, step, lambda acc: F.concat(F.flatten(acc["pages"]), acc["page"]))
 
 
 def splice(items: Column, budget: int) -> Column:

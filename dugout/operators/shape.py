@@ -17,7 +17,10 @@ _SUPPORTED = (
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Cast columns to a schema; blank text becomes null for every type but string, absent columns null."""
+    """Cast columns to a schema; blank text becomes null for every type but string, absent columns null.
+
+    Other text that cannot be read as the type is an error.
+    """
     types = {f.name: f.dataType for f in df.schema.fields}
     out = []
     for f in schema.fields:
@@ -26,7 +29,7 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
         if f.name not in types:
             value = F.lit(None)
         elif isinstance(types[f.name], T.StringType) and not isinstance(f.dataType, T.StringType):
-            value = F.nullif(F.trim(f.name), F.lit("")).try_cast(f.dataType)
+            value = F.nullif(F.trim(f.name), F.lit(""))
         else:
             value = F.col(f.name)
         out.append(value.cast(f.dataType).alias(f.name))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -31,14 +32,19 @@ def top_k_by_group(
     return top_k(df, keys, order, widest, rank).filter(F.col(rank) <= allowed)
 
 
-def mark_first(df: DataFrame, keys: Sequence[str], order: str, flag: str) -> DataFrame:
-    """Flag the row with the smallest ``order`` value of its group.
+def mark_first(df: DataFrame, keys: Sequence[str], order: str, flag: str, ties: Sequence[str] = ()) -> DataFrame:
+    """Flag the row with the smallest ``order`` value of its group, nulls last; ``ties`` decide among equals.
 
-    The minimum is combined before the shuffle.  The join back is on the order column as well, so the
-    rows of a large group spread over many tasks, which a window over the group would not allow.
+    The minimum is combined before the shuffle.  The join back is on all of these columns, so the rows of a large
+    group spread over many tasks, which a window over the group would not allow.  Rows that agree in all of them
+    are flagged together.
     """
-    firsts = df.groupBy(*keys).agg(F.min(order).alias(order)).withColumn(flag, F.lit(True))
-    return df.join(firsts, [*keys, order], "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
+    place = [F.col(order).isNull().alias("__late"), F.col(order).alias("__order"), *[F.col(c).alias(f"__tie_{c}") for c in ties]]
+    firsts = df.groupBy(*[F.col(k).alias(f"__key_{k}") for k in keys]).agg(F.min(F.struct(*place)).alias("__first"))
+    same = [F.col(k).eqNullSafe(F.col(f"__key_{k}")) for k in keys] + [F.col(order).eqNullSafe(F.col("__first.__order"))]
+    same += [F.col(c).eqNullSafe(F.col(f"__first.__tie_{c}")) for c in ties]
+    joined = df.join(firsts.withColumn(flag, F.lit(True)), functools.reduce(lambda a, b: a & b, same), "left")
+    return joined.select(*df.columns, F.coalesce(flag, F.lit(False)).alias(flag))
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

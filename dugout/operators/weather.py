@@ -37,15 +37,16 @@ def wind_flags(df: DataFrame, bearing: str, axis: str, covered: Column) -> DataF
     return df.withColumns({n: F.coalesce(~covered & c, F.lit(False)) for n, c in flags.items()})
 
 
-def work_list(games: DataFrame, stadium: DataFrame, weather: DataFrame | None, now: Column, first_run: int = 10) -> DataFrame:
+def work_list(games: DataFrame, stadium: DataFrame, weather: DataFrame | None, now: Column, first_run: int | None = None) -> DataFrame:
     """Games to fetch weather for: those without any and today's games that have not begun.
 
-    Without a weather table only the ``first_run`` latest games are listed.
+    Without a weather table all games are listed, or the ``first_run`` latest ones if a number is given.
     """
     columns = ["game_id", "game_time_et", "latitude", "longitude", "has_dome", "center_azimuth"]
     placed = games.join(stadium, "stadium_id")
     if weather is None:
-        return placed.select(*columns).orderBy(F.desc("game_time_et"), "game_id").limit(first_run)
+        listed = placed.select(*columns)
+        return listed if first_run is None else listed.orderBy(F.desc("game_time_et"), "game_id").limit(first_run)
     fresh = placed.filter((F.col("game_time_et") > now) & (F.col("game_date") == F.to_date(now)))
     return missing_keys(placed, weather, ["game_id"]).select(*columns).unionByName(fresh.select(*columns)).distinct()
 

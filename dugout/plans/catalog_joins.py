@@ -25,11 +25,11 @@ def _ts(text):
            sum(l_quantity::BIGINT)::BIGINT AS quantity
     FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
     JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey
-    WHERE o_orderdate >= TIMESTAMP '1996-01-01' GROUP BY ALL
+    GROUP BY ALL
     """
 )
 def fact_dim_join(t):
-    orders = t.orders.filter(F.col("o_orderdate") >= _ts("1996-01-01")).select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    orders = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     # the largest join first, then one partial sum per customer before the dimensions are joined
     per_customer = (
         t.lineitem.join(orders, "l_orderkey")
@@ -48,23 +48,28 @@ def fact_dim_join(t):
 
 @query(
     """
-    SELECT c_custkey, sum(round(o_totalprice * 100)::BIGINT)::BIGINT AS label
-    FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01') ON o_custkey = c_custkey GROUP BY 1
+    WITH y AS (SELECT c_custkey, unnest(range(1992, 2003)) AS order_year FROM customer)
+    SELECT y.c_custkey, y.order_year::INT AS order_year, sum(round(o_totalprice * 100)::BIGINT)::BIGINT AS label
+    FROM y LEFT JOIN orders ON o_custkey = c_custkey AND year(o_orderdate) = y.order_year GROUP BY 1, 2
     """
 )
 def left_label(t):
-    totals = (
-        t.orders.filter(F.col("o_orderdate") >= _ts("2001-01-01"))
-        .groupBy(F.col("o_custkey").alias("c_custkey"))
-        .agg(F.sum(scaled("o_totalprice")).alias("label"))
+    totals = t.orders.groupBy(F.col("o_custkey").alias("c_custkey"), F.year("o_orderdate").alias("order_year")).agg(
+        F.sum(scaled("o_totalprice")).alias("label")
     )
-    return t.customer.select("c_custkey").join(totals, "c_custkey", "left")
+    wanted = t.customer.select("c_custkey", F.explode(F.sequence(F.lit(1992), F.lit(2002))).alias("order_year"))
+    return wanted.join(totals, ["c_custkey", "order_year"], "left")
 
 
-@query("SELECT p_partkey, p_name FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 48)")
+@query(
+    """
+    SELECT p_partkey, p_name FROM part
+    WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_quantity::INT = p_size)
+    """
+)
 def anti_missing(t):
-    big = t.lineitem.filter(F.col("l_quantity") > 48).select(F.col("l_partkey").alias("p_partkey"))
-    return missing_keys(t.part, big, ["p_partkey"]).select("p_partkey", "p_name")
+    ordered = t.lineitem.select(F.col("l_partkey").alias("p_partkey"), F.col("l_quantity").cast("int").alias("p_size"))
+    return missing_keys(t.part, ordered, ["p_partkey", "p_size"]).select("p_partkey", "p_name")
 
 
 @query(
@@ -101,15 +106,16 @@ def upsert_orders(t):
 @query(
     """
     WITH p AS (SELECT l_returnflag, round(l_extendedprice * 100)::BIGINT AS actual,
-                      coalesce(CASE WHEN p_size <= 25 THEN round(p_retailprice * 100)::BIGINT * 25 END, -9900) AS predicted
-               FROM lineitem LEFT JOIN part ON p_partkey = l_partkey)
+                      coalesce(round(p_retailprice * 100)::BIGINT * 25, -9900) AS predicted
+               FROM lineitem LEFT JOIN part ON p_partkey * 2 = l_partkey)
     SELECT l_returnflag, sum((actual - predicted)::HUGEINT * (actual - predicted))::DOUBLE / count(*)::DOUBLE / 10000.0::DOUBLE AS mse,
            sum(abs(actual - predicted))::DOUBLE / count(*)::DOUBLE / 100.0::DOUBLE AS mae, count(*) AS n FROM p GROUP BY 1
     """
 )
 def predictions_join(t):
-    predicted = t.part.filter(F.col("p_size") <= 25).select(
-        F.col("p_partkey").alias("l_partkey"), (scaled("p_retailprice") * 25).alias("predicted")
+    # only even keys have a prediction, so half of the lines miss
+    predicted = t.part.select(
+        (F.col("p_partkey") * 2).alias("l_partkey"), (scaled("p_retailprice") * 25).alias("predicted")
     )
     lines = t.lineitem.select("l_partkey", "l_returnflag", scaled("l_extendedprice").alias("actual"))
     scored = lookup(lines, predicted, ["l_partkey"], {"predicted": -9900})
@@ -252,13 +258,14 @@ def table_sizes(t):
 
 @query(
     """
-    SELECT l_orderkey, l_linenumber, l_partkey, l_linenumber = m AS is_starter
-    FROM lineitem JOIN (SELECT l_orderkey, min(l_linenumber) AS m FROM lineitem GROUP BY 1) USING (l_orderkey)
+    WITH l AS (SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_linenumber % 3 > 0 THEN l_suppkey % 2 END AS place FROM lineitem)
+    SELECT *, rank() OVER (PARTITION BY l_orderkey ORDER BY place NULLS LAST, l_linenumber, l_partkey) = 1 AS is_starter FROM l
     """
 )
 def first_flag(t):
-    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey")
-    return mark_first(lines, ["l_orderkey"], "l_linenumber", "is_starter")
+    place = F.when(F.col("l_linenumber") % 3 > 0, F.col("l_suppkey") % 2)
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", place.alias("place"))
+    return mark_first(lines, ["l_orderkey"], "place", "is_starter", ties=["l_linenumber", "l_partkey"])
 
 
 @query(

@@ -168,12 +168,12 @@ def empty_then_upsert(t):
 @query(
     """
     SELECT c_nationkey, count(*) AS n_missing FROM customer
-    WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01') GROUP BY c_nationkey
+    WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderkey % 25 = c_nationkey) GROUP BY c_nationkey
     """
 )
 def missing_inputs(t):
-    recent = t.orders.filter(F.col("o_orderdate") >= F.lit("2001-01-01").cast("timestamp_ntz"))
-    absent = missing_keys(t.customer, recent.withColumnRenamed("o_custkey", "c_custkey"), ["c_custkey"])
+    held = t.orders.select(F.col("o_custkey").alias("c_custkey"), (F.col("o_orderkey") % 25).alias("c_nationkey"))
+    absent = missing_keys(t.customer, held, ["c_custkey", "c_nationkey"])
     return absent.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n_missing"))
 
 

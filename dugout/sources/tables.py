@@ -67,9 +67,15 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def write_csv(df: DataFrame, path: str, header: bool = True, single_file: bool = False) -> None:
-    """CSV; ``single_file`` is for small exports only."""
-    (df.coalesce(1) if single_file else df).write.mode("overwrite").option("header", header).csv(path)
+def write_csv(df: DataFrame, path: str, header: bool = True, single_file: bool = False, side_header: bool = False) -> None:
+    """CSV; ``single_file`` is for small exports only.
+
+    With ``side_header`` the parts have no header and the column names stand in one line at ``path.header``.
+    """
+    (df.coalesce(1) if single_file else df).write.mode("overwrite").option("header", header and not side_header).csv(path)
+    if side_header:
+        names = df.sparkSession.createDataFrame([(",".join(df.columns),)], "value string")
+        names.coalesce(1).write.mode("overwrite").text(f"{path}.header")
 
 
 def write_lines(df: DataFrame, path: str, columns: Sequence[str], order: Sequence, separator: str = "\t") -> None:
