@@ -60,6 +60,12 @@ def search_space(candidates: DataFrame, slots: Sequence[str]) -> DataFrame:
     )
 
 
+def search_total(candidates: DataFrame, slots: Sequence[str]) -> DataFrame:
+    """One row: the number of combinations, as the product of the choices; 0 if a position has no candidate."""
+    choices = search_space(candidates, slots).agg(F.product(F.col("n_choices").cast("double")).alias("p"), F.count(F.lit(1)).alias("n"))
+    return choices.select(F.when(F.col("n") == len(set(slots)), F.col("p")).otherwise(F.lit(0.0)).alias("total"))
+
+
 def checked(candidates: DataFrame) -> DataFrame:
     """The candidates, if there are few enough to send them to every task."""
     if candidates.limit(MAX_CANDIDATES + 1).count() > MAX_CANDIDATES:
