@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialise
-from .skew import MIN_ROWS, SHARE, number_rows
+from .skew import ROWS_PER_SEGMENT, number_rows
 
 UNSEEN = -1
 
@@ -18,9 +18,7 @@ def _is_number(dtype: T.DataType) -> bool:
     return isinstance(dtype, T.NumericType | T.BooleanType)
 
 
-def fit_codes(
-    df: DataFrame, columns: Sequence[str], min_rows: int = MIN_ROWS, share: float = SHARE
-) -> DataFrame:
+def fit_codes(df: DataFrame, columns: Sequence[str], rows_per_segment: int = ROWS_PER_SEGMENT) -> DataFrame:
     """Dictionary rows ``(column, value, code)`` for all columns, from one scan.
 
     Each row unpivots into (column, value) pairs that are de-duplicated before the shuffle.  The distinct
@@ -35,7 +33,7 @@ def fit_codes(
             F.struct(F.lit(c).alias("column"), number.alias("as_number"), F.col(c).cast("string").alias("value"))
         )
     distinct = materialise(df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").distinct(), "values")
-    numbered = number_rows(distinct, ["column"], ["as_number", "value"], "__rn", min_rows, share)
+    numbered = number_rows(distinct, ["column"], ["as_number", "value"], "__rn", rows_per_segment)
     return numbered.select("column", "value", (F.col("__rn") - 1).alias("code"))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timegeo import OPEN_END
-from .skew import MIN_ROWS, SEGMENT, SHARE, HotKeys, _null_safe_join, find_hot_keys
+from .skew import ROWS_PER_SEGMENT, SEGMENT, crossing_keys, renamed_keys, same_keys, segmented
 
 START, STOP = "effective_start_dt", "effective_stop_dt"
 
@@ -23,8 +23,7 @@ def build_history(
     start: str = START,
     stop: str = STOP,
     bounded: bool = False,
-    min_rows: int = MIN_ROWS,
-    share: float = SHARE,
+    rows_per_segment: int = ROWS_PER_SEGMENT,
 ) -> DataFrame:
     """One row per run of unchanged tracked columns of a key, as a half-open interval.
 
@@ -32,13 +31,13 @@ def build_history(
     (9999-01-01).  Other columns keep the value of the last observation of the run.  Runs that start
     and stop at the same moment are dropped.  Null is a value of its own for the comparison.
 
-    ``bounded`` says that no key can have many rows (one per calendar day, say), which saves the
-    search for hot keys.
+    ``bounded`` says that no key can have many rows (one per calendar day, say), so that its rows need
+    no segments.
     """
     order = [at, *tie_break]
-    hot = HotKeys((key,), None) if bounded else find_hot_keys(df, [key], order, min_rows, share)
     state = F.struct(*[F.col(c) for c in tracked])
-    rows = hot.segment(df, order).withColumn("__state", state)
+    rows = df.withColumn(SEGMENT, F.lit(0)) if bounded else segmented(df, [key], order, rows_per_segment)
+    rows = rows.withColumn("__state", state)
     within = Window.partitionBy(key, SEGMENT).orderBy(*order)
     rows = rows.select(
         "*",
@@ -46,9 +45,9 @@ def build_history(
         F.lead("__state").over(within).alias("__after"),
         F.lead(at).over(within).alias("__next_at"),
     )
-    if hot.splits is not None:
-        edges = _segment_edges(hot, rows, key, at, order)
-        rows = _null_safe_join(rows, edges, [key, SEGMENT], "left").withColumns(
+    if not bounded:
+        edges = renamed_keys(_segment_edges(rows, key, at, order), [key, SEGMENT])
+        rows = rows.join(edges, same_keys(rows, edges, [key, SEGMENT]), "left").withColumns(
             {
                 "__before": F.coalesce("__before", "__edge_before"),
                 "__after": F.coalesce("__after", "__edge_after"),
@@ -72,12 +71,13 @@ def build_history(
     )
 
 
-def _segment_edges(hot: HotKeys, rows: DataFrame, key: str, at: str, order: Sequence[str]) -> DataFrame:
-    """What the neighbouring segments of a hot key contribute; one row per hot key and segment."""
+def _segment_edges(rows: DataFrame, key: str, at: str, order: Sequence[str]) -> DataFrame:
+    """What the neighbouring segments of a key contribute; one row per key and segment of keys that cross a cut."""
     place = F.struct(*order)
     inner_open = F.col("__before").isNotNull() & ~F.col("__before").eqNullSafe(F.col("__state"))
+    crossing = crossing_keys(rows, [key])
     summary = (
-        hot.only(rows)
+        rows.join(crossing, same_keys(rows, crossing, [key]), "left_semi")
         .groupBy(key, SEGMENT)
         .agg(
             F.min_by("__state", place).alias("__first"),

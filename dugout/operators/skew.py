@@ -1,130 +1,58 @@
 """Ordered work on keys of any size.
 
-A window keyed by an entity puts all rows of that entity into one task.  When one entity may hold a
-third of the table that task never ends, so the helpers here cut the timeline of such *hot* keys into
-consecutive segments of similar size.  Ordinary keys keep one segment and cost nothing extra.
-
-The cut points are computed once and enter the plan as a small local table.  They are therefore the
-same in every branch of the plan and in every retried task.
+A window keyed by an entity puts all rows of that entity into one task.  When one entity may hold a third of the
+table that task never ends, so the helpers here deal the rows out by ranges of (key, order), about
+``ROWS_PER_SEGMENT`` to a segment, and store them with the number of their segment.  A window then runs per key
+and segment, and what it needs from the segments before comes from a small table with one row per segment edge.
+There is one form for tables of any size; the rows of a segment do not grow with the table.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-SEGMENT = "__segment"
-MIN_ROWS = 5_000_000
-SHARE = 1 / 1000
-_SAMPLES_PER_SEGMENT = 20
+from ..session import materialise
 
+SEGMENT = "__segment"
+ROWS_PER_SEGMENT = 1_000_000
 
-@dataclass(frozen=True)
-class HotKeys:
-    """Keys above the size limit with their cut points; at most ``1 / SHARE`` rows."""
 
-    keys: tuple[str, ...]
-    splits: DataFrame | None
-    most_points: int = 0
+def segmented(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_segment: int = ROWS_PER_SEGMENT) -> DataFrame:
+    """The rows with the number of their segment, stored.  Segments follow (keys, order), nulls first.
 
-    def segment(self, df: DataFrame, order: Sequence[str]) -> DataFrame:
-        """Add the segment number: how many cut points lie at or before the row.
+    Storing fixes the cuts: every later branch and every repeated task sees the same ones.  ``df`` is read to
+    count it, to sample the ranges and to deal it out, so it should be a stored table where it is dear to compute.
+    """
+    n = max(1, math.ceil(df.count() / rows_per_segment))
+    # without order columns there is nothing to range by
+    dealt = df.repartitionByRange(n, *[F.col(c) for c in dict.fromkeys([*keys, *order])])
+    return materialise(dealt.withColumn(SEGMENT, F.spark_partition_id()), "segments")
 
-        The points are sorted, so a binary search by descending powers of two finds the number in a
-        few comparisons per row; a step that leads past the end compares with null and is not taken.
-        """
-        if self.splits is None:
-            return df.withColumn(SEGMENT, F.lit(0))
-        point = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])
-        tagged = _null_safe_join(df, self.splits, self.keys, "left")
-        steps = [1 << b for b in reversed(range(self.most_points.bit_length()))] or [1]
 
-        def search(found, step):
-            return F.when(F.get("__points", found + step - 1) <= point, found + step).otherwise(found)
+def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    """Null-safe equality of ``keys`` with the columns ``__r_<key>`` of the right side."""
+    condition = F.lit(True)
+    for k in keys:
+        condition = condition & left[k].eqNullSafe(right[f"__r_{k}"])
+    return condition
 
-        number = F.aggregate(F.lit(steps), F.lit(0), search)
-        return tagged.withColumn(SEGMENT, F.coalesce(F.when(F.col("__points").isNotNull(), number), F.lit(0))).drop(
-            "__points"
-        )
 
-    def only(self, df: DataFrame) -> DataFrame:
-        """Rows of the hot keys."""
-        return _null_safe_join(df, self.splits.drop("__points"), self.keys, "left_semi")
+def renamed_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *[c for c in df.columns if c not in keys])
 
 
-def _null_safe_join(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Join with a bounded local table on keys that may be null."""
-    right = small.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *[c for c in small.columns if c not in keys])
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & df[k].eqNullSafe(right[f"__r_{k}"])
-    joined = df.join(F.broadcast(right), condition, how)
-    return joined if how == "left_semi" else joined.drop(*[f"__r_{k}" for k in keys])
-
-
-def find_hot_keys(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    min_rows: int = MIN_ROWS,
-    share: float = SHARE,
-) -> HotKeys:
-    """Keys with more than ``share`` of all rows, provided the table has more than ``min_rows`` rows.
-
-    The count is map-side combined.  There are fewer than ``1 / share`` such keys and about
-    ``20 / share`` sampled order values, whatever the table size, so both may be collected.
-    """
-    total = df.count()
-    if total <= min_rows:
-        return HotKeys(tuple(keys), None)
-    limit = max(int(total * share), 1)
-    if keys:
-        hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > limit)
-        sizes = hot.collect()
-    else:
-        sizes = []
-    spark = df.sparkSession
-    key_fields = [df.schema[k] for k in keys]
-    if not keys:
-        hot_rows = df
-    elif not sizes:
-        return HotKeys(tuple(keys), None)
-    else:
-        bounded = spark.createDataFrame([tuple(r[k] for k in keys) for r in sizes], T.StructType(key_fields))
-        hot_rows = _null_safe_join(df, bounded, keys, "left_semi")
-    one_in = max(limit // _SAMPLES_PER_SEGMENT, 1)
-    sampled = (
-        hot_rows.select(*keys, *[c for c in order if c not in keys])
-        .filter(F.pmod(F.xxhash64(*keys, *order), F.lit(one_in)) == 0)
-        .distinct()
-        .collect()
-    )
-    groups: dict[tuple, list[tuple]] = {}
-    for row in sampled:
-        groups.setdefault(tuple(row[k] for k in keys), []).append(tuple(row[c] for c in order))
-    points_type = T.ArrayType(T.StructType([T.StructField(f"o{i}", df.schema[c].dataType) for i, c in enumerate(order)]))
-    rows = []
-    for key in [tuple(r[k] for k in keys) for r in sizes] or [()]:
-        points = sorted(groups.get(key, []), key=lambda p: tuple((v is not None, v) for v in p))
-        step = max(_SAMPLES_PER_SEGMENT, math.ceil(len(points) * share))
-        rows.append((*key, points[step::step]))
-    schema = T.StructType([*key_fields, T.StructField("__points", points_type)])
-    splits = spark.createDataFrame(rows, schema).withColumn("__points", F.array_sort("__points"))
-    return HotKeys(tuple(keys), splits, max(len(r[-1]) for r in rows))
+def crossing_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys (as ``__r_<key>``) with rows in more than one segment: at most one per cut."""
+    edges = rows.groupBy(*keys).agg(F.min(SEGMENT).alias("__lo"), F.max(SEGMENT).alias("__hi"))
+    return renamed_keys(edges.filter("__lo < __hi").select(*keys), keys)
 
 
 def number_rows(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    name: str = "rn",
-    min_rows: int = MIN_ROWS,
-    share: float = SHARE,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "rn", rows_per_segment: int = ROWS_PER_SEGMENT
 ) -> DataFrame:
     """``row_number()`` by ascending order (nulls first) for keys of any size, or over the whole table.
 
@@ -132,19 +60,13 @@ def number_rows(
     the segments before it.
     """
     keys = list(keys)
-    hot = find_hot_keys(df, keys, order, min_rows, share)
-    if hot.splits is None:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint"))
-    segmented = hot.segment(df, order)
+    rows = segmented(df, keys, order, rows_per_segment)
     within = Window.partitionBy(*keys, SEGMENT).orderBy(*order)
-    numbered = segmented.withColumn(name, F.row_number().over(within).cast("bigint"))
+    numbered = rows.withColumn(name, F.row_number().over(within).cast("bigint"))
     before = Window.partitionBy(*keys).orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
-    hot_rows = hot.only(segmented) if keys else segmented
-    shifts = (
-        hot_rows.groupBy(*keys, SEGMENT)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .select(*keys, SEGMENT, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__shift"))
-    )
-    # one row per hot key and segment: bounded by the number of cut points
-    shifted = _null_safe_join(numbered, shifts, [*keys, SEGMENT], "left")
-    return shifted.withColumn(name, F.col(name) + F.coalesce("__shift", F.lit(0))).drop("__shift", SEGMENT)
+    sizes = rows.groupBy(*keys, SEGMENT).agg(F.count(F.lit(1)).alias("__n"))
+    shifts = sizes.withColumn("__shift", F.sum("__n").over(before)).filter("__shift > 0").select(*keys, SEGMENT, "__shift")
+    # one row per cut at most
+    shifts = renamed_keys(shifts, [*keys, SEGMENT])
+    shifted = numbered.join(shifts, same_keys(numbered, shifts, [*keys, SEGMENT]), "left")
+    return shifted.select(*df.columns, (F.col(name) + F.coalesce("__shift", F.lit(0))).alias(name))

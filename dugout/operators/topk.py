@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .skew import MIN_ROWS, SHARE, number_rows
+from .skew import ROWS_PER_SEGMENT, number_rows
 
 
 def top_k(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, rank: str = "rn") -> DataFrame:
@@ -55,10 +55,10 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
 
 
 def batches(
-    df: DataFrame, order: Sequence[str], size: int, name: str = "batch", min_rows: int = MIN_ROWS, share: float = SHARE
+    df: DataFrame, order: Sequence[str], size: int, name: str = "batch", rows_per_segment: int = ROWS_PER_SEGMENT
 ) -> DataFrame:
     """Number consecutive rows in batches of a fixed size."""
-    numbered = number_rows(df, [], order, "__rn", min_rows, share)
+    numbered = number_rows(df, [], order, "__rn", rows_per_segment)
     return numbered.withColumn(name, F.floor((F.col("__rn") - 1) / F.lit(size)).cast("bigint")).drop("__rn")
 
 
@@ -70,14 +70,13 @@ def joined_text(
     separator: str,
     per_line: int,
     name: str = "joined",
-    min_rows: int = MIN_ROWS,
-    share: float = SHARE,
+    rows_per_segment: int = ROWS_PER_SEGMENT,
 ) -> DataFrame:
     """Values of each group joined in order, ``per_line`` values to a line.
 
     A group of any size becomes as many lines as it needs, so no single row grows with the group.
     """
-    numbered = number_rows(df, keys, order, "__rn", min_rows, share)
+    numbered = number_rows(df, keys, order, "__rn", rows_per_segment)
     lined = numbered.withColumn("line", F.floor((F.col("__rn") - 1) / F.lit(per_line)).cast("bigint"))
     entries = F.array_sort(F.collect_list(F.struct("__rn", F.col(value).alias("v"))))
     return lined.groupBy(*keys, "line").agg(

@@ -27,9 +27,13 @@ _HISTORY_SQL = """
 _EVENT_HISTORY = f"WITH obs AS (SELECT user_id, event_type, event_id, value, ts FROM events), {_HISTORY_SQL}"
 
 
+# small enough that the test tables are cut as large ones are
+_SEGMENT = 25_000
+
+
 def event_history(t):
     seen = t.events.select("user_id", "event_type", "event_id", "value", "ts")
-    return build_history(seen, "user_id", "ts", ["event_type"], tie_break=["event_id"]).drop("ts")
+    return build_history(seen, "user_id", "ts", ["event_type"], tie_break=["event_id"], rows_per_segment=_SEGMENT).drop("ts")
 
 
 @query(f"{_EVENT_HISTORY} SELECT * FROM h WHERE effective_start_dt < effective_stop_dt")
@@ -37,6 +41,17 @@ def scd2_build(t):
     return event_history(t)
 
 
+_HOT = "CASE WHEN event_id % 3 = 0 THEN -1 ELSE user_id END"
+_HOT_HISTORY = f"WITH obs AS (SELECT {_HOT} AS user_id, event_type, event_id, value, ts FROM events), {_HISTORY_SQL}"
+
+
+@query(f"{_HOT_HISTORY} SELECT * FROM h WHERE effective_start_dt < effective_stop_dt")
+def scd2_hot_key(t):
+    key = F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id")).alias("user_id")
+    seen = t.events.select(key, "event_type", "event_id", "value", "ts")
+    return build_history(seen, "user_id", "ts", ["event_type"], tie_break=["event_id"], rows_per_segment=1_000).drop("ts")
+
+
 @query(
     f"""{_EVENT_HISTORY} SELECT user_id, event_type, event_id, effective_start_dt FROM h
     WHERE effective_start_dt <= TIMESTAMP '2024-01-15' AND effective_stop_dt > TIMESTAMP '2024-01-15'"""

@@ -295,7 +295,7 @@ def _coded_parts(t):
 
 @query(f"{_CODED} {_CODES_SQL}")
 def dense_codes(t):
-    return fit_codes(_coded_parts(t), ["p_brand", "p_type", "p_size"])
+    return fit_codes(_coded_parts(t), ["p_brand", "p_type", "p_size"], rows_per_segment=20)
 
 
 @query(f'{_CODED} SELECT "column", count(*) AS n_values FROM ({_CODES_SQL}) GROUP BY 1')
@@ -325,7 +325,7 @@ def decode(t):
 
 @query("SELECT p_partkey, ((row_number() OVER (ORDER BY p_retailprice, p_partkey) - 1) // 50)::BIGINT AS batch FROM part", name="batches")
 def part_batches(t):
-    return batches(t.part.select("p_partkey", "p_retailprice"), ["p_retailprice", "p_partkey"], 50).drop("p_retailprice")
+    return batches(t.part.select("p_partkey", "p_retailprice"), ["p_retailprice", "p_partkey"], 50, rows_per_segment=500).drop("p_retailprice")
 
 
 @query(
@@ -358,4 +358,4 @@ def top_price(t):
     """
 )
 def joined_strings(t):
-    return joined_text(t.supplier, ["s_nationkey"], ["s_name", "s_suppkey"], "s_name", " | ", per_line=3)
+    return joined_text(t.supplier, ["s_nationkey"], ["s_name", "s_suppkey"], "s_name", " | ", per_line=3, rows_per_segment=30)

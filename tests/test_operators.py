@@ -83,15 +83,15 @@ def test_same_day_change_leaves_no_empty_version(spark, rows):
     assert rows(scd.build_history(df, "p", "day", ["s"], ["g"]), "s") == [("b",)]
 
 
-@pytest.mark.parametrize("share", [0.3, 0.02, 0.004])
-def test_history_of_hot_keys_is_the_same(spark, rows, share):
+@pytest.mark.parametrize("size", [3000, 200, 40, 10**6])
+def test_history_of_hot_keys_is_the_same(spark, rows, size):
     e = spark.read.parquet("/root/testdata/sf0.01/events.parquet").select("event_id", "ts", "event_type", "value", "user_id")
     # one user holds a third of the rows, another one has no user at all
     e = e.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, 1).when(F.col("event_id") % 7 == 0, None).otherwise(F.col("user_id")))
     # long runs, so that runs reach over several segments
     e = e.withColumn("event_type", F.when(F.col("event_id") < 4000, "x").otherwise(F.col("event_type")))
     plain = scd.build_history(e, "user_id", "ts", ["event_type"], ["event_id"], bounded=True)
-    cut = scd.build_history(e, "user_id", "ts", ["event_type"], ["event_id"], min_rows=0, share=share)
+    cut = scd.build_history(e, "user_id", "ts", ["event_type"], ["event_id"], rows_per_segment=size)
     assert rows(plain) == rows(cut)
 
 
@@ -100,16 +100,15 @@ def test_numbering_of_hot_keys_is_the_same(spark, rows, keys):
     e = spark.read.parquet("/root/testdata/sf0.01/events.parquet").select("event_id", "ts", "user_id")
     e = e.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, None).otherwise(F.col("user_id")))
     plain = skew.number_rows(e, keys, ["ts", "event_id"])
-    cut = skew.number_rows(e, keys, ["ts", "event_id"], min_rows=0, share=0.01)
+    cut = skew.number_rows(e, keys, ["ts", "event_id"], rows_per_segment=100)
     assert rows(plain, "event_id", "rn") == rows(cut, "event_id", "rn")
 
 
 def test_hot_key_is_cut_in_small_segments(spark):
     e = spark.read.parquet("/root/testdata/sf0.01/events.parquet").select("event_id", "ts", "user_id")
     e = e.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, 1).otherwise(F.col("user_id")))
-    hot = skew.find_hot_keys(e, ["user_id"], ["ts", "event_id"], min_rows=0, share=0.02)
-    sizes = hot.segment(e, ["ts", "event_id"]).filter("user_id = 1").groupBy(skew.SEGMENT).count()
-    assert sizes.count() > 10 and sizes.agg(F.max("count")).first()[0] < 10000 * 0.02 * 3
+    sizes = skew.segmented(e, ["user_id"], ["ts", "event_id"], 200).filter("user_id = 1").groupBy(skew.SEGMENT).count()
+    assert sizes.count() > 10 and sizes.agg(F.max("count")).first()[0] < 3 * 200
 
 
 def test_valid_version_join_equals_or_join(spark, rows):
@@ -199,7 +198,7 @@ def test_codes(spark, rows):
     assert back.filter("not (s_code_value <=> s) or n_code_value <> n").count() == 0
     other = spark.createDataFrame([("zz", 10)], "s string, n int")
     assert rows(encode.apply_codes(other, ["s"], codes), "s") == [(-1,)]
-    hot = encode.fit_codes(df, ["s", "n"], min_rows=0, share=0.1)
+    hot = encode.fit_codes(df, ["s", "n"], rows_per_segment=2)
     assert rows(hot) == rows(codes)
 
 
