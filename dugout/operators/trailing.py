@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -204,14 +205,23 @@ def pitcher_ratios(t: Mapping[str, Column]) -> dict[str, Column]:
 
 
 def interval_join_sums(
-    facts: DataFrame, key: str, day: str, stats: Sequence[str], windows: Sequence[int], as_of: DataFrame
+    facts: DataFrame, key: str, day: str, stats: Sequence[str], windows: Sequence[int], as_of: DataFrame, moment: str | None = None
 ) -> DataFrame:
     """Window sums for a few as-of days only, without a spine: each fact goes to the days it counts for.
 
-    Meant for a forecast run, where the as-of days are one or two dates.
+    Meant for a forecast run, where the as-of days are one or two dates.  Only facts within the longest window
+    of those days are read; ``moment`` names the stored timestamp that ``day`` was made of, so that the scan can
+    skip the others.
     """
-    daily = daily_moments(facts, key, day, stats, exact=True)
     horizon = max(int(w) for w in windows)
+    first, last = as_of.agg(F.min(day), F.max(day)).first()
+    if first is None:
+        first = last = date(1970, 1, 1)
+    lower, upper = first - timedelta(days=horizon), last
+    if moment:
+        kind = facts.schema[moment].dataType
+        facts = facts.filter((F.col(moment) >= F.lit(str(lower)).cast(kind)) & (F.col(moment) < F.lit(str(upper)).cast(kind)))
+    daily = daily_moments(facts.filter(F.col(day).between(F.lit(lower), F.lit(upper))), key, day, stats, exact=True)
     days = as_of.select(F.col(day).alias("__asof")).distinct()
     reach = days.select("__asof", F.explode(F.sequence(F.date_sub("__asof", horizon), F.date_sub("__asof", 1))).alias(day))
     hit = daily.join(reach, day).filter(F.year(day) == F.year("__asof"))

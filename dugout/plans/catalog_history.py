@@ -212,9 +212,9 @@ def trailing_ratios(t):
     """
 )
 def forecast_day_sums(t):
-    facts = t.events.select("user_id", F.to_date("ts").alias("day"), scaled("value").alias("cents"))
-    days = facts.filter(F.col("day") >= F.lit("2024-01-28").cast("date")).select("day")
-    sums = interval_join_sums(facts, "user_id", "day", ["cents"], [4, 14], days)
+    facts = t.events.select("user_id", "ts", F.to_date("ts").alias("day"), scaled("value").alias("cents"))
+    days = facts.filter(F.col("ts") >= F.lit("2024-01-28").cast("timestamp_ntz")).select("day")
+    sums = interval_join_sums(facts, "user_id", "day", ["cents"], [4, 14], days, moment="ts")
     return sums.select("user_id", "day", *[F.col(c).cast("bigint").alias(c) for c in ("sum_4_cents", "sum_14_cents")])
 
 
