@@ -279,7 +279,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     model = CharModel(count_trigrams(narrow, "text"))
     words = marks.filter(fold_of(F.col("id")).isin(0, 3))
-    learn = narrow.filter(fold_of(F.col("id")).isin(0, 3)).join(words, "id")
+    # one plan at every size: the labels grow with the documents and are not broadcast
+    learn = narrow.filter(fold_of(F.col("id")).isin(0, 3)).join(words.hint("merge"), "id")
     lexicon = learn_lexicon(learn, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
