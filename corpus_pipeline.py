@@ -23,7 +23,7 @@ def _tuned(stage):
 
     @functools.wraps(stage)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        tune(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+        tune(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
         return stage(spark, docs, sf_dir)
 
     return run

@@ -20,7 +20,7 @@ def query(table: str, sql: str | None = None):
     def register(build):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             folder = sf_dir.rstrip("/")
-            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")  # whole texts are long
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")  # whole texts are long
             return build(tune(spark).read.parquet(f"{folder}/{table}.parquet"), folder)
 
         QUERIES[build.__name__] = run
