@@ -20,10 +20,11 @@ from ..functions import baseball as rules
 from ..session import materialise
 from .joins import lookup
 from .rollup import best_per_cost
+from .skew import number_rows
 from .topk import top_k_by_group
 
-MAX_CANDIDATES = 5_000
-BROADCAST_ROWS = 2_000_000
+# partial rosters with the same money left are spread over so many tasks at least
+SPREAD = 8
 _IMPOSSIBLE = np.iinfo(np.int64).min // 4
 
 
@@ -66,13 +67,6 @@ def search_total(candidates: DataFrame, slots: Sequence[str]) -> DataFrame:
     return choices.select(F.when(F.col("n") == len(set(slots)), F.col("p")).otherwise(F.lit(0.0)).alias("total"))
 
 
-def checked(candidates: DataFrame) -> DataFrame:
-    """The candidates, if there are few enough to send them to every task."""
-    if candidates.limit(MAX_CANDIDATES + 1).count() > MAX_CANDIDATES:
-        raise ValueError("too many candidates; prune them per position and cost first")
-    return candidates
-
-
 def as_groups(candidates: DataFrame) -> DataFrame:
     """Candidates with arrays of players and teams: a single player is a group of one."""
     if "players" in candidates.columns:
@@ -81,9 +75,9 @@ def as_groups(candidates: DataFrame) -> DataFrame:
 
 
 def number_candidates(candidates: DataFrame) -> DataFrame:
-    """Rank inside each position (``cid``) on a candidate set whose size has been checked."""
-    by_points = Window.partitionBy("position").orderBy(F.desc("points"), F.asc("players"))
-    return as_groups(candidates).withColumn("cid", F.row_number().over(by_points))
+    """Rank inside each position (``cid``), by points, for any number of candidates."""
+    ranked = as_groups(candidates).withColumn("__low", -F.col("points"))
+    return number_rows(ranked, ["position"], ["__low", "players"], "cid").drop("__low").withColumn("cid", F.col("cid").cast("int"))
 
 
 _PICK = ("players", "teams", "cost", "points", "cid")
@@ -109,16 +103,20 @@ def _menu(pool: DataFrame, cap: int, unit: int, reach: np.ndarray | None = None)
     if reach is not None:
         later = F.from_json(F.lit(json.dumps(reach.tolist())), "array<bigint>")
         gain = F.col("points") + F.get(later, F.col("left") - price)
-    return rows.select("left", gain.alias("gain"), price.alias("price"), *[F.col(c).alias(f"n_{c}") for c in _PICK])
+    rows = rows.withColumn("spread", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    return rows.select("left", "spread", gain.alias("gain"), price.alias("price"), *[F.col(c).alias(f"n_{c}") for c in _PICK])
 
 
-def _extend(out: DataFrame, menu: DataFrame, small: bool, cap: int, wanted=None) -> DataFrame:
+def _extend(out: DataFrame, menu: DataFrame, cap: int, wanted=None) -> DataFrame:
     """Add one affordable candidate to each partial roster where ``wanted`` holds.
 
-    Units round down, so the join never misses a candidate; the exact cost decides.
+    Units round down, so the join never misses a candidate; the exact cost decides.  The join key is the money
+    left and a number from the roster, so that many rosters with the same money do not meet in one task; how to
+    join is left to Spark, which knows the size of the menu.
     """
     fits = F.col("cost") + F.col("n_cost") <= cap
-    joined = out.join(F.broadcast(menu) if small else menu, "left")
+    dealt = out.withColumn("spread", F.pmod(F.hash("players"), F.lit(SPREAD)))
+    joined = dealt.join(menu, ["left", "spread"])
     return joined.filter(fits if wanted is None else fits & wanted).select(
         F.concat("players", "n_players").alias("players"),
         F.concat("teams", "n_teams").alias("teams"),
@@ -129,28 +127,24 @@ def _extend(out: DataFrame, menu: DataFrame, small: bool, cap: int, wanted=None)
     )
 
 
-def _is_small(n_candidates: int, cap: int, unit: int) -> bool:
-    return n_candidates * (cap // unit + 1) <= BROADCAST_ROWS
-
-
 def combinations(candidates: DataFrame, position: str, picks: int, cap: int, unit: int = 100) -> DataFrame:
     """Unordered selections of ``picks`` different candidates of one position that the cap pays for.
 
     Built by extension in rank order; the candidate table must be a pruned one.
     """
-    pool = number_candidates(checked(candidates).filter(F.col("position") == position))
-    menu, small = _menu(pool, cap, unit), _is_small(MAX_CANDIDATES, cap, unit)
+    pool = number_candidates(candidates.filter(F.col("position") == position))
+    menu = _menu(pool, cap, unit)
     out = _with_budget(pool, cap, unit)
     for _ in range(picks - 1):
-        out = _extend(out, menu, small, cap, F.col("n_cid") > F.col("cid"))
+        out = _extend(out, menu, cap, F.col("n_cid") > F.col("cid"))
     return out.drop("left")
 
 
 def join_position(groups: DataFrame, candidates: DataFrame, position: str, cap: int, unit: int = 100) -> DataFrame:
     """Groups with one more candidate of a position, as far as the cap pays for both."""
-    pool = number_candidates(checked(candidates).filter(F.col("position") == position))
-    menu, small = _menu(pool, cap, unit), _is_small(MAX_CANDIDATES, cap, unit)
-    return _extend(_with_budget(groups, cap, unit), menu, small, cap).drop("left", "cid")
+    pool = number_candidates(candidates.filter(F.col("position") == position))
+    menu = _menu(pool, cap, unit)
+    return _extend(_with_budget(groups, cap, unit), menu, cap).drop("left", "cid")
 
 
 def precombine(
@@ -226,10 +220,10 @@ def rosters_at_least(
 ) -> DataFrame:
     """All legal rosters with at least ``floor`` points.
 
-    ``candidates`` must be numbered and of checked size.  Each step is an equi-join on the budget left
+    ``candidates`` must be numbered.  Each step is an equi-join on the budget left
     with the menu of the next slot; the score bound drops pairs that cannot reach the floor any more.
     """
-    unit, small = bounds.unit, _is_small(MAX_CANDIDATES, cap, bounds.unit)
+    unit = bounds.unit
     reach = F.from_json(F.lit(json.dumps(bounds.table[1].tolist())), "array<bigint>")
     out = _with_budget(candidates.filter(F.col("position") == slots[0]), cap, unit)
     out = out.filter(F.col("points") + F.get(reach, F.col("left")) >= F.lit(floor))
@@ -239,7 +233,7 @@ def rosters_at_least(
         wanted = wanted & (largest_team(F.concat("teams", "n_teams")) <= team_limit)
         if slot == slots[i - 1]:
             wanted = wanted & (F.col("n_cid") > F.col("cid"))
-        out = _extend(out, menu, small, cap, wanted)
+        out = _extend(out, menu, cap, wanted)
         if i == 2:
             out = out.repartition(F.hash("players"))
     return out.select("players", "teams", "cost", "points")
@@ -251,7 +245,7 @@ def _search(candidates, slots, cap, team_limit, unit, enough) -> DataFrame:
     for a, b in zip(slots, slots[1:], strict=False):
         if a != b and b in slots[: slots.index(a)]:
             raise ValueError("slots of one position must be next to each other")
-    pool = materialise(number_candidates(checked(candidates)), "candidates")
+    pool = materialise(number_candidates(candidates), "candidates")
     bounds = _bounds(pool, slots, cap, unit)
     if bounds.best <= _IMPOSSIBLE // 2:
         return rosters_at_least(pool, slots, cap, team_limit, 0, bounds).limit(0)

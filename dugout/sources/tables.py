@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from ..session import scratch_path
+from ..session import materialise, scratch_path
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -38,7 +38,7 @@ def empty_like(spark: SparkSession, schema: T.StructType) -> DataFrame:
 def read_json_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The stored table, or an empty one of the same schema on the first run."""
     try:
-        return read_json(spark, path, schema)
+        return read_json(spark, whole_json_path(spark, path), schema)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in (error.getCondition() or ""):
             raise
@@ -84,15 +84,35 @@ def write_lines(df: DataFrame, path: str, columns: Sequence[str], order: Sequenc
     df.orderBy(*order).select(line.alias("value")).write.mode("overwrite").text(path)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def whole_json_path(spark: SparkSession, path: str) -> str:
+    """Where the table is whole: the copy beside it if a replacement was cut short, else the table."""
+    beside = f"{path}.next"
+    return beside if _exists(spark, f"{beside}/_SUCCESS") else path
+
+
 def replace_json(df: DataFrame, path: str) -> None:
     """Overwrite a JSON table that ``df`` itself was read from.
 
-    The new content is written to the shared folder first, so the source is still whole while it is read.
+    The new content is first written whole beside the table, then the table is written from it, then the copy
+    goes.  At any moment the table or the copy is whole, and readers take the copy while there is one.
     """
-    spark = df.sparkSession
-    staged = scratch_path(spark, "replace")
-    df.write.mode("overwrite").parquet(staged)
-    spark.read.schema(df.schema).parquet(staged).write.mode("overwrite").json(path)
+    spark, beside = df.sparkSession, f"{path}.next"
+    if whole_json_path(spark, path) == beside:
+        # ``df`` may read the copy of a replacement that was cut short
+        df = materialise(df, "replace")
+    df.write.mode("overwrite").json(beside)
+    spark.read.schema(df.schema).json(beside).write.mode("overwrite").json(path)
+    _remove(spark, beside)
 
 
 def round_trip(df: DataFrame, kind: str) -> DataFrame:

@@ -188,3 +188,38 @@ def test_forecast_sums_equal_frames(spark, store):
     b = trailing.trailing_sums(daily, "player_id", "game_date", [4], days).filter("`__n@4` > 0")
     b = b.select("player_id", "game_date", F.col("`__s_ab@4`").alias("sum_4_ab"))
     assert a.exceptAll(b.select(a.columns)).count() == 0 and a.count() == b.count()
+
+
+def test_replacing_survives_a_crash(spark, tmp_path, monkeypatch):
+    path, kind = str(tmp_path / "t.json"), "a int, b string"
+    spark.createDataFrame([(1, "x"), (2, "y")], kind).write.json(path)
+    schema = spark.read.json(path).schema
+    new = tables.read_json_or_empty(spark, path, schema).withColumn("b", F.upper("b"))
+    tables.replace_json(new, path)
+    assert sorted(map(tuple, tables.read_json_or_empty(spark, path, schema).collect())) == [(1, "X"), (2, "Y")]
+    monkeypatch.setattr(tables, "_remove", lambda *a: (_ for _ in ()).throw(OSError("killed")))
+    with pytest.raises(OSError):
+        tables.replace_json(tables.read_json_or_empty(spark, path, schema).withColumn("b", F.lit("z")), path)
+    # the table is gone half-way, the copy is whole
+    tables.read_json(spark, path).limit(0).write.mode("overwrite").json(path)
+    assert {r["b"] for r in tables.read_json_or_empty(spark, path, schema).collect()} == {"z"}
+    monkeypatch.undo()
+    tables.replace_json(tables.read_json_or_empty(spark, path, schema).withColumn("a", F.col("a") + 1), path)
+    assert sorted(map(tuple, tables.read_json_or_empty(spark, path, schema).collect())) == [(2, "z"), (3, "z")]
+
+
+def test_scratch_needs_a_shared_folder_off_a_local_master(spark):
+    from dugout.session import scratch_path
+
+    class Conf(dict):
+        def get(self, key, default=None):
+            return dict.get(self, key, default)
+
+    class Session:
+        conf = Conf({"spark.master": "spark://host:7077"})
+
+    with pytest.raises(ValueError):
+        scratch_path(Session, "x")
+    assert scratch_path(Session, "x", "hdfs://shared/").startswith("hdfs://shared/x-")
+    Session.conf["spark.checkpoint.dir"] = "hdfs://other"
+    assert scratch_path(Session, "x").startswith("hdfs://other/x-")
