@@ -76,7 +76,7 @@ class ChunkTokenizer:
             if body.isalpha():
                 letters[c] = (body.lower() if body.isascii() else body, c[len(body) :])
         tails = {t for _, t in letters.values()}
-        others = list((missing - letters.keys()) | (tails - self.known.keys()))
+        others = [c for c in missing if c not in letters] + [t for t in tails if t not in self.known and t not in missing]
         new = dict(zip(others, self._each(others)))
         words = list({w for w, _ in letters.values() if w not in self.known})
         coded = self._words(words)
