@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dugout.functions import baseball as rules
+from dugout.functions import text
 from dugout.operators import encode, joins, model, resolve, rollup, roster, scd, shape, skew, topk, trailing, weather
 from dugout.sources.schemas import ddl
 from dugout.sources.contest import eligible_csv, merge_lineup
@@ -355,3 +356,29 @@ def test_costs_between_units_count_exactly(spark, rows):
     df = spark.createDataFrame(data, "position string, team string, player string, cost long, points long")
     pairs = roster.combinations(df, "OF", 2, 300)
     assert rows(pairs, "cost") == [(251,), (300,)]
+
+
+def test_first_row_with_ties_and_nulls(spark, rows):
+    data = [(1, None, 1), (1, None, 2), (2, 5, 2), (2, 5, 1), (2, None, 0), (None, 1, 1), (None, 1, 2)]
+    df = spark.createDataFrame(data, "k int, o int, t int")
+    got = topk.mark_first(df, ["k"], "o", "first", ties=["t"])
+    assert got.columns == ["k", "o", "t", "first"]
+    assert sorted(map(tuple, got.filter("first").select("k", "o", "t").collect()), key=repr) == sorted([(1, None, 1), (2, 5, 1), (None, 1, 1)], key=repr)
+
+
+def test_unreadable_text_is_an_error(spark):
+    df = spark.createDataFrame([("x1",)], "a string")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        shape.conform(df, ddl("a int")).collect()
+
+
+def test_splice_over_many_pages(spark):
+    words = ["w" * (1 + i % 7) for i in range(5000)]
+    starts, used = [0], 0
+    for i, w in enumerate(words):
+        if used + len(w) > 9:
+            starts.append(i)
+            used = 0
+        used += len(w)
+    df = spark.createDataFrame([(words,)], "w array<string>")
+    assert df.select(text.splice_starts(F.col("w"), 9)).first()[0] == starts
