@@ -75,9 +75,10 @@ def as_groups(candidates: DataFrame) -> DataFrame:
 
 
 def number_candidates(candidates: DataFrame) -> DataFrame:
-    """Rank inside each position (``cid``), by points, for any number of candidates."""
+    """Rank inside each position (``cid``), by points, for any number of candidates; stored, as a search reads it often."""
     ranked = as_groups(candidates).withColumn("__low", -F.col("points"))
-    return number_rows(ranked, ["position"], ["__low", "players"], "cid").drop("__low").withColumn("cid", F.col("cid").cast("int"))
+    numbered = number_rows(ranked, ["position"], ["__low", "players"], "cid").drop("__low")
+    return materialise(numbered.withColumn("cid", F.col("cid").cast("int")), "candidates")
 
 
 _PICK = ("players", "teams", "cost", "points", "cid")
@@ -245,7 +246,7 @@ def _search(candidates, slots, cap, team_limit, unit, enough) -> DataFrame:
     for a, b in zip(slots, slots[1:], strict=False):
         if a != b and b in slots[: slots.index(a)]:
             raise ValueError("slots of one position must be next to each other")
-    pool = materialise(number_candidates(candidates), "candidates")
+    pool = number_candidates(candidates)
     bounds = _bounds(pool, slots, cap, unit)
     if bounds.best <= _IMPOSSIBLE // 2:
         return rosters_at_least(pool, slots, cap, team_limit, 0, bounds).limit(0)
