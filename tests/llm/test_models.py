@@ -122,3 +122,33 @@ def test_leaks(spark):
     kept = decontaminate.drop_leaks(docs, bench)
     assert kept.columns == docs.columns and kept.count() == len(table) - 27
     assert decontaminate.find_leaks(docs.limit(0), bench).count() == 0 and decontaminate.find_leaks(docs, bench.limit(0)).count() == 0
+
+
+def planted_search(sizes, seed=8):
+    """A search for items of random words in a random space, their terms and the generator."""
+    rng = np.random.default_rng(seed)
+    n = 3000
+    space = rng.standard_normal((n + 1, decontaminate.RANK)).astype(np.float32)
+    space[0] = 0
+    terms = [rng.integers(1, n + 1, size) for size in sizes]
+    items = decontaminate.Items(list(range(len(terms))), terms, [t[-6:] for t in terms], {})
+    return decontaminate.Searcher(items, space, np.append(0.0, np.ones(n))), terms, rng
+
+
+def missed(search, terms, rng, replaced):
+    """(item, offset) of planted copies that are not reported, with this share of the words replaced."""
+    found = []
+    for q, t in enumerate(terms):
+        for offset in range(16):
+            copy = t.copy()
+            copy[rng.permutation(len(t))[: int(replaced * len(t))]] = 0
+            around = [rng.integers(1, 3001, 64 + offset), copy, rng.integers(1, 3001, 80)]
+            if q not in {hit[0] for hit in search(np.concatenate(around).astype(np.int32))}:
+                found.append((q, offset))
+    return found
+
+
+def test_leaks_of_33_to_60_words_at_any_offset():
+    search, terms, rng = planted_search(range(33, 61))
+    assert missed(search, terms, rng, 0) == []
+    assert len(missed(search, terms, rng, 0.15)) <= 30  # of 448
