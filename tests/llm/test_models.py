@@ -152,3 +152,11 @@ def test_leaks_of_33_to_60_words_at_any_offset():
     search, terms, rng = planted_search(range(33, 61))
     assert missed(search, terms, rng, 0) == []
     assert len(missed(search, terms, rng, 0.15)) <= 30  # of 448
+
+
+def test_leaks_of_long_items():
+    search, terms, rng = planted_search((100, 150, 220, 300, 400, 500))
+    assert missed(search, terms, rng, 0) == missed(search, terms, rng, 0.2) == []
+    # one passage of an item is no leak of it
+    assert not search(np.concatenate([rng.integers(1, 3001, 64), terms[5][96:160], rng.integers(1, 3001, 64)]).astype(np.int32))
+    assert all({int(w) for at in decontaminate.passage_starts(n) for w in range(at, min(at + 32, n))} == set(range(n)) for n in range(1, 300))
