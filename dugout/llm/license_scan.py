@@ -1,6 +1,8 @@
 """License scan: an exact set-similarity join of text blocks with license templates, and literal phrases.
 
-A block is a line.  Its tokens are words of digits, letters and non-ASCII characters in lower case.  A block
+A block is a line, and with ``around`` also the text around a line break: up to that many words before it and as many
+after it, other breaks among them.  A notice of at most ``around`` words is then in one block however its lines are
+wrapped; ``AROUND`` is the length of the longest template.  Its tokens are words of digits, letters and non-ASCII characters in lower case.  A block
 matches a template when it holds at least ``THRESHOLD`` of the template's distinct tokens.  Tokens are ordered
 by their frequency in all blocks, rarest first.  A block with c = ceil(threshold * size) of a template's tokens
 must hold one of its first size - c + 1 tokens (prefix filter), must have c template tokens in all (length
@@ -40,6 +42,7 @@ TEMPLATES = {
     "bsd": ("redistribution and use in source and binary forms with or without modification are permitted",),
 }
 THRESHOLD = 0.85
+AROUND = max(len(text.split()) for texts in TEMPLATES.values() for text in texts)
 _PLACES = "array<struct<at:bigint,label:string>>"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -71,14 +74,35 @@ def _phrase_starts(words: Column, phrases: dict[str, str]) -> Column:
     return F.concat(*[places(phrase.split(), label) for phrase, label in phrases.items()])
 
 
-def scan_blocks(docs: DataFrame, id_col: str, text_col: str, phrases: dict[str, str], vocabulary: list[str], least: int) -> DataFrame:
-    """One row per document: number of words, phrase places, and the template tokens of lines that hold at least ``least``."""
+def _around_breaks(parts: Column, around: int, known: Column) -> Column:
+    """Tokens among the ``around`` words before and after each line break; ``parts`` are words and, as one, breaks."""
+    # between two breaks there is a word, so twice as many parts hold enough words
+    reach = 2 * around
+    is_word = lambda part: ~F.startswith(part, F.lit("\n"))
+
+    def block(i: Column) -> Column:
+        before = F.filter(F.slice(parts, F.greatest(i + 1 - reach, F.lit(1)), F.least(i, F.lit(reach))), is_word)
+        after = F.filter(F.slice(parts, i + 2, reach), is_word)
+        before = F.slice(before, F.greatest(F.size(before) - around + 1, F.lit(1)), around)
+        return F.array_intersect(F.concat(before, F.slice(after, 1, around)), known)
+
+    breaks = F.filter(F.sequence(F.lit(0), F.size(parts) - 1), lambda i: F.startswith(F.get(parts, i), F.lit("\n")))
+    return F.when(F.size(parts) > 0, F.transform(breaks, block))
+
+
+def scan_blocks(docs: DataFrame, id_col: str, text_col: str, phrases: dict[str, str], vocabulary: list[str], least: int, around: int = 0) -> DataFrame:
+    """One row per document: number of words, phrase places, and the template tokens of blocks that hold at least ``least``."""
     known = F.array(*[F.lit(t) for t in vocabulary])
     held = F.transform(F.split("text", "\n"), lambda line: F.array_intersect(words_of(line), known))
+    parts = F.lit(None).cast("array<string>")
+    if around:
+        # a break takes the signs and breaks that follow it
+        parts = F.regexp_extract_all(F.lower("text"), F.lit(rf"({WORD}|\n[\x00-\x2F\x3A-\x60\x7B-\x7F]*+)"), F.lit(1))
+        held = F.concat(held, F.coalesce(_around_breaks(F.col("parts"), around, known), F.array().cast("array<array<string>>")))
     maybe = F.lower("text").rlike("|".join(sorted({p.split()[-1] for p in phrases})))
     return (
         docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-        .select("id", "text", F.when(maybe, words_of(F.col("text"))).alias("words"))
+        .select("id", "text", F.when(maybe, words_of(F.col("text"))).alias("words"), F.when(F.contains("text", F.lit("\n")), parts).alias("parts"))
         .select(
             "id",
             F.xxhash64("text").alias("row"),
@@ -127,15 +151,17 @@ def scan_licenses(
     templates: dict[str, tuple[str, ...]] | None = None,
     phrases: dict[str, str] | None = None,
     threshold: float = THRESHOLD,
+    around: int = 0,
 ) -> DataFrame:
     """One row per document: id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
+    ``around`` is the number of words on each side of a line break that make a block; 0 takes lines alone.
     ``score`` is 1 for a document with a phrase, else the largest containment that met the threshold, else 0.
     """
     rows = template_rows(templates if templates is not None else TEMPLATES, threshold)
     phrases = PHRASES if phrases is None else phrases
     vocabulary = sorted({t for row in rows for t in row[2]})
-    scanned = materialise(scan_blocks(docs, id_col, text_col, phrases, vocabulary, min(r[3] for r in rows)), "license-blocks")
+    scanned = materialise(scan_blocks(docs, id_col, text_col, phrases, vocabulary, min(r[3] for r in rows), around), "license-blocks")
     found = (
         matching_blocks(scanned, rows, token_order(scanned, vocabulary))
         .groupBy("id", "row")

@@ -61,7 +61,7 @@ FROM w LEFT JOIN b USING (doc_id) LEFT JOIN m USING (doc_id) LEFT JOIN a USING (
 
 @query("documents", OP1_SQL)
 def op1_license_scan(documents: DataFrame, folder: str) -> DataFrame:
-    return license_scan.scan_licenses(documents).withColumnRenamed("id", "doc_id")
+    return license_scan.scan_licenses(documents, around=license_scan.AROUND).withColumnRenamed("id", "doc_id")
 
 
 def _op6_sql() -> str:

@@ -54,3 +54,14 @@ def test_containment_is_exact(spark):
             if any(len(tokens & set(line.split())) >= 0.7 * len(tokens) for line in text.split("\n")):
                 found.add(label)
         assert got[i] == ",".join(sorted(found))
+
+
+def test_notices_wrapped_over_lines(spark):
+    bsd = "Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that"
+    gpl = "you can redistribute it and/or modify\n * it under the terms of the GNU General\n *\n * Public License as published"
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a\ncopy of this software"
+    narrow = "intro\n\n" + "\n".join(bsd.split()) + "\nend"
+    far = "Redistribution and use in source and binary forms\n" + "x " * 60 + "\nwith or without modification are permitted"
+    table = documents(spark, [(1, bsd), (2, gpl), (3, mit), (4, narrow), (5, far), (6, "\n\n"), (7, "\nplain\n"), (8, None), (9, "x " * 50_000 + "\n" + bsd)])
+    got = {r["id"]: r["labels"] for r in license_scan.scan_licenses(table, phrases={"no phrase": "none"}, around=license_scan.AROUND).collect()}
+    assert got == {1: "bsd", 2: "gpl", 3: "mit", 4: "bsd", 5: "", 6: "", 7: "", 8: "", 9: "bsd"}
