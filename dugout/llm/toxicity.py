@@ -3,7 +3,9 @@
 A disguised word (letters replaced by digits and signs, letters drawn out, letters set apart by spaces or signs)
 is read as the output of a noisy channel: every sign offers the letters it may stand for, every drawn-out run one
 or two copies, every separator nothing.  Viterbi decoding over this lattice under a character trigram model of
-all documents gives the most likely word.
+all documents gives the most likely word.  Three or more single characters in a row, punctuation beside them or not,
+may also be several words: between any two of them the lattice offers a word boundary, and every word of a division
+whose probability comes near that of the best one is a reading.
 
 Words, their beginnings and ends are counted in toxic and other labelled documents; those of which, with 95 %
 confidence, at least half of the documents are toxic make the lexicon.  The three strongest words of the restored
@@ -39,6 +41,10 @@ SEPARATORS = ".-_*~'`^"
 SIGN_COST = -0.5
 CONFIDENCE = 1.64
 LEAST_SHARE = 0.5
+LEAST_RUN = 3
+# letters of a divided word, and nats by which a division may be less likely than the best one
+LONGEST_WORD = 24
+NEAR = 6.0
 BINS = 64
 CACHED_WORDS = 300_000
 _SYMBOLS = 64
@@ -77,6 +83,7 @@ class CharModel:
         after_one = (two + 5 * one) / (two.sum(axis=1, keepdims=True) + 5)
         mixed = (three + 5 * after_one) / (three.sum(axis=2, keepdims=True) + 5)
         self.log = np.log(mixed).astype(np.float32)
+        self.start = np.log(after_one[0]).astype(np.float32)
 
     def decode(self, token: str) -> str:
         """The most likely letters behind a disguised token."""
@@ -111,6 +118,52 @@ class CharModel:
         return max(((score + float(self.log[a, b, 0]), word) for (a, b), (score, word) in states.items()), key=lambda e: e[0])[1]
 
 
+    def _words_from(self, options: list[list[tuple[str, float]]], first: int) -> Iterator[tuple[int, float, str]]:
+        """(end, score, letters) of the most likely word from a place on, for each of its ends."""
+        states: dict[tuple[int, int], tuple[float, str]] = {}
+        for at in range(first, min(first + LONGEST_WORD, len(options))):
+            after: dict[tuple[int, int], tuple[float, str]] = {}
+            for (a, b), (score, word) in sorted(states.items()) if states else [((0, 0), (0.0, ""))]:
+                for letter, cost in options[at]:
+                    key, total = (a, b), score + cost
+                    if letter:
+                        s = int(symbols(letter)[0])
+                        key, total = (b, s), total + float(self.log[a, b, s] if word else self.start[s])
+                    if word + letter and (key not in after or total > after[key][0]):
+                        after[key] = (total, word + letter)
+            states = after
+            if not states:
+                return
+            yield at + 1, *max(((v + float(self.log[a, b, 0]), w) for (a, b), (v, w) in states.items()), key=lambda e: e[0])
+
+    def divide(self, chars: list[str]) -> tuple[list[str], list[str]]:
+        """Words of the most likely division of single characters, and those of all divisions that come near it."""
+        options: list[list[tuple[str, float]]] = []
+        runs: list[tuple[str, int]] = []
+        for char in chars:
+            runs.append((char, runs.pop()[1] + 1) if runs and runs[-1][0] == char else (char, 1))
+        for char, run in runs:
+            letters = char if _LETTER.match(char) else STANDS_FOR.get(char, "")
+            if letters:
+                one = [(c, 0.0 if letters == char else SIGN_COST) for c in letters]
+                options += [one, [*one, ("", 0.0)] if run > 2 else one][: min(run, 2)]
+        n = len(options)
+        words = [list(self._words_from(options, i)) for i in range(n)]
+        ahead, behind, last = [0.0] + [-np.inf] * n, [-np.inf] * n + [0.0], [(0, "")] * (n + 1)
+        for i in range(n):
+            for end, score, word in words[i]:
+                if ahead[i] + score > ahead[end]:
+                    ahead[end], last[end] = ahead[i] + score, (i, word)
+        for i in reversed(range(n)):
+            behind[i] = max((score + behind[end] for end, score, _ in words[i]), default=-np.inf)
+        best, at = [], n
+        while at:
+            at, word = last[at]
+            best.insert(0, word)
+        near = [word for i in range(n) for end, score, word in words[i] if ahead[i] + score + behind[end] >= ahead[n] - NEAR]
+        return best, list(dict.fromkeys(near))
+
+
 def disguised(token: str) -> bool:
     """Letters mixed with signs that stand for letters, a letter three times in a row, or letters set apart."""
     if token.isalpha():
@@ -120,6 +173,26 @@ def disguised(token: str) -> bool:
     return any(c in STANDS_FOR for c in token) or _RUN.search(token) is not None or _SET_APART.match(token) is not None
 
 
+def single(token: str) -> str:
+    """The one character of a token, without the punctuation beside it; empty for a token of more."""
+    if len(token) > 1:
+        token = token.strip(_PUNCTUATION)
+    return token if len(token) == 1 else ""
+
+
+def single_runs(tokens: list[str]) -> Iterator[list[str]]:
+    """Runs of consecutive tokens of one character."""
+    run: list[str] = []
+    for token in tokens:
+        if char := single(token):
+            run.append(char)
+        elif run:
+            yield run
+            run = []
+    if run:
+        yield run
+
+
 class Restorer:
     """Words of a text in lower case, those in disguise restored as well."""
 
@@ -139,26 +212,22 @@ class Restorer:
         return found
 
     def spaced(self, tokens: list[str]) -> list[str]:
-        """Readings of runs of at least four single characters."""
-        found, run = [], []
-        for i in [i for i, t in enumerate(tokens) if len(t) == 1]:
-            if run and i != run[-1] + 1:
-                if len(run) >= 4:
-                    found.append(self.model.decode("".join(tokens[k] for k in run).lower()))
-                run = []
-            run.append(i)
-        if len(run) >= 4:
-            found.append(self.model.decode("".join(tokens[k] for k in run).lower()))
-        return [f for f in found if f]
+        """Readings of runs of at least three single characters: divided into words, and as one word."""
+        found = []
+        for run in single_runs(tokens):
+            if len(run) >= LEAST_RUN:
+                word = "".join(run).lower()
+                found += [*self.model.divide(list(word))[1], self.model.decode(word)]
+        return [f for f in dict.fromkeys(found) if f]
 
     def restore(self, text: str) -> str:
         """The text with disguised tokens replaced by their readings; set-apart letters are closed up."""
         out, run = [], []
         for token in [*text.split(), ""]:
-            if len(token) == 1:
+            if single(token):
                 run.append(token)
                 continue
-            out += [self.model.decode("".join(run).lower())] if len(run) >= 4 else run
+            out += self.model.divide(list("".join(map(single, run)).lower()))[0] if len(run) >= LEAST_RUN else run
             run = []
             core = token.lower().strip(_PUNCTUATION)
             out.append(self.model.decode(core) if disguised(core) else token)

@@ -60,6 +60,28 @@ def test_restoring():
     assert restorer.words("That,") == ["that"] and restorer.words("4.0") == []
 
 
+def test_spaced_runs():
+    counts = {}
+    words = ["idiot", "scum", "you", "are", "a", "i", "the", "not", "book"] * 50
+    for w in words:
+        s = [0, 0, *toxicity.symbols(f" {w} ").tolist()[1:]]
+        for a, b, c in zip(s, s[1:], s[2:]):
+            key = (a * 64 + b) * 64 + c
+            counts[key] = counts.get(key, 0) + 1
+    restorer = toxicity.Restorer(toxicity.CharModel(counts))
+    runs = (
+        ("s c u m", "scum"), ("s c u m.", "scum"), ("what i d i o t.", "idiot"), ("y o u s c u m", "scum"), ("y o u s c u m", "you"),
+        ("a i d i o t", "idiot"), ("I s c u m!", "scum"), ("(s c u m)", "scum"), ("s. c. u. m.", "scum"), ("5 c u m", "scum"), ("y o u", "you"),
+    )
+    for text, word in runs:
+        assert word in restorer.spaced(text.split()), text
+    assert restorer.spaced("a b".split()) == restorer.spaced("the not".split()) == restorer.spaced(". . .".split()) == []
+    assert restorer.restore("the y o u s c u m. book") == "the you scum book"
+    assert "scum" in restorer.spaced(list("scum" * 5_000))
+    evidence = toxicity.Evidence(restorer.model, {"=scum": 0.9})
+    assert min(map(evidence, ("s c u m.", "y o u s c u m", "a s c u m"))) > 0.8 and evidence("a b c") == 0
+
+
 def test_toxicity(spark):
     random.seed(9)
     table, labels = [], []
