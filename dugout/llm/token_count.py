@@ -1,12 +1,14 @@
 """Token counts of a unigram tokenizer without producing the tokens.
 
-Aho-Corasick finds all vocabulary matches of a word at once; a Viterbi pass over the end positions carries the
+Aho-Corasick finds all vocabulary matches within a word at once; a Viterbi pass over the end positions carries the
 best score and the number of pieces only.  Ties go as in the tokenizer: candidates of one end are taken from the
 earliest start on, and a later one must be strictly better.  A character without a piece of its own costs the
 smallest score less 10 and counts as its UTF-8 bytes (byte fallback).
 
 Words are what the tokenizer sees: a space becomes the mark that begins a word, a text gets one in front.  No
-piece contains a line break, so words are cut there as well, which changes no count.  Each worker remembers a
+piece contains a line break, so words are cut there as well, which changes no count.  As in the tokenizer, which
+splits at each mark, every mark begins a word: vocabulary pieces with a mark after their first character (runs of
+marks, for indentation) are never used, and each further space of a run counts as a piece.  Each worker remembers a
 bounded number of words.
 
 Defined cases: null and empty texts have no words, no tokens and score 0; repeated rows and null ids are
