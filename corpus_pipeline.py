@@ -31,7 +31,7 @@ def _tuned(stage):
 
 @_tuned
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter have no language and go."""
+    """Documents without a letter or with too low a language score go; without labels, those with letters stay."""
     return language_id.drop_undetermined(docs)
 
 

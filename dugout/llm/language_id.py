@@ -38,6 +38,8 @@ FAMILIES = {
     "semitic": ("ar", "he", "mt", "am"),
 }
 SAMPLE_ROWS = 2_000
+# below: the predicted language clearly loses a comparison, the machines contradict each other
+LEAST_SCORE = 0.4
 BITS = 12
 UNDETERMINED = "und"
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -177,7 +179,26 @@ def predict_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     return found.select("id", held_out(F.col("id")).alias("held_out"), F.col("__lang_pred").alias("lang_pred"), F.col("__lang_score").alias("score"))
 
 
-def drop_undetermined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """The rows whose language can be told, with all their columns; texts without a letter go."""
+def drop_undetermined(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+    sample_rows: int = SAMPLE_ROWS,
+    wanted: tuple[str, ...] | None = None,
+    least_score: float = LEAST_SCORE,
+) -> DataFrame:
+    """The rows whose language can be told, with all their columns.
+
+    Texts without a letter go, and so do those with a lower score than ``least_score`` or, if ``wanted`` lists
+    languages, predicted to be in another.  Without labels to learn from, all texts with a letter stay.
+    """
     model = train(docs, id_col, text_col, lang_col, sample_rows)
-    return identify(docs, model, id_col, text_col).filter(F.col("__lang_pred") != UNDETERMINED).drop("__lang_pred", "__lang_score")
+    keep = F.col("__lang_pred") != UNDETERMINED
+    if model.families:
+        keep &= F.col("__lang_score") >= least_score
+        if wanted is not None:
+            keep &= F.col("__lang_pred").isin(*wanted)
+    else:
+        model = LanguageModel({"any": ["any"]}, [], np.zeros((0, 0)))
+    return identify(docs, model, id_col, text_col).filter(keep).drop("__lang_pred", "__lang_score")

@@ -38,6 +38,17 @@ def test_languages_without_labels(spark):
     assert {(r["lang_pred"], r["score"]) for r in one} == {("xx", 1.0)}
 
 
+def test_the_stage_acts_on_the_prediction(spark):
+    random.seed(4)
+    table = [(i, sentence({"en": EN, "de": DE, "fr": FR}[lang], 12), lang) for i, lang in enumerate(["en", "de", "fr"] * 40)]
+    docs = documents(spark, table)
+    kept = language_id.drop_undetermined(docs, wanted=("en", "fr")).collect()
+    assert len(kept) == 80 and {r["lang"] for r in kept} == {"en", "fr"}
+    assert language_id.drop_undetermined(docs).count() == 120 and language_id.drop_undetermined(docs, least_score=1.01).count() == 0
+    unlabelled = documents(spark, [(1, "some text", None), (2, "12 !", None), (3, None, None)])
+    assert [r["doc_id"] for r in language_id.drop_undetermined(unlabelled).collect()] == [1]
+
+
 def test_a_language_of_the_other_family_is_not_considered():
     rows = [(lang, language_id.letter_grams(sentence(words, 30))) for lang, words in (("en", EN), ("de", DE), ("fr", FR)) for _ in range(30)]
     model = language_id.fit_languages(rows)
