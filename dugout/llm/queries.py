@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import tune
-from . import decontaminate, exact_dedup, language_id, license_scan, near_dedup, packing, token_count, toxicity, url_filter, warc
+from . import decontaminate, exact_dedup, hard_negatives, language_id, license_scan, near_dedup, packing, prefix_trie, projected_search, token_count, toxicity, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -159,3 +159,68 @@ def op8_toxicity(documents: DataFrame, folder: str) -> DataFrame:
 def op7_benchmark_leaks(documents: DataFrame, folder: str) -> DataFrame:
     benchmark = documents.sparkSession.read.parquet(f"{folder}/benchmark.parquet")
     return decontaminate.find_leaks(documents, benchmark).withColumnRenamed("id", "doc_id")
+
+
+@query("embeddings")
+def op11_projected_neighbours(embeddings: DataFrame, folder: str) -> DataFrame:
+    found = projected_search.nearest(embeddings, is_query=F.col("vec_id") % 20 == 0)
+    return found.withColumnRenamed("id", "vec_id")
+
+
+OP13_SQL = f"""
+WITH e AS (SELECT row_number() OVER () AS r, vec_id,
+    CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor({hard_negatives.SCALE} * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.r, a.vec_id AS anchor_id, b.vec_id, a.r = b.r AS own, a.label = b.label AS same,
+    coalesce(list_sum(list_transform(list_zip(a.v, b.v), lambda z: coalesce(z[1] * z[2], 0))), 0)::BIGINT AS score
+  FROM e a, e b WHERE a.vec_id % 100 = 0),
+p AS (SELECT r, anchor_id, vec_id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS place
+  FROM s WHERE same AND NOT own QUALIFY place <= {hard_negatives.POSITIVES})
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY p.r, place ORDER BY score DESC, vec_id)::INT AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (r, anchor_id)
+WHERE NOT same AND {hard_negatives.WINDOW[0]} * positive_score <= 100 * score AND 100 * score <= {hard_negatives.WINDOW[1]} * positive_score
+QUALIFY rank <= {hard_negatives.NEGATIVES}"""
+
+
+@query("embeddings", OP13_SQL)
+def op13_hard_negatives(embeddings: DataFrame, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(embeddings, label, F.col("vec_id") % 100 == 0)
+
+
+_CRC = (
+    "xor(4294967295, list_reduce(list_concat([4294967295], flatten(list_transform(string_split(conv_id::VARCHAR, ''), "
+    "lambda ch: list_transform(range(8), lambda i: (ascii(ch) >> i) & 1)))), "
+    "lambda c, b: CASE WHEN xor(c, b) & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"
+)
+OP12_SQL = f"""
+WITH t AS (SELECT conv_id, sha256(coalesce(role, '')) || sha256(coalesce(text, '')) AS e, length(coalesce(text, '')) AS chars,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, count(*) AS n, conv_id - conv_id % 100 AS base, {_CRC} % 6 AS h FROM t GROUP BY conv_id),
+r AS (SELECT c.conv_id, t.pos, e, chars FROM c JOIN t ON t.conv_id = c.base AND t.pos <= c.h
+  UNION ALL SELECT c.conv_id, t.pos - c.h + least(c.h, coalesce(b.n, 0)), e, chars
+  FROM c JOIN t ON t.conv_id = c.conv_id AND t.pos > c.h LEFT JOIN c b ON b.conv_id = c.base),
+l AS (SELECT c.conv_id, coalesce(list(e ORDER BY pos) FILTER (e IS NOT NULL), []) AS e, coalesce(list(chars ORDER BY pos) FILTER (e IS NOT NULL), []) AS chars
+  FROM c LEFT JOIN r USING (conv_id) GROUP BY c.conv_id),
+x AS (SELECT conv_id, d, array_to_string(e[1:d], '') AS k, CASE WHEN d > 0 THEN array_to_string(e[1:d - 1], '') END AS up, CASE WHEN d > 0 THEN chars[d] ELSE 0 END AS chars,
+    len(e) = d AS ends FROM l, unnest(range(len(e) + 1)) u(d)),
+n AS (SELECT k, d, min(conv_id) AS conv_id, count(*) AS n, min(up) AS up, min(chars) AS chars,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256 FROM x GROUP BY k, d),
+f AS (SELECT up, count(*) AS n_children FROM n WHERE d > 0 GROUP BY up),
+m AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN f ON f.up = n.k),
+s AS (SELECT m.k, sum(CASE WHEN b.n_children = 0 THEN 1 ELSE 0 END)::BIGINT AS n_leaves, sum((b.n - 1) * b.chars)::BIGINT AS saved_tokens
+  FROM m JOIN m b ON b.d >= m.d AND starts_with(b.k, m.k) GROUP BY m.k)
+SELECT m.conv_id, m.d AS depth, p.conv_id AS parent_conv_id, m.n AS n_convs, m.n_children, n_leaves, saved_tokens, m.ends_sha256
+FROM m JOIN s USING (k) LEFT JOIN m p ON p.k = m.up"""
+
+
+@query("conversations", OP12_SQL)
+def op12_prefix_trie(conversations: DataFrame, folder: str) -> DataFrame:
+    ident = F.col("conv_id")
+    turns, runs = prefix_trie.order_turns(conversations)
+    opening = F.crc32(ident.cast("string").cast("binary")) % 6
+    return prefix_trie.trie_nodes(*prefix_trie.splice_openings(turns, runs, ident - ident % 100, opening, 5))
