@@ -20,7 +20,7 @@ def test_query_equals_sql(spark, con, name):
 
 
 def test_each_number_once():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", ["op1_license_scan", "op9_exact_dedup"])
