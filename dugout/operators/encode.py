@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import materialise
-from .skew import ROWS_PER_SEGMENT, number_rows
+from .skew import number_rows
 
 UNSEEN = -1
 
@@ -18,12 +17,11 @@ def _is_number(dtype: T.DataType) -> bool:
     return isinstance(dtype, T.NumericType | T.BooleanType)
 
 
-def fit_codes(df: DataFrame, columns: Sequence[str], rows_per_segment: int = ROWS_PER_SEGMENT) -> DataFrame:
+def fit_codes(df: DataFrame, columns: Sequence[str], rows_per_segment: int | None = None) -> DataFrame:
     """Dictionary rows ``(column, value, code)`` for all columns, from one scan.
 
-    Each row unpivots into (column, value) pairs that are de-duplicated before the shuffle.  The distinct
-    pairs are stored before they are numbered, so the table itself is read once.  Numbers sort as
-    numbers, text as text.
+    Each row unpivots into (column, value) pairs that are de-duplicated before the shuffle; numbering them samples and
+    deals out the distinct pairs.  Numbers sort as numbers, text as text.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     pairs = []
@@ -32,7 +30,7 @@ def fit_codes(df: DataFrame, columns: Sequence[str], rows_per_segment: int = ROW
         pairs.append(
             F.struct(F.lit(c).alias("column"), number.alias("as_number"), F.col(c).cast("string").alias("value"))
         )
-    distinct = materialise(df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").distinct(), "values")
+    distinct = df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").distinct()
     numbered = number_rows(distinct, ["column"], ["as_number", "value"], "__rn", rows_per_segment)
     return numbered.select("column", "value", (F.col("__rn") - 1).alias("code"))
 

@@ -1,9 +1,15 @@
 """Best selections under a budget and a per-team limit.
 
 The candidate set of a search is small by construction: :func:`prune_candidates` keeps a fixed number
-of players per (position, cost).  What explodes is the number of combinations, so the search extends
-partial rosters slot by slot and drops each one that cannot reach the wanted score within the
-remaining budget.  The test is exact, so nothing that belongs to the result is lost.
+of players per (position, cost).  What explodes is the number of combinations.  A search makes one exact pass:
+
+* A beam over the slots, a few legal partial rosters per cost, finds enough legal rosters to set a score floor.
+* The slots are divided into two halves.  Each half is built slot by slot, dropping every partial roster that cannot reach the
+  floor with the best of all other slots within the budget left.
+* A half roster meets those of the other half under the budget it leaves, and only where the best it
+  can meet there reaches the floor.
+
+The tests are exact, so nothing that belongs to the result is lost.
 """
 
 from __future__ import annotations
@@ -20,11 +26,10 @@ from ..functions import baseball as rules
 from ..session import materialise
 from .joins import lookup
 from .rollup import best_per_cost
-from .skew import number_rows
 from .topk import top_k_by_group
 
-# partial rosters with the same money left are spread over so many tasks at least
-SPREAD = 8
+# legal partial rosters a beam keeps per cost
+BEAM = 8
 _IMPOSSIBLE = np.iinfo(np.int64).min // 4
 
 
@@ -75,10 +80,10 @@ def as_groups(candidates: DataFrame) -> DataFrame:
 
 
 def number_candidates(candidates: DataFrame) -> DataFrame:
-    """Rank inside each position (``cid``), by points, for any number of candidates; stored, as a search reads it often."""
-    ranked = as_groups(candidates).withColumn("__low", -F.col("points"))
-    numbered = number_rows(ranked, ["position"], ["__low", "players"], "cid").drop("__low")
-    return materialise(numbered.withColumn("cid", F.col("cid").cast("int")), "candidates")
+    """Rank inside each position (``cid``), by points; stored, as a search reads it often.  The candidates must be pruned ones."""
+    # pruning leaves a fixed number of rows per position and cost
+    rank = F.row_number().over(Window.partitionBy("position").orderBy(F.desc("points"), "players"))
+    return materialise(as_groups(candidates).withColumn("cid", rank), "candidates")
 
 
 _PICK = ("players", "teams", "cost", "points", "cid")
@@ -104,20 +109,17 @@ def _menu(pool: DataFrame, cap: int, unit: int, reach: np.ndarray | None = None)
     if reach is not None:
         later = F.from_json(F.lit(json.dumps(reach.tolist())), "array<bigint>")
         gain = F.col("points") + F.get(later, F.col("left") - price)
-    rows = rows.withColumn("spread", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
-    return rows.select("left", "spread", gain.alias("gain"), price.alias("price"), *[F.col(c).alias(f"n_{c}") for c in _PICK])
+    return rows.select("left", gain.alias("gain"), price.alias("price"), *[F.col(c).alias(f"n_{c}") for c in _PICK])
 
 
 def _extend(out: DataFrame, menu: DataFrame, cap: int, wanted=None) -> DataFrame:
     """Add one affordable candidate to each partial roster where ``wanted`` holds.
 
-    Units round down, so the join never misses a candidate; the exact cost decides.  The join key is the money
-    left and a number from the roster, so that many rosters with the same money do not meet in one task; how to
-    join is left to Spark, which knows the size of the menu.
+    Units round down, so the join never misses a candidate; the exact cost decides.  How to join is left to Spark, which
+    knows the size of the menu and splits the rosters with the same money left.
     """
     fits = F.col("cost") + F.col("n_cost") <= cap
-    dealt = out.withColumn("spread", F.pmod(F.hash("players"), F.lit(SPREAD)))
-    joined = dealt.join(menu, ["left", "spread"])
+    joined = out.join(menu, "left")
     return joined.filter(fits if wanted is None else fits & wanted).select(
         F.concat("players", "n_players").alias("players"),
         F.concat("teams", "n_teams").alias("teams"),
@@ -183,11 +185,27 @@ class _Bounds:
 
     table: list[np.ndarray]
     unit: int
+    offers: Mapping[str, list[tuple[int, int]]]
 
     @property
     def best(self) -> int:
         return int(self.table[0][-1])
 
+    def turned(self, slots: Sequence[str]) -> _Bounds:
+        """The bounds for another order of the slots."""
+        return _suffix_bounds(self.offers, slots, len(self.table[0]) - 1, self.unit)
+
+
+def _suffix_bounds(offers: Mapping[str, list[tuple[int, int]]], slots: Sequence[str], grid: int, unit: int) -> _Bounds:
+    tables = [np.zeros(grid + 1, dtype=np.int64)]
+    for slot in reversed(slots):
+        after = tables[0]
+        here = np.full(grid + 1, _IMPOSSIBLE, dtype=np.int64)
+        for cost, points in offers.get(slot, []):
+            here[cost:] = np.maximum(here[cost:], np.maximum(after[: grid + 1 - cost] + points, _IMPOSSIBLE))
+        tables.insert(0, here)
+    return _Bounds(tables, unit, offers)
+
 
 def _bounds(candidates: DataFrame, slots: Sequence[str], cap: int, unit: int) -> _Bounds:
     """Suffix bounds from the best points per (position, cost).
@@ -206,42 +224,93 @@ def _bounds(candidates: DataFrame, slots: Sequence[str], cap: int, unit: int) ->
         if r["cost"] % unit or r["cost"] < 0:
             raise ValueError(f"cost {r['cost']} is not a multiple of {unit}")
         best.setdefault(r["position"], []).append((r["cost"] // unit, r["points"]))
-    tables = [np.zeros(grid + 1, dtype=np.int64)]
-    for slot in reversed(slots):
-        after = tables[0]
-        here = np.full(grid + 1, _IMPOSSIBLE, dtype=np.int64)
-        for cost, points in best.get(slot, []):
-            here[cost:] = np.maximum(here[cost:], np.maximum(after[: grid + 1 - cost] + points, _IMPOSSIBLE))
-        tables.insert(0, here)
-    return _Bounds(tables, unit)
+    return _suffix_bounds(best, slots, grid, unit)
 
 
-def rosters_at_least(
-    candidates: DataFrame, slots: Sequence[str], cap: int, team_limit: int, floor: int, bounds: _Bounds
+def _half(
+    candidates: DataFrame, slots: Sequence[str], picked: int, cap: int, team_limit: int, floor: int | None, bounds: _Bounds
 ) -> DataFrame:
-    """All legal rosters with at least ``floor`` points.
+    """Legal picks for the first ``picked`` slots that can still reach the floor; all of them without a floor.
 
-    ``candidates`` must be numbered.  Each step is an equi-join on the budget left
-    with the menu of the next slot; the score bound drops pairs that cannot reach the floor any more.
+    ``candidates`` must be numbered.  Each step is an equi-join on the budget left with the menu of the next slot.
     """
     unit = bounds.unit
-    reach = F.from_json(F.lit(json.dumps(bounds.table[1].tolist())), "array<bigint>")
+
+    def reaches(points, left, after):
+        best = F.get(F.from_json(F.lit(json.dumps(after.tolist())), "array<bigint>"), left)
+        return points + best >= F.lit(_IMPOSSIBLE // 2 if floor is None else floor)
+
     out = _with_budget(candidates.filter(F.col("position") == slots[0]), cap, unit)
-    out = out.filter(F.col("points") + F.get(reach, F.col("left")) >= F.lit(floor))
-    for i, slot in enumerate(slots[1:], start=1):
+    out = out.filter(reaches(F.col("points"), F.col("left"), bounds.table[1]) & (largest_team(F.col("teams")) <= team_limit))
+    for i, slot in enumerate(slots[1:picked], start=1):
         menu = _menu(candidates.filter(F.col("position") == slot), cap, unit, bounds.table[i + 1])
-        wanted = F.col("points") + F.col("gain") >= F.lit(floor)
+        wanted = F.col("points") + F.col("gain") >= F.lit(_IMPOSSIBLE // 2 if floor is None else floor)
         wanted = wanted & (largest_team(F.concat("teams", "n_teams")) <= team_limit)
         if slot == slots[i - 1]:
             wanted = wanted & (F.col("n_cid") > F.col("cid"))
         out = _extend(out, menu, cap, wanted)
-        if i == 2:
-            out = out.repartition(F.hash("players"))
-    return out.select("players", "teams", "cost", "points")
+    return out
+
+
+def _middle(slots: Sequence[str]) -> int:
+    """Where to divide the slots: near the middle, between two positions; all in one half if there is one position."""
+    cuts = [i for i in range(1, len(slots)) if slots[i] != slots[i - 1]]
+    return min(cuts, key=lambda i: abs(2 * i - len(slots)), default=len(slots))
+
+
+def rosters_at_least(
+    candidates: DataFrame, slots: Sequence[str], cap: int, team_limit: int, floor: int, bounds: _Bounds
+) -> DataFrame:
+    """All legal rosters with at least ``floor`` points, put together from two halves.
+
+    ``candidates`` must be numbered.  The second half is built first of all slots, so its bound is the best of the
+    others as well.  A second half is listed under a budget only where the best first half that leaves this budget
+    reaches the floor with it, so few pairs meet that fail.
+    """
+    slots, unit = list(slots), bounds.unit
+    cut = _middle(slots)
+    first = _half(candidates, slots, cut, cap, team_limit, floor, bounds)
+    if cut == len(slots):
+        return first.select("players", "teams", "cost", "points")
+    turned = slots[cut:] + slots[:cut]
+    second = _half(candidates, turned, len(slots) - cut, cap, team_limit, floor, bounds.turned(turned))
+    first = materialise(first, "half")
+    # one row per budget
+    best = {r["left"]: r["points"] for r in first.groupBy("left").agg(F.max("points").alias("points")).collect()}
+    there = F.from_json(F.lit(json.dumps([best.get(b, _IMPOSSIBLE) for b in range(cap // unit + 1)])), "array<bigint>")
+    price = (F.lit(cap // unit) - F.col("left")).cast("int")
+    budgets = F.filter(F.sequence(price, F.lit(cap // unit)), lambda b: F.get(there, b) + F.col("points") >= F.lit(floor))
+    listed = second.withColumn("left", F.explode(budgets)).select("left", *[F.col(c).alias(f"n_{c}") for c in ("players", "teams", "cost", "points")])
+    fits = (F.col("cost") + F.col("n_cost") <= cap) & (F.col("points") + F.col("n_points") >= F.lit(floor))
+    met = first.join(listed, "left").filter(fits & (largest_team(F.concat("teams", "n_teams")) <= team_limit))
+    return met.select(
+        F.concat("players", "n_players").alias("players"), F.concat("teams", "n_teams").alias("teams"),
+        (F.col("cost") + F.col("n_cost")).alias("cost"), (F.col("points") + F.col("n_points")).alias("points"),
+    )
 
 
-def _search(candidates, slots, cap, team_limit, unit, enough) -> DataFrame:
-    """Lower the score floor until ``enough(rosters)`` holds, then every better roster is in the result."""
+def _beam(candidates: DataFrame, slots: Sequence[str], cap: int, team_limit: int, bounds: _Bounds, width: int) -> DataFrame:
+    """Some legal rosters with many points: the best few partial ones per cost, slot by slot."""
+    per_cost = Window.partitionBy("cost").orderBy(F.desc("points"), "players")
+
+    def best(df: DataFrame) -> DataFrame:
+        return df.withColumn("__rn", F.row_number().over(per_cost)).filter(F.col("__rn") <= width).drop("__rn")
+
+    out = best(_half(candidates, slots, 1, cap, team_limit, None, bounds))
+    for i, slot in enumerate(slots[1:], start=1):
+        menu = _menu(candidates.filter(F.col("position") == slot), cap, bounds.unit, bounds.table[i + 1])
+        wanted = (largest_team(F.concat("teams", "n_teams")) <= team_limit) & (F.col("gain") > F.lit(_IMPOSSIBLE // 2))
+        if slot == slots[i - 1]:
+            wanted = wanted & (F.col("n_cid") > F.col("cid"))
+        out = best(_extend(out, menu, cap, wanted))
+    return out
+
+
+def _search(candidates, slots, cap, team_limit, unit, enough: int, scores: bool = False, beam: int = BEAM) -> DataFrame:
+    """All legal rosters as good as the ``enough``-th best one, or, with ``scores``, as the ``enough``-th best score.
+
+    Rosters of the beam are legal, so what they set is never above the true floor; when they are too few, all are searched.
+    """
     slots = list(slots)
     for a, b in zip(slots, slots[1:], strict=False):
         if a != b and b in slots[: slots.index(a)]:
@@ -249,15 +318,11 @@ def _search(candidates, slots, cap, team_limit, unit, enough) -> DataFrame:
     pool = number_candidates(candidates)
     bounds = _bounds(pool, slots, cap, unit)
     if bounds.best <= _IMPOSSIBLE // 2:
-        return rosters_at_least(pool, slots, cap, team_limit, 0, bounds).limit(0)
-    lowest = pool.agg(F.min("points")).first()[0] * len(slots)
-    gap = max((bounds.best - lowest) // 24, 1)
-    while True:
-        floor = max(bounds.best - gap, lowest)
-        found = materialise(rosters_at_least(pool, slots, cap, team_limit, floor, bounds), "rosters")
-        if floor <= lowest or enough(found):
-            return found
-        gap = gap * 2 if found.isEmpty() else gap + gap // 2 + 1
+        return _half(pool, slots, 1, cap, team_limit, None, bounds).select("players", "teams", "cost", "points").limit(0)
+    known = _beam(pool, slots, cap, team_limit, bounds, beam).select("points")
+    known = (known.distinct() if scores else known).orderBy(F.desc("points")).limit(enough).collect()
+    floor = known[-1]["points"] if len(known) == enough else _IMPOSSIBLE // 2
+    return rosters_at_least(pool, slots, cap, team_limit, floor, bounds)
 
 
 def top_rosters(
@@ -274,7 +339,7 @@ def top_rosters(
     decimals up), or arrays ``players`` and ``teams`` for candidates that are groups.  Points may be
     negative.
     """
-    found = _search(candidates, slots, cap, team_limit, unit, lambda df: df.limit(keep).count() >= keep)
+    found = _search(candidates, slots, cap, team_limit, unit, keep)
     ids = F.array_join("players", ",")
     ranked = found.select(ids.alias("players"), "cost", "points").orderBy(F.desc("points"), "players").limit(keep)
     place = Window.orderBy(F.desc("points"), "players")  # at most `keep` rows
@@ -286,8 +351,5 @@ def top_score_histogram(
 ) -> DataFrame:
     """Number of legal rosters for each of the highest scores, exact."""
 
-    def enough(df: DataFrame) -> bool:
-        return df.select("points").distinct().limit(scores).count() >= scores
-
-    found = _search(candidates, slots, cap, team_limit, unit, enough)
+    found = _search(candidates, slots, cap, team_limit, unit, scores, scores=True)
     return found.groupBy("points").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("points")).limit(scores)

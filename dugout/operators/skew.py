@@ -1,10 +1,13 @@
 """Ordered work on keys of any size.
 
 A window keyed by an entity puts all rows of that entity into one task.  When one entity may hold a third of the
-table that task never ends, so the helpers here deal the rows out by ranges of (key, order), about
-``ROWS_PER_SEGMENT`` to a segment, and store them with the number of their segment.  A window then runs per key
-and segment, and what it needs from the segments before comes from a small table with one row per segment edge.
-There is one form for tables of any size; the rows of a segment do not grow with the table.
+table that task never ends, so the helpers here deal the rows out by ranges of (key, order) and store them, sorted, with
+the number of their segment and their place in it.  A window then runs per key and segment, and what it needs from
+the segments before comes from a small table with one row per segment edge.  There is one form for tables of any size.
+
+One sampled pass cuts the ranges and one writes them.  Nothing is counted first: there are as many segments as the session has shuffle partitions,
+fewer where adaptive execution puts small ones together, so they are as large as any other partition.  Rows with equal
+keys and order are cut like others, by their place in the input.
 """
 
 from __future__ import annotations
@@ -17,20 +20,23 @@ from pyspark.sql import functions as F
 
 from ..session import materialise
 
-SEGMENT = "__segment"
-ROWS_PER_SEGMENT = 1_000_000
+SEGMENT, PLACE = "__segment", "__place"
+_WITHIN = (1 << 33) - 1
 
 
-def segmented(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_segment: int = ROWS_PER_SEGMENT) -> DataFrame:
-    """The rows with the number of their segment, stored.  Segments follow (keys, order), nulls first.
+def segmented(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_segment: int | None = None) -> DataFrame:
+    """The rows with the number of their segment and their place in it, stored.  Segments follow (keys, order), nulls first.
 
-    Storing fixes the cuts: every later branch and every repeated task sees the same ones.  ``df`` is read to
-    count it, to sample the ranges and to deal it out, so it should be a stored table where it is dear to compute.
+    Storing fixes the cuts: every later branch and every repeated task sees the same ones.  ``df`` is read twice, to
+    sample the ranges and to deal it out, so it should be a stored table where it is dear to compute.  With
+    ``rows_per_segment`` it is counted as well and cut into segments of about that many rows.
     """
-    n = max(1, math.ceil(df.count() / rows_per_segment))
-    # without order columns there is nothing to range by
-    dealt = df.repartitionByRange(n, *[F.col(c) for c in dict.fromkeys([*keys, *order])])
-    return materialise(dealt.withColumn(SEGMENT, F.spark_partition_id()), "segments")
+    by = [*[F.col(c) for c in dict.fromkeys([*keys, *order])], F.col("__tie")]
+    tied = df.withColumn("__tie", F.monotonically_increasing_id())
+    parts = [] if rows_per_segment is None else [max(1, math.ceil(df.count() / rows_per_segment))]
+    dealt = tied.repartitionByRange(*parts, *by).sortWithinPartitions(*by).drop("__tie")
+    place = F.monotonically_increasing_id().bitwiseAND(_WITHIN)
+    return materialise(dealt.withColumns({SEGMENT: F.spark_partition_id(), PLACE: place}), "segments")
 
 
 def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -52,21 +58,22 @@ def crossing_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def number_rows(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "rn", rows_per_segment: int = ROWS_PER_SEGMENT
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "rn", rows_per_segment: int | None = None
 ) -> DataFrame:
     """``row_number()`` by ascending order (nulls first) for keys of any size, or over the whole table.
 
-    ``keys`` may be empty.  Each segment is numbered on its own and shifted by the number of rows in
-    the segments before it.
+    ``keys`` may be empty.  A row's number in the table is its place in the segment and the rows of the segments
+    before; its number in the key is that less the number of the key's first row.  No window runs over the rows.
     """
     keys = list(keys)
     rows = segmented(df, keys, order, rows_per_segment)
-    within = Window.partitionBy(*keys, SEGMENT).orderBy(*order)
-    numbered = rows.withColumn(name, F.row_number().over(within).cast("bigint"))
-    before = Window.partitionBy(*keys).orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
-    sizes = rows.groupBy(*keys, SEGMENT).agg(F.count(F.lit(1)).alias("__n"))
-    shifts = sizes.withColumn("__shift", F.sum("__n").over(before)).filter("__shift > 0").select(*keys, SEGMENT, "__shift")
-    # one row per cut at most
-    shifts = renamed_keys(shifts, [*keys, SEGMENT])
-    shifted = numbered.join(shifts, same_keys(numbered, shifts, [*keys, SEGMENT]), "left")
-    return shifted.select(*df.columns, (F.col(name) + F.coalesce("__shift", F.lit(0))).alias(name))
+    sizes = rows.groupBy(SEGMENT).agg(F.count(F.lit(1)).alias("__n"))
+    # one row per segment
+    before = Window.orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(SEGMENT, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    numbered = rows.join(F.broadcast(starts), SEGMENT).withColumn("__number", F.col(PLACE) + F.col("__start"))
+    if not keys:
+        return numbered.select(*df.columns, (F.col("__number") + 1).alias(name))
+    firsts = renamed_keys(numbered.groupBy(*keys).agg(F.min("__number").alias("__first")), keys)
+    joined = numbered.join(firsts, same_keys(numbered, firsts, keys))
+    return joined.select(*df.columns, (F.col("__number") - F.col("__first") + 1).alias(name))

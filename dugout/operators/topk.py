@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .skew import ROWS_PER_SEGMENT, number_rows
+from .skew import number_rows
 
 
 def top_k(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, rank: str = "rn") -> DataFrame:
@@ -55,7 +55,7 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
 
 
 def batches(
-    df: DataFrame, order: Sequence[str], size: int, name: str = "batch", rows_per_segment: int = ROWS_PER_SEGMENT
+    df: DataFrame, order: Sequence[str], size: int, name: str = "batch", rows_per_segment: int | None = None
 ) -> DataFrame:
     """Number consecutive rows in batches of a fixed size."""
     numbered = number_rows(df, [], order, "__rn", rows_per_segment)
@@ -70,7 +70,7 @@ def joined_text(
     separator: str,
     per_line: int,
     name: str = "joined",
-    rows_per_segment: int = ROWS_PER_SEGMENT,
+    rows_per_segment: int | None = None,
 ) -> DataFrame:
     """Values of each group joined in order, ``per_line`` values to a line.
 

@@ -231,3 +231,39 @@ def interval_join_sums(
         for s in stats:
             sums.append(F.coalesce(F.sum(F.when(inside, F.col(f"__s_{s}"))), F.lit(0)).alias(f"sum_{w}_{s}"))
     return hit.groupBy(key, F.col("__asof").alias(day)).agg(*sums)
+
+
+def sweep_sums(
+    facts: DataFrame, key: str, day: str, stats: Sequence[str], windows: Sequence[int], first: date, last: date, moment: str | None = None
+) -> DataFrame:
+    """Window sums for every as-of day from ``first`` to ``last``, for keys with a fact in the longest window of the same year.
+
+    A fact adds its value on the day after it and takes it away again a day after the window, or at the turn of the
+    year.  One running sum over these changes gives all days: no fact meets an as-of day, and a key and year have a few
+    rows per calendar day however many facts there are.  Between two changes the sums stand still, so days come out of
+    a step only at the end.  ``moment`` names the stored timestamp that ``day`` was made of, so that the scan can skip others.
+    """
+    lower = max(first - timedelta(days=max(int(w) for w in windows)), date(first.year, 1, 1))
+    if moment:
+        kind = facts.schema[moment].dataType
+        facts = facts.filter((F.col(moment) >= F.lit(str(lower)).cast(kind)) & (F.col(moment) < F.lit(str(last)).cast(kind)))
+    daily = daily_moments(facts.filter((F.col(day) >= F.lit(lower)) & (F.col(day) < F.lit(last))), key, day, stats, True, "s")
+    names = ["n", *[f"{w}_{s}" for w in windows for s in stats]]
+    values = {"n": F.col("__n")} | {f"{w}_{s}": F.col(f"__s_{s}") for w in windows for s in stats}
+    turn = F.make_date(F.year(day) + 1, F.lit(1), F.lit(1))
+
+    def change(at, sign: int, window: int | None):
+        longest = window == max(windows)
+        own = [n for n in names if window is None or n.startswith(f"{window}_") or n == "n" and longest]
+        zero = F.lit(0).cast("bigint")
+        return F.struct(at.alias("at"), *[(values[n].cast("bigint") * sign if n in own else zero).alias(n) for n in names])
+
+    changes = [change(F.date_add(day, 1), 1, None)] + [change(F.least(F.date_add(day, int(w) + 1), turn), -1, w) for w in windows]
+    moved = daily.select(key, F.year(day).alias("__year"), F.explode(F.array(*changes)).alias("c")).select(key, "__year", "c.*")
+    moved = moved.groupBy(key, "__year", "at").agg(*[F.sum(n).alias(n) for n in names])
+    order = Window.partitionBy(key, "__year").orderBy("at")
+    running = order.rowsBetween(Window.unboundedPreceding, 0)
+    steps = moved.select(key, "at", F.lead("at").over(order).alias("until"), *[F.sum(n).over(running).alias(n) for n in names]).filter("n > 0")
+    begin, end = F.greatest("at", F.lit(first)), F.least(F.date_sub("until", 1), F.lit(last))
+    steps = steps.withColumn(day, F.explode(F.when(begin <= end, F.sequence(begin, end))))
+    return steps.select(key, day, *[F.col(f"{w}_{s}").alias(f"sum_{w}_{s}") for w in windows for s in stats])

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import functools
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from ..functions import baseball as rules
 from ..functions.score import scaled
 from ..functions.text import count_matches
 from ..operators.rollup import batting_rollup
-from ..operators.scd import build_history, join_valid_versions, valid_at
+from ..operators.scd import advance_history, as_of_versions, build_history, valid_at
 from ..operators.shape import swap_perspective
 from ..operators.topk import keep_last
-from ..operators.trailing import daily_moments, hitter_ratios, interval_join_sums, trailing_from_daily, trailing_stats
+from ..operators.trailing import daily_moments, hitter_ratios, interval_join_sums, sweep_sums, trailing_from_daily, trailing_stats
 from ..session import materialise
 from .registry import query
 
@@ -27,13 +30,9 @@ _HISTORY_SQL = """
 _EVENT_HISTORY = f"WITH obs AS (SELECT user_id, event_type, event_id, value, ts FROM events), {_HISTORY_SQL}"
 
 
-# small enough that the test tables are cut as large ones are
-_SEGMENT = 25_000
-
-
 def event_history(t):
     seen = t.events.select("user_id", "event_type", "event_id", "value", "ts")
-    return build_history(seen, "user_id", "ts", ["event_type"], tie_break=["event_id"], rows_per_segment=_SEGMENT).drop("ts")
+    return build_history(seen, "user_id", "ts", ["event_type"], tie_break=["event_id"]).drop("ts")
 
 
 @query(f"{_EVENT_HISTORY} SELECT * FROM h WHERE effective_start_dt < effective_stop_dt")
@@ -52,6 +51,22 @@ def scd2_hot_key(t):
     return build_history(seen, "user_id", "ts", ["event_type"], tie_break=["event_id"], rows_per_segment=1_000).drop("ts")
 
 
+@query(f"{_EVENT_HISTORY} SELECT * FROM h WHERE effective_start_dt < effective_stop_dt")
+def scd2_increment(t):
+    """The same history made step by step: a first build, then a few days at a time."""
+    seen = t.events.select("user_id", "event_type", "event_id", "value", "ts")
+    cuts = [F.lit(f"2024-01-{day}").cast("timestamp_ntz") for day in ("20", "23", "26")]
+    first = materialise(build_history(seen.filter(F.col("ts") < cuts[0]), "user_id", "ts", ["event_type"], ["event_id"]), "first")
+    still = F.col("effective_stop_dt") == F.lit("9999-01-01").cast("timestamp_ntz")
+    closed, opened = [first.filter(~still)], first.filter(still)
+    for low, high in zip(cuts, [*cuts[1:], None]):
+        rows = seen.filter(F.col("ts") >= low if high is None else (F.col("ts") >= low) & (F.col("ts") < high))
+        done, opened = advance_history(opened, rows, "user_id", "ts", ["event_type"], ["event_id"])
+        closed.append(done)
+        opened = materialise(opened, "opened")
+    return functools.reduce(lambda a, b: a.unionByName(b), [*closed, opened]).drop("ts")
+
+
 @query(
     f"""{_EVENT_HISTORY} SELECT user_id, event_type, event_id, effective_start_dt FROM h
     WHERE effective_start_dt <= TIMESTAMP '2024-01-15' AND effective_stop_dt > TIMESTAMP '2024-01-15'"""
@@ -88,7 +103,24 @@ def _meetings(t):
     FROM m JOIN h ON (home = user_id OR away = user_id) AND effective_start_dt <= day AND day < effective_stop_dt"""
 )
 def as_of_disjunctive(t):
-    return join_valid_versions(_meetings(t), daily_history(t), "day", {"home": "home", "away": "away"}, "user_id")
+    return as_of_versions(_meetings(t), daily_history(t), "day", {"home": "home", "away": "away"}, "user_id", bounded=True)
+
+
+@query(
+    f"""WITH obs AS (SELECT CASE WHEN event_id % 3 = 0 THEN -1 ELSE user_id END AS user_id, event_type, event_id, value, ts FROM events), {_HISTORY_SQL},
+    f AS (SELECT event_id AS fact, ts AS moment, CASE WHEN event_id % 3 = 0 THEN -1 ELSE user_id END AS one, CASE WHEN event_id % 5 = 0 THEN user_id ELSE -1 END AS other FROM events)
+    SELECT fact, moment, user_id, CASE WHEN user_id = one THEN 'one' ELSE 'other' END AS side, event_type, event_id, effective_start_dt
+    FROM f JOIN h ON (one = user_id OR other = user_id) AND effective_start_dt <= moment AND moment < effective_stop_dt"""
+)
+def as_of_hot_member(t):
+    """Moments to the microsecond, most rows on one member, and versions carried over cuts."""
+    member = F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id"))
+    seen = t.events.select(member.alias("user_id"), "event_type", "event_id", "value", "ts")
+    history = build_history(seen, "user_id", "ts", ["event_type"], ["event_id"]).drop("ts", "value")
+    other = F.when(F.col("event_id") % 5 == 0, F.col("user_id")).otherwise(F.lit(-1))
+    facts = t.events.select(F.col("event_id").alias("fact"), F.col("ts").alias("moment"), member.alias("one"), other.alias("other"))
+    found = as_of_versions(facts, history, "moment", {"one": "one", "other": "other"}, "user_id", rows_per_segment=2_000)
+    return found.drop("one", "other", "effective_stop_dt")
 
 
 _WINDOWS = ("SEASON", 4, 7, 14)
@@ -218,6 +250,20 @@ def forecast_day_sums(t):
     return sums.select("user_id", "day", *[F.col(c).cast("bigint").alias(c) for c in ("sum_4_cents", "sum_14_cents")])
 
 
+@query(
+    """
+    WITH f AS (SELECT o_custkey, o_orderdate::DATE AS day, round(o_totalprice * 100)::BIGINT AS cents FROM orders),
+         c AS (SELECT unnest(generate_series(DATE '1995-01-01', DATE '1997-12-31', INTERVAL 1 DAY))::DATE AS day)
+    SELECT o_custkey, c.day, coalesce(sum(cents) FILTER (date_diff('day', f.day, c.day) <= 7), 0)::BIGINT AS sum_7_cents, sum(cents)::BIGINT AS sum_30_cents
+    FROM f JOIN c ON f.day < c.day AND date_diff('day', f.day, c.day) <= 30 AND year(f.day) = year(c.day) GROUP BY ALL
+    """
+)
+def forecast_every_day(t):
+    """All days of three years."""
+    facts = t.orders.select("o_custkey", "o_orderdate", F.to_date("o_orderdate").alias("day"), scaled("o_totalprice").alias("cents"))
+    return sweep_sums(facts, "o_custkey", "day", ["cents"], [7, 30], date(1995, 1, 1), date(1997, 12, 31), moment="o_orderdate")
+
+
 @query(
     r"""
     SELECT source, count(*) AS n_docs, sum(len(regexp_extract_all(text, '[A-Za-z0-9_ ]+ [a-z]+\.')))::BIGINT AS n_matches,
@@ -276,9 +322,8 @@ def feature_assembly(t):
         return dim.select(F.col("c_custkey").alias(name), F.col("n_name").alias(f"{name}_nation"), F.col("r_name").alias(f"{name}_region"))
 
     history = build_history(daily.select("user_id", "day", "status"), "user_id", "day", ["status"], bounded=True).drop("day")
-    span = tuple(daily.agg(F.min("day"), F.max("day")).first())
     rows = (
-        join_valid_versions(_meetings(t), history, "day", {"home": "home", "away": "away"}, "user_id", span=span)
+        as_of_versions(_meetings(t), history, "day", {"home": "home", "away": "away"}, "user_id", bounded=True)
         .drop("side", "effective_start_dt", "effective_stop_dt")
         .join(trailing, ["user_id", "day"])
         .join(label, ["user_id", "day"], "left")

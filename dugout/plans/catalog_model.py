@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.score import linear_score, scaled
 from ..operators import model as ml
 from ..operators import roster
-from ..operators.rollup import best_per_cost, regression_error, score_histogram
+from ..operators.frontier import cost_frontier, count_rosters
+from ..operators.rollup import regression_error, score_histogram
 from ..operators.shape import with_defaults
 from ..session import materialise, scratch_path
 from .registry import query
@@ -155,12 +156,7 @@ _GROUPS = f"""{_RANKED},
           JOIN r s ON s.position = 'SMALL' WHERE a.position = 'PROMO')"""
 
 
-def _groups(t):
-    """Three of one position with one of another, as cost, points, players and teams; the cap pays for all."""
-    pruned = _candidates(t, 1)
-    triples = roster.combinations(pruned, "PROMO", 3, cap=20000).repartition(F.hash("players"))
-    groups = roster.join_position(triples, pruned, "SMALL", cap=20000)
-    return groups.withColumn("players", F.array_join("players", ","))
+_GROUP_SLOTS = ["PROMO", "PROMO", "PROMO", "SMALL"]
 
 
 @query(
@@ -169,7 +165,9 @@ def _groups(t):
     name="best_per_cost",
 )
 def best_by_cost(t):
-    return best_per_cost(_groups(t).drop("teams"), ["cost"], "points", ["players"])
+    """Three of one position with one of another; the cap pays for all."""
+    best = cost_frontier(_candidates(t, 1), _GROUP_SLOTS, cap=20000)
+    return best.select("cost", F.array_join("players", ",").alias("players"), "points", (F.col("n") - 1).alias("n_skipped"))
 
 
 @query(
@@ -179,7 +177,7 @@ def best_by_cost(t):
            count(*) FILTER (NOT over_cap AND NOT crowded) AS n_legal FROM x"""
 )
 def roster_counts(t):
-    return roster.roster_counters(_groups(t), cap=6000, team_limit=2)
+    return count_rosters(_candidates(t, 1), _GROUP_SLOTS, cap=6000, team_limit=2)
 
 
 _SMALL_SLOTS = ["ECONOMY", "STANDARD", "PROMO", "PROMO", "PROMO"]
