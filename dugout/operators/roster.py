@@ -3,7 +3,8 @@
 The candidate set of a search is small by construction: :func:`prune_candidates` keeps a fixed number
 of players per (position, cost).  What explodes is the number of combinations.  A search makes one exact pass:
 
-* A beam over the slots, a few legal partial rosters per cost, finds enough legal rosters to set a score floor.
+* The best candidate per position and cost comes to the driver: positions x cap / unit rows.  They give upper bounds for each
+  budget, and a beam over them, a few legal partial rosters per cost, finds enough legal rosters to set a score floor.
 * The slots are divided into two halves.  Each half is built slot by slot, dropping every partial roster that cannot reach the
   floor with the best of all other slots within the budget left.
 * A half roster meets those of the other half under the budget it leaves, and only where the best it
@@ -179,52 +180,85 @@ def roster_counters(rosters: DataFrame, cap: int, team_limit: int) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class _Offer:
+    """The best candidate of a position and cost, in units."""
+
+    cost: int
+    points: int
+    teams: tuple
+
+
 @dataclass(frozen=True)
 class _Bounds:
     """Most points the slots from a given one on can add for each remaining budget."""
 
     table: list[np.ndarray]
     unit: int
-    offers: Mapping[str, list[tuple[int, int]]]
+    offers: Mapping[str, list[_Offer]]
 
     @property
     def best(self) -> int:
         return int(self.table[0][-1])
 
     def turned(self, slots: Sequence[str]) -> _Bounds:
-        """The bounds for another order of the slots."""
+        """The bounds for other slots or another order of them."""
         return _suffix_bounds(self.offers, slots, len(self.table[0]) - 1, self.unit)
 
 
-def _suffix_bounds(offers: Mapping[str, list[tuple[int, int]]], slots: Sequence[str], grid: int, unit: int) -> _Bounds:
+def _suffix_bounds(offers: Mapping[str, list[_Offer]], slots: Sequence[str], grid: int, unit: int) -> _Bounds:
     tables = [np.zeros(grid + 1, dtype=np.int64)]
     for slot in reversed(slots):
         after = tables[0]
         here = np.full(grid + 1, _IMPOSSIBLE, dtype=np.int64)
-        for cost, points in offers.get(slot, []):
-            here[cost:] = np.maximum(here[cost:], np.maximum(after[: grid + 1 - cost] + points, _IMPOSSIBLE))
+        for offer in offers.get(slot, []):
+            here[offer.cost :] = np.maximum(here[offer.cost :], np.maximum(after[: grid + 1 - offer.cost] + offer.points, _IMPOSSIBLE))
         tables.insert(0, here)
     return _Bounds(tables, unit, offers)
 
 
 def _bounds(candidates: DataFrame, slots: Sequence[str], cap: int, unit: int) -> _Bounds:
-    """Suffix bounds from the best points per (position, cost).
+    """Suffix bounds from the best candidate per (position, cost).
 
     Costs lie on a grid below the cap, so the collected table has at most ``positions * cap / unit`` rows.
     """
-    grid = cap // unit
     rows = (
         candidates.filter((F.col("cost") <= cap) & F.col("position").isin(*set(slots)))
         .groupBy("position", "cost")
-        .agg(F.max("points").alias("points"))
+        .agg(F.max("points").alias("points"), F.min_by("teams", "cid").alias("teams"))
         .collect()
     )
-    best: dict[str, list[tuple[int, int]]] = {}
+    offers: dict[str, list[_Offer]] = {}
     for r in rows:
         if r["cost"] % unit or r["cost"] < 0:
             raise ValueError(f"cost {r['cost']} is not a multiple of {unit}")
-        best.setdefault(r["position"], []).append((r["cost"] // unit, r["points"]))
-    return _suffix_bounds(best, slots, grid, unit)
+        offers.setdefault(r["position"], []).append(_Offer(r["cost"] // unit, r["points"], tuple(r["teams"])))
+    return _suffix_bounds(offers, slots, cap // unit, unit)
+
+
+def _beam_points(bounds: _Bounds, slots: Sequence[str], team_limit: int, width: int) -> list[int]:
+    """Points of some legal rosters, best first: of partial ones, slot by slot, the best few per cost are kept."""
+    grid = len(bounds.table[0]) - 1
+    states = [(0, 0, -1, ())]
+    for i, slot in enumerate(slots):
+        again = i > 0 and slots[i - 1] == slot
+        per_cost: dict[int, list] = {}
+        for points, cost, last, teams in states:
+            for at, offer in enumerate(bounds.offers.get(slot, [])):
+                left = grid - cost - offer.cost
+                if again and at <= last or left < 0 or bounds.table[i + 1][left] <= _IMPOSSIBLE // 2:
+                    continue
+                kept = per_cost.setdefault(grid - left, [])
+                gained = points + offer.points
+                if len(kept) == width and gained <= kept[-1][0]:
+                    continue
+                together = teams + offer.teams
+                if all(together.count(t) <= team_limit for t in offer.teams):
+                    kept.append((gained, grid - left, at, together))
+                    kept.sort(key=lambda state: -state[0])
+                    del kept[width:]
+        states = [state for kept in per_cost.values() for state in kept]
+    return sorted((state[0] for state in states), reverse=True)
 
 
 def _half(
@@ -274,10 +308,9 @@ def rosters_at_least(
         return first.select("players", "teams", "cost", "points")
     turned = slots[cut:] + slots[:cut]
     second = _half(candidates, turned, len(slots) - cut, cap, team_limit, floor, bounds.turned(turned))
-    first = materialise(first, "half")
-    # one row per budget
-    best = {r["left"]: r["points"] for r in first.groupBy("left").agg(F.max("points").alias("points")).collect()}
-    there = F.from_json(F.lit(json.dumps([best.get(b, _IMPOSSIBLE) for b in range(cap // unit + 1)])), "array<bigint>")
+    # the most points of a first half by the budget it leaves
+    reach = bounds.turned(slots[:cut]).table[0][::-1]
+    there = F.from_json(F.lit(json.dumps(reach.tolist())), "array<bigint>")
     price = (F.lit(cap // unit) - F.col("left")).cast("int")
     budgets = F.filter(F.sequence(price, F.lit(cap // unit)), lambda b: F.get(there, b) + F.col("points") >= F.lit(floor))
     listed = second.withColumn("left", F.explode(budgets)).select("left", *[F.col(c).alias(f"n_{c}") for c in ("players", "teams", "cost", "points")])
@@ -289,23 +322,6 @@ def rosters_at_least(
     )
 
 
-def _beam(candidates: DataFrame, slots: Sequence[str], cap: int, team_limit: int, bounds: _Bounds, width: int) -> DataFrame:
-    """Some legal rosters with many points: the best few partial ones per cost, slot by slot."""
-    per_cost = Window.partitionBy("cost").orderBy(F.desc("points"), "players")
-
-    def best(df: DataFrame) -> DataFrame:
-        return df.withColumn("__rn", F.row_number().over(per_cost)).filter(F.col("__rn") <= width).drop("__rn")
-
-    out = best(_half(candidates, slots, 1, cap, team_limit, None, bounds))
-    for i, slot in enumerate(slots[1:], start=1):
-        menu = _menu(candidates.filter(F.col("position") == slot), cap, bounds.unit, bounds.table[i + 1])
-        wanted = (largest_team(F.concat("teams", "n_teams")) <= team_limit) & (F.col("gain") > F.lit(_IMPOSSIBLE // 2))
-        if slot == slots[i - 1]:
-            wanted = wanted & (F.col("n_cid") > F.col("cid"))
-        out = best(_extend(out, menu, cap, wanted))
-    return out
-
-
 def _search(candidates, slots, cap, team_limit, unit, enough: int, scores: bool = False, beam: int = BEAM) -> DataFrame:
     """All legal rosters as good as the ``enough``-th best one, or, with ``scores``, as the ``enough``-th best score.
 
@@ -319,9 +335,9 @@ def _search(candidates, slots, cap, team_limit, unit, enough: int, scores: bool
     bounds = _bounds(pool, slots, cap, unit)
     if bounds.best <= _IMPOSSIBLE // 2:
         return _half(pool, slots, 1, cap, team_limit, None, bounds).select("players", "teams", "cost", "points").limit(0)
-    known = _beam(pool, slots, cap, team_limit, bounds, beam).select("points")
-    known = (known.distinct() if scores else known).orderBy(F.desc("points")).limit(enough).collect()
-    floor = known[-1]["points"] if len(known) == enough else _IMPOSSIBLE // 2
+    known = _beam_points(bounds, slots, team_limit, beam)
+    known = sorted(set(known), reverse=True) if scores else known
+    floor = known[enough - 1] if len(known) >= enough else _IMPOSSIBLE // 2
     return rosters_at_least(pool, slots, cap, team_limit, floor, bounds)
 
 

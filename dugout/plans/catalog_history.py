@@ -93,7 +93,8 @@ def daily_history(t):
 def _meetings(t):
     """Distinct (day, home, away): the user of an event and the user its payload names."""
     k = F.from_json("props", "struct<k:bigint>")["k"]
-    return t.events.select(F.to_date("ts").alias("day"), F.col("user_id").alias("home"), k.alias("away")).distinct()
+    pairs = t.events.select(F.to_date("ts").alias("day"), F.col("user_id").alias("home"), k.alias("away")).distinct()
+    return materialise(pairs, "meetings")
 
 
 @query(
