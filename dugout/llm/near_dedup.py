@@ -7,11 +7,14 @@ meets in some table with probability (1 - (1 - 0.75 ** ROWS) ** HALVES) ** 2, 0.
 
 Half keys that only one document has cannot meet and are dropped before pairs are formed; documents with equal
 shingle sets are one node.  In each table cell every node is compared with the smallest and the largest node
-(two pairs per entry, however large the cell).  Nodes of cells that then still hold several components go through
+(two pairs per entry, however large the cell).  Components that then still share a cell with others go through
 an exact prefix join across components (two sets that are similar enough share one of the first n - ceil(0.75 n)
 + 1 shingles of any common order, and behind the first shared one both rests must be long enough; frequent
-shingles come last in that order).  So no pairs are formed within a group of copies.  Links are confirmed on the
-full shingle sets; a comparison of the sketches, wrong at most once in a million links, saves most of that.
+shingles come last in that order; and the parities of the shingles in 256 classes may differ in no more classes than two such
+sets can differ in shingles).  So no pairs are formed within a linked group of copies.  Variants of one text that are too
+far apart to link still meet on the shingles they share; all but a few of those meetings end at these filters, inside the
+join.  Links are confirmed on the full shingle sets; a comparison of the sketches, wrong at most once in a million links,
+saves most of that.
 
 Defined cases: null or empty texts have no shingles, link with nothing and are their own component; fewer than
 ``WORDS`` words are one shingle; rows that repeat an id are one document; a null id links with nothing, has a
@@ -20,6 +23,7 @@ null component and is kept; an empty table gives an empty result; other columns
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +40,8 @@ PERCENT = 75
 HALVES = 16
 ROWS = 4
 FREQUENT = 10_000
+#: 64-bit words of the parity classes.
+PARITY_WORDS = 4
 _MARGIN = 0.25
 
 _random = np.random.default_rng(20240117)
@@ -162,19 +168,34 @@ def confirm(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -
     return likely.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(similar, "a long, b long").distinct()
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """One bit per class of shingles (by their high bits): whether the set has an odd number of them."""
+    classes = 64 * PARITY_WORDS
+    odd = np.bincount((shingles >> np.uint64(64 - classes.bit_length() + 1)).astype(np.int64), minlength=classes) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _with_labels(entries: DataFrame, links: DataFrame) -> DataFrame:
     labels = connected_components(links)
     return entries.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
-def _prefix_pairs(labelled: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) across components whose first common shingle leaves room for a link, among the nodes given.
+def open_labels(labelled: DataFrame) -> DataFrame:
+    """Components that share a cell with another one.  A component counts once per cell, however many of its nodes are there."""
+    spots = labelled.select("cell", "label").distinct()
+    mixed = spots.groupBy("cell").agg(F.min("label").alias("first"), F.max("label").alias("last")).filter("first < last").select("cell")
+    return spots.join(mixed, "cell", "left_semi").select("label").distinct()
+
+
+def _prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) across components whose first common shingle leaves room for a link, among the nodes (node, label) given.
 
     Order of shingles: those that a bounded frequency sketch does not list by their hash, then the listed ones by
     frequency.  Each node sends its prefix with the places.  A pair is kept if, were this its first common
-    shingle, both rests would be long enough; that holds for the first common shingle of every link.
+    shingle, both rests would be long enough; that holds for the first common shingle of every link.  Sets of n and m
+    shingles that link differ in at most n + m - 2 * ceil(percent * (n + m) / (100 + percent)), so their parities do.
     """
-    members = labelled.select("node", "label").distinct().join(sets, "node")
+    members = members.join(sets, "node")
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -193,18 +214,23 @@ def _prefix_pairs(labelled: DataFrame, sets: DataFrame, percent: int) -> DataFra
                 place = np.minimum(np.searchsorted(frequent, x), len(frequent) - 1)
                 ordered = x[np.lexsort((x, np.where(frequent[place] == x, count[place], 0)))]
                 first = ordered[: len(x) - (-(-percent * len(x) // 100)) + 1].view(np.int64)
-                same = [pa.array(np.full(len(first), v), pa.int64()) for v in (node.as_py(), label.as_py(), len(x))]
-                yield pa.RecordBatch.from_arrays([*same, pa.array(np.arange(len(first))), pa.array(first)], ["node", "label", "n", "at", "shingle"])
+                same = [pa.array(np.full(len(first), v), pa.int64()) for v in (node.as_py(), label.as_py(), len(x), *parities(x).tolist())]
+                yield pa.RecordBatch.from_arrays([*same, pa.array(np.arange(len(first))), pa.array(first)], ["node", "label", "n", *words, "at", "shingle"])
 
-    rows = members.select("node", "label", "shingles").mapInArrow(prefix, "node long, label long, n long, at long, shingle long")
+    words = [f"p{i}" for i in range(PARITY_WORDS)]
+    schema = f"node long, label long, n long, {', '.join(f'{w} long' for w in words)}, at long, shingle long"
+    rows = members.select("node", "label", "shingles").mapInArrow(prefix, schema)
     rows = materialise(rows, "prefixes")
     # the component that holds most nodes of a shingle is only met by the others, never by itself
     most = rows.groupBy("shingle", "label").count().groupBy("shingle").agg(F.max_by("label", "count").alias("most"), F.count(F.lit(1)).alias("labels"))
     rows = materialise(rows.join(most.filter("labels > 1").drop("labels"), "shingle"), "mixed")
-    other = rows.select("shingle", F.col("node").alias("node_2"), F.col("label").alias("label_2"), F.col("n").alias("n_2"), F.col("at").alias("at_2"))
+    other = rows.select("shingle", *[F.col(c).alias(f"{c}_2") for c in ("node", "label", "n", "at", *words)])
+    together = F.col("n") + F.col("n_2")
+    differ = functools.reduce(lambda a, b: a + b, [F.bit_count(F.col(w).bitwiseXOR(F.col(f"{w}_2"))) for w in words])
+    near = differ <= together - 2 * F.ceil(percent * together / (100 + percent))
     room = (100 + percent) * (F.least(F.col("n") - F.col("at"), F.col("n_2") - F.col("at_2"))) >= percent * (F.col("n") + F.col("n_2"))
     sizes = 100 * F.least("n", "n_2") >= percent * F.greatest("n", "n_2")
-    met = rows.filter("label <> most").join(other, "shingle").filter(F.expr("label <> label_2 AND (label_2 = most OR node < node_2)") & sizes & room)
+    met = rows.filter("label <> most").join(other, "shingle").filter(F.expr("label <> label_2 AND (label_2 = most OR node < node_2)") & sizes & room & near)
     return met.select(F.least("node", "node_2").alias("a"), F.greatest("node", "node_2").alias("b")).distinct()
 
 
@@ -235,9 +261,9 @@ def near_duplicates(
     sets = materialise(shingle_rows(docs, entries.select("node").distinct(), id_col, text_col, words), "sets")
     links = materialise(confirm(star, nodes, sets, percent), "links")
 
-    labelled = _with_labels(entries.select("node", "cell"), links)
-    mixed = labelled.groupBy("cell").agg(F.min("label").alias("first"), F.max("label").alias("last")).filter("first < last").select("cell")
-    rest = _prefix_pairs(materialise(labelled.join(mixed, "cell", "left_semi"), "open-cells"), sets, percent).join(star, ["a", "b"], "left_anti")
+    labelled = materialise(_with_labels(entries.select("node", "cell"), links), "labelled")
+    members = labelled.select("node", "label").distinct().join(open_labels(labelled), "label", "left_semi")
+    rest = _prefix_pairs(materialise(members, "open"), sets, percent).join(star, ["a", "b"], "left_anti")
     links = materialise(links.union(confirm(rest, nodes, sets, percent)), "all-links")
 
     labels = connected_components(links).select("node", "label")

@@ -65,3 +65,44 @@ def test_defined_cases(spark):
     kept = near_dedup.drop_near_duplicates(extra)
     assert kept.columns == extra.columns and kept.count() == 9
     assert near_dedup.near_duplicates(documents(spark, table).limit(0)).count() == 0
+
+
+def test_parities_never_rule_out_a_link():
+    random.seed(4)
+    for _ in range(300):
+        n = random.randint(1, 300)
+        a = [random.getrandbits(64) for _ in range(n)]
+        b = a[random.randint(0, n // 4) :] + [random.getrandbits(64) for _ in range(random.randint(0, n // 4))]
+        x, y = (near_dedup.np.unique(near_dedup.np.array(s, near_dedup.np.uint64)) for s in (a, b))
+        differ = sum(((p ^ q) & (2**64 - 1)).bit_count() for p, q in zip(near_dedup.parities(x).tolist(), near_dedup.parities(y).tolist()))
+        common = len(set(x.tolist()) & set(y.tolist()))
+        assert differ <= len(x) + len(y) - 2 * common
+        if 100 * common >= 75 * (len(x) + len(y) - common):
+            assert differ <= len(x) + len(y) - 2 * -(-75 * (len(x) + len(y)) // 175)
+
+
+def test_few_pairs_of_one_text_s_variants_meet(spark, monkeypatch):
+    met = []
+    pairs = near_dedup._prefix_pairs
+
+    def counted(*args):
+        found = pairs(*args)
+        met.append(found.count())
+        return found
+
+    monkeypatch.setattr(near_dedup, "_prefix_pairs", counted)
+    for n in (300, 600):
+        random.seed(n)
+        words = [f"w{i}" for i in range(5000)]
+        base, table = random.choices(words, k=120), []
+        for i in range(n):
+            text = list(base)
+            for _ in range(random.randint(1, 4)):
+                text[random.randrange(120)] = random.choice(words)
+            table.append((i, " ".join(text)))
+        got = near_dedup.near_duplicates(documents(spark, table)).collect()
+        want, _ = brute(table)
+        # a pair at the threshold shares a cell with probability 0.995
+        assert sum(r["component_id"] == want[r["id"]] for r in got) >= 0.98 * n
+    # of 179,700 pairs of the larger table
+    assert met[1] < 1_000
