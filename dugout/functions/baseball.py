@@ -98,6 +98,8 @@ PITCHER_STATS = (
     "fd_points", "earned_runs", "hr", "innings_pitched", "num_hits", "num_runs", "num_pitches", "num_walks",
     "num_strikes", "win", "strikeouts", "batters_faced",
 )
+# points are weighted counts with two decimals at most, innings are thirds: times these they are integers
+STAT_SCALES = {"fd_points": 100.0, "innings_pitched": 3.0}
 WOBA_WEIGHTS = {"bb": 0.69, "hbp": 0.72, "_1b": 0.89, "_2b": 1.27, "_3b": 1.62, "hr": 2.10}
 FIP_CONSTANT = 3.072
 

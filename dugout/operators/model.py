@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -122,3 +122,45 @@ def combine_targets(
 def join_predictions(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     """Predictions of several targets side by side, joined on their keys."""
     return reduce(lambda a, b: a.join(b, list(keys)), frames)
+
+
+def split_gains(df: DataFrame, features: Sequence[str], label: str, cuts: Mapping[str, Sequence[float]] | None = None) -> DataFrame:
+    """Every possible first split of a regression tree: feature, threshold, n and sum on both sides, gain.
+
+    Rows are added up per feature and bin before the shuffle (n and sum of an integer label; the squares cancel in a gain), so what follows has as many
+    rows as there are bins.  A feature's bins are its values, so it should have a few hundred at most; others get ``cuts``,
+    ascending upper ends of their bins.  The threshold is the middle between the largest value on the left and the
+    smallest on the right, the gain the squared error that the split takes away.  Null and NaN count as 0.
+    """
+    pairs = []
+    for c in features:
+        value = F.col(c).cast("double")
+        value = F.when(value.isNull() | F.isnan(value), F.lit(0.0)).otherwise(value)
+        bin_no = F.size(F.filter(F.lit([float(x) for x in cuts[c]]), lambda end: end < value)).cast("double") if cuts and c in cuts else value
+        pairs.append(F.struct(F.lit(c).alias("feature"), bin_no.alias("bin"), value.alias("value")))
+    y = F.coalesce(F.col(label).cast("bigint"), F.lit(0))
+    bins = (
+        df.select(F.explode(F.array(*pairs)).alias("p"), y.alias("y")).groupBy("p.feature", "p.bin")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("s"), F.min("p.value").alias("low"), F.max("p.value").alias("high"))
+    )
+    # a few hundred bins per feature
+    order = Window.partitionBy("feature").orderBy("bin")
+    so_far, whole = order.rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy("feature")
+    left = bins.select(
+        "feature", ((F.col("high") + F.lead("low").over(order)) / 2).alias("threshold"), F.sum("n").over(so_far).alias("n_left"), F.sum("s").over(so_far).alias("sum_left"),
+        F.sum("n").over(whole).alias("n"), F.sum("s").over(whole).alias("s"),
+    ).filter(F.col("threshold").isNotNull())
+    sides = left.select("feature", "threshold", "n_left", (F.col("n") - F.col("n_left")).alias("n_right"), "sum_left", (F.col("s") - F.col("sum_left")).alias("sum_right"))
+
+    def square(total: str, count: str) -> F.Column:
+        x = F.col(total).cast("double")
+        return x * x / F.col(count).cast("double")
+
+    total = (F.col("sum_left") + F.col("sum_right")).cast("double")
+    parent = total * total / (F.col("n_left") + F.col("n_right")).cast("double")
+    return sides.withColumn("gain", square("sum_left", "n_left") + square("sum_right", "n_right") - parent)
+
+
+def best_split(df: DataFrame, features: Sequence[str], label: str, cuts: Mapping[str, Sequence[float]] | None = None) -> DataFrame:
+    """The split with the largest gain; ties go to the first feature by name and the smallest threshold."""
+    return split_gains(df, features, label, cuts).orderBy(F.desc("gain"), "feature", "threshold").limit(1)

@@ -18,20 +18,21 @@ _NEEDS = {"avg": "s", "std": "sq", "var": "sq", "l1norm": "a", "l2norm": "q", "c
 
 
 def daily_moments(
-    facts: DataFrame, key: str, day: str, stats: Sequence[str], exact: bool, moments: str = "sqa", extra: Sequence[Column] = ()
+    facts: DataFrame, key: str, day: str, stats: Sequence[str], moments: str = "sqa", extra: Sequence[Column] = (), scales: Mapping[str, float] | None = None
 ) -> DataFrame:
-    """Count and the wanted moments (s: sum, q: sum of squares, a: sum of magnitudes) per key and day.
+    """Count and the wanted moments (s: sum, q: sum of squares, a: sum of magnitudes) per key and day, all of integers.
+
+    A measure in ``scales`` is a decimal that times its scale is an integer (3 for thirds, 100 for cents).
 
     This runs before any window, so the window sees at most one row per key and calendar day however
     many facts a key has.  ``extra`` are further aggregates of the same pass.
     """
     parts = [F.count(F.lit(1)).alias("__n")]
     for s in stats:
-        x = F.col(s).cast("bigint" if exact else "double")
+        x = F.round(F.col(s) * F.lit(float(scales[s]))).cast("bigint") if scales and s in scales else F.col(s).cast("bigint")
         # sums of cents fit a long; sums of their squares do not
         wide = x.cast("decimal(19,0)")
-        square = (wide * wide).cast("decimal(38,0)") if exact else x * x
-        made = {"s": F.sum(x), "q": F.sum(square).cast("decimal(38,0)") if exact else F.sum(square), "a": F.sum(F.abs(x))}
+        made = {"s": F.sum(x), "q": F.sum((wide * wide).cast("decimal(38,0)")).cast("decimal(38,0)"), "a": F.sum(F.abs(x))}
         parts += [made[m].alias(f"__{m}_{s}") for m in moments]
     return facts.groupBy(key, day).agg(*parts, *extra)
 
@@ -68,7 +69,7 @@ def with_as_of_days(daily: DataFrame, calendar: DataFrame, key: str, day: str) -
 
 
 def trailing_sums(
-    daily: DataFrame, key: str, day: str, windows: Sequence[int | str], calendar: DataFrame, exact: bool = True
+    daily: DataFrame, key: str, day: str, windows: Sequence[int | str], calendar: DataFrame
 ) -> DataFrame:
     """Moments of each window for every as-of day, all from one sort per key and year."""
     measures = [c for c in daily.columns if c not in (key, day)]
@@ -79,29 +80,23 @@ def trailing_sums(
     for w in windows:
         if w == "SEASON":
             columns += [F.coalesce(F.sum(m).over(before), F.lit(0)).alias(f"{m}@{w}") for m in measures]
-        elif exact:
+        else:
             # a difference of two running sums takes one step per row for any window length
             older = ordered.rangeBetween(Window.unboundedPreceding, -int(w) - 1)
             for m in measures:
                 total = F.coalesce(F.sum(m).over(before), F.lit(0)) - F.coalesce(F.sum(m).over(older), F.lit(0))
                 columns.append(total.alias(f"{m}@{w}"))
-        else:
-            frame = ordered.rangeBetween(-int(w), -1)
-            columns += [F.coalesce(F.sum(m).over(frame), F.lit(0)).alias(f"{m}@{w}") for m in measures]
     return both.select(key, day, "__asof", *columns).filter("__asof").drop("__asof")
 
 
-def moment_columns(stat: str, window: int | str, exact: bool, scale: float, cov_mode: str) -> dict[str, Column]:
+def moment_columns(stat: str, window: int | str, scale: float, cov_mode: str) -> dict[str, Column]:
     """The six statistics of one measure from its moments; an empty window gives 0 everywhere."""
     n = F.col(f"`__n@{window}`")
     s, q, a = (F.col(f"`__{m}_{stat}@{window}`") for m in ("s", "q", "a"))
     unit = F.lit(float(scale))
     count = n.cast("double")
-    if exact:
-        wide = s.cast("decimal(19,0)")
-        spread = (n.cast("decimal(19,0)") * q - wide * wide).cast("double")
-    else:
-        spread = F.greatest(count * q - s * s, F.lit(0.0))
+    wide = s.cast("decimal(19,0)")
+    spread = (n.cast("decimal(19,0)") * q - wide * wide).cast("double")
     variance = F.coalesce(F.try_divide(spread, count * count), F.lit(0.0))
     mean = F.coalesce(F.try_divide(s.cast("double"), count), F.lit(0.0))
     std = F.sqrt(variance)
@@ -129,20 +124,20 @@ def trailing_stats(
     aggregates: Sequence[str] = AGGREGATES,
     ratios=None,
     scales: Mapping[str, float] | None = None,
-    exact: bool = True,
+    scaled: bool = True,
     cov_mode: str = "ratio",
 ) -> DataFrame:
     """One wide row per key and as-of day: ``mv_<window>_<aggregate>_<stat>`` and ratio columns.
 
     A window is a number of days before the as-of day or ``"SEASON"`` (everything earlier in the same
-    year).  With ``exact`` the measures must be integers (scale decimals up and give the scale), and
-    the result does not depend on the order of addition.
+    year).  Sums are of integers, so the result does not depend on the order of addition: measures are integers, or
+    decimals that are integers times their ``scales``; with ``scaled`` they are scaled up already.
     ``ratios`` is a function from a dict of window sums to a dict of named columns.
     """
     calendar = facts.select(day) if calendar is None else calendar.select(day)
     moments = moments_for(aggregates, ratios)
-    daily = daily_moments(facts, key, day, stats, exact, moments)
-    return trailing_from_daily(daily, key, day, stats, windows, calendar, aggregates, ratios, scales, exact, cov_mode)
+    daily = daily_moments(facts, key, day, stats, moments, scales=None if scaled else scales)
+    return trailing_from_daily(daily, key, day, stats, windows, calendar, aggregates, ratios, scales, cov_mode)
 
 
 def moments_for(aggregates: Sequence[str], ratios=None) -> str:
@@ -161,17 +156,16 @@ def trailing_from_daily(
     aggregates: Sequence[str] = AGGREGATES,
     ratios=None,
     scales: Mapping[str, float] | None = None,
-    exact: bool = True,
     cov_mode: str = "ratio",
 ) -> DataFrame:
     """:func:`trailing_stats` of moments that are already there, one row per key and day."""
     scales = scales or {}
     wanted = ["__n", *[f"__{m}_{s}" for s in stats for m in moments_for(aggregates, ratios)]]
-    sums = trailing_sums(daily.select(key, day, *wanted), key, day, windows, calendar.select(day), exact)
+    sums = trailing_sums(daily.select(key, day, *wanted), key, day, windows, calendar.select(day))
     columns = []
     for w in windows:
         for s in stats if aggregates else ():
-            made = moment_columns(s, w, exact, scales.get(s, 1.0), cov_mode)
+            made = moment_columns(s, w, scales.get(s, 1.0), cov_mode)
             columns += [made[a].alias(f"mv_{w}_{a}_{s}") for a in aggregates]
         if ratios is not None:
             totals = {s: F.col(f"`__s_{s}@{w}`").cast("double") / F.lit(float(scales.get(s, 1.0))) for s in stats}
@@ -221,7 +215,7 @@ def interval_join_sums(
     if moment:
         kind = facts.schema[moment].dataType
         facts = facts.filter((F.col(moment) >= F.lit(str(lower)).cast(kind)) & (F.col(moment) < F.lit(str(upper)).cast(kind)))
-    daily = daily_moments(facts.filter(F.col(day).between(F.lit(lower), F.lit(upper))), key, day, stats, exact=True)
+    daily = daily_moments(facts.filter(F.col(day).between(F.lit(lower), F.lit(upper))), key, day, stats)
     days = as_of.select(F.col(day).alias("__asof")).distinct()
     reach = days.select("__asof", F.explode(F.sequence(F.date_sub("__asof", horizon), F.date_sub("__asof", 1))).alias(day))
     hit = daily.join(reach, day).filter(F.year(day) == F.year("__asof"))
@@ -247,7 +241,7 @@ def sweep_sums(
     if moment:
         kind = facts.schema[moment].dataType
         facts = facts.filter((F.col(moment) >= F.lit(str(lower)).cast(kind)) & (F.col(moment) < F.lit(str(last)).cast(kind)))
-    daily = daily_moments(facts.filter((F.col(day) >= F.lit(lower)) & (F.col(day) < F.lit(last))), key, day, stats, True, "s")
+    daily = daily_moments(facts.filter((F.col(day) >= F.lit(lower)) & (F.col(day) < F.lit(last))), key, day, stats, "s")
     names = ["n", *[f"{w}_{s}" for w in windows for s in stats]]
     values = {"n": F.col("__n")} | {f"{w}_{s}": F.col(f"__s_{s}") for w in windows for s in stats}
     turn = F.make_date(F.year(day) + 1, F.lit(1), F.lit(1))

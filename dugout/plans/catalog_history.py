@@ -166,6 +166,14 @@ def trailing_averages(t):
     return trailing_stats(_cent_facts(t), "user_id", "day", ["cents"], _WINDOWS, aggregates=aggregates, scales={"cents": 100.0})
 
 
+@query(_interval_sql("SELECT user_id, ts::DATE AS day, round(value * 100)::BIGINT AS value FROM events", ", ".join(x for w in ("SEASON", 7) for x in _agg_sql("value", w))))
+def trailing_decimals(t):
+    """Measures with decimals, scaled up inside, as the season jobs do."""
+    facts = t.events.select("user_id", F.to_date("ts").alias("day"), "value")
+    aggregates = ("avg", "std", "var", "l1norm", "l2norm")
+    return trailing_stats(facts, "user_id", "day", ["value"], ("SEASON", 7), aggregates=aggregates, scales={"value": 100.0}, scaled=False)
+
+
 @query(_interval_sql(_CENTS, ", ".join(x for w in (7, 14) for x in _agg_sql("cents", w, ["cov"]))))
 def trailing_cov(t):
     return trailing_stats(_cent_facts(t), "user_id", "day", ["cents"], (7, 14), aggregates=("cov",), scales={"cents": 100.0})
@@ -308,7 +316,7 @@ def feature_assembly(t):
     )
     # one pass over the events gives the moments, the label and the status of each user and day
     status = F.max_by("event_type", F.struct("ts", "event_id")).alias("status")
-    daily = materialise(daily_moments(seen, "user_id", "day", ["cents"], True, "sq", [status]), "daily")
+    daily = materialise(daily_moments(seen, "user_id", "day", ["cents"], "sq", [status]), "daily")
     trailing = trailing_from_daily(
         daily, "user_id", "day", ["cents"], _WINDOWS, daily, aggregates=("avg", "std"), scales={"cents": 100.0}
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from ..operators.joins import missing_keys, upsert
@@ -10,7 +12,9 @@ from ..operators.shape import one_or_many
 from ..session import scratch_path
 from ..sources import pages as web
 from ..sources.contest import positional_entries
-from ..sources.tables import empty_like, register, round_trip, small_table, write_lines
+from ..sources import games as landing
+from ..sources.schemas import ddl
+from ..sources.tables import empty_like, read_dimension, read_version, register, replace_version, round_trip, small_table, write_lines
 from .registry import query
 
 
@@ -204,3 +208,81 @@ def tsv_export_line(t):
     order = [F.desc("p_retailprice"), F.asc("p_partkey")]
     write_lines(t.part, path, ["p_type", "p_name", "p_size", "p_retailprice", "p_partkey"], order)
     return t.spark.read.text(path).select(F.col("value").alias("line"))
+
+
+_TREE_SQL = """
+    WITH g AS (SELECT year(o_orderdate) AS y, month(o_orderdate) AS m, CASE WHEN o_orderstatus = 'P' THEN 0 ELSE min(day(o_orderdate)) END AS d,
+                      o_orderstatus AS s, count(*) AS n FROM orders GROUP BY year(o_orderdate), month(o_orderdate), o_orderstatus),
+    f AS (SELECT y, m, d, printf('gid_%04d_%02d_%02d_%s', y, m, d, lower(s)) AS game_id, n, unnest(['linescore.json', 'game_events.json', 'boxscore.json']) AS file_name FROM g),
+    t AS (SELECT *, CASE WHEN d > 0 THEN make_date(y, m, d) END AS day FROM f
+          WHERE file_name = 'linescore.json' OR d > 0 AND (file_name = 'boxscore.json' OR n % 3 > 0))
+"""
+_TREE_TOPICS = ("linescore.json", "game_events.json", "boxscore.json")
+
+
+def _landing_tree(t):
+    """A landing area of real folders: a game per month and status, day 00 where there is no date, files that lack."""
+    at = F.col("o_orderdate")
+    games = t.orders.groupBy(F.year(at).alias("y"), F.month(at).alias("m"), "o_orderstatus").agg(F.min(F.dayofmonth(at)).alias("d"), F.count(F.lit(1)).alias("n"))
+    games = games.withColumn("d", F.when(F.col("o_orderstatus") == "P", 0).otherwise(F.col("d")))
+    files = games.withColumn("topic", F.explode(F.array(*[F.lit(x) for x in _TREE_TOPICS])))
+    there = (F.col("topic") == _TREE_TOPICS[0]) | ((F.col("d") > 0) & ((F.col("topic") == _TREE_TOPICS[2]) | (F.col("n") % 3 > 0)))
+    parts = [F.format_string(p, c) for p, c in (("%04d", "y"), ("%02d", "m"), ("%02d", "d"))]
+    named = [p.alias(n) for p, n in zip(parts, ("year", "month", "day"))]
+    game = F.concat(F.lit("gid_"), F.concat_ws("_", *parts, F.lower("o_orderstatus"))).alias("game")
+    docs = files.filter(there).select(*named, game, "topic", F.concat(F.lit('{"n":'), F.col("n").cast("string"), F.lit("}")).alias("value"))
+    path = scratch_path(t.spark, "landing")
+    docs.repartition("year", "month").write.partitionBy("year", "month", "day", "game", "topic").text(path)
+    return path
+
+
+@query(
+    f"""{_TREE_SQL} SELECT game_id, day, file_name, (length('{{"n":' || n || '}}') + 1)::BIGINT AS bytes FROM t
+    WHERE y * 100 + m >= 199303 AND y * 100 + m <= 199502 AND (day IS NULL OR day BETWEEN DATE '1993-03-01' AND DATE '1995-02-02')"""
+)
+def landing_list(t):
+    return landing.list_games(t.spark, _landing_tree(t), _TREE_TOPICS, date(1993, 3, 1), date(1995, 2, 2), landing.KEYED)
+
+
+@query(
+    f"""{_TREE_SQL}, w AS (SELECT DISTINCT game_id, unnest(['linescore.json', 'game_events.json', 'boxscore.json']) AS file_name FROM t)
+    SELECT game_id, file_name FROM w ANTI JOIN t USING (game_id, file_name)"""
+)
+def landing_missing(t):
+    return landing.missing_files(t.spark, _landing_tree(t), _TREE_TOPICS, layout=landing.KEYED)
+
+
+_SUPPLIERS = "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double"
+
+
+@query("SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
+def dimension_csv(t):
+    """Columns of the file in another order and case, and one more than wanted."""
+    path = scratch_path(t.spark, "dimension")
+    t.supplier.select(F.col("s_acctbal").alias("S_AcctBal"), "s_name", F.lit("x").alias("note"), "s_nationkey", "s_suppkey").write.option("header", True).csv(path)
+    return read_dimension(t.spark, path, ddl(_SUPPLIERS))
+
+
+@query("SELECT s_suppkey::VARCHAR AS s_suppkey, s_name, s_nationkey::VARCHAR AS s_nationkey FROM supplier")
+def dimension_cr(t):
+    """Lines that end with a bare carriage return, all columns as text."""
+    path = scratch_path(t.spark, "dimension")
+    t.supplier.select("s_name", "s_nationkey", "s_suppkey").write.option("header", True).option("lineSep", "\r").csv(path)
+    return read_dimension(t.spark, path, ddl("s_suppkey string, s_name string, s_nationkey string"))
+
+
+@query(
+    """
+    SELECT 0 AS back, s_nationkey, count(*) AS n, sum(s_suppkey + 2)::BIGINT AS keys FROM supplier WHERE s_acctbal > 0 GROUP BY s_nationkey
+    UNION ALL SELECT 1, s_nationkey, count(*), sum(s_suppkey + 1)::BIGINT FROM supplier GROUP BY s_nationkey
+    """
+)
+def replace_versions(t):
+    """A table replaced from itself; the newest version and the one before it, which a late reader may still use."""
+    path = scratch_path(t.spark, "versions")
+    schema = ddl("s_suppkey bigint, s_nationkey int, s_acctbal double")
+    replace_version(t.supplier.select(F.col("s_suppkey").cast("long").alias("s_suppkey"), F.col("s_nationkey").cast("int").alias("s_nationkey"), "s_acctbal"), path)
+    for kept in (F.lit(True), F.col("s_acctbal") > 0):
+        replace_version(read_version(t.spark, path, schema).filter(kept).withColumn("s_suppkey", F.col("s_suppkey") + 1), path)
+    both = [read_version(t.spark, path, schema, back).withColumn("back", F.lit(back)) for back in (0, 1)]
+    return both[0].union(both[1]).groupBy("back", "s_nationkey").agg(F.count(F.lit(1)).alias("n"), F.sum("s_suppkey").alias("keys"))

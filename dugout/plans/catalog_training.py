@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import functions as F
 
-from ..functions.score import linear_score
+from ..functions.score import linear_score, scaled
 from ..operators import model as ml
-from ..operators.encode import cardinalities, fit_codes
+from ..operators.encode import apply_codes, cardinalities, fit_codes
 from ..session import materialise, scratch_path
 from .registry import query
 
@@ -57,19 +58,51 @@ def model_contract(t):
 
 @query(
     """
-    SELECT 'l_returnflag' AS name, 'nominal' AS kind, count(DISTINCT l_returnflag)::BIGINT AS n_values FROM lineitem
-    UNION ALL SELECT 'l_shipmode_code', 'nominal', count(DISTINCT l_suppkey % 7)::BIGINT FROM lineitem
-    UNION ALL SELECT 'l_quantity', 'numeric', NULL
+    SELECT 'l_returnflag' AS name, 'nominal' AS kind, count(DISTINCT l_returnflag)::BIGINT AS n_values, true AS codes_fit, true AS fits_a_tree FROM lineitem
+    UNION ALL SELECT 'l_shipmode_code', 'nominal', count(DISTINCT l_suppkey % 7)::BIGINT, true, true FROM lineitem
+    UNION ALL SELECT 'l_quantity', 'numeric', NULL, true, true
     """
 )
 def nominal_slots(t):
-    """The marks of a vector's slots, with the number of values that the dictionary has."""
-    rows = t.lineitem.select("l_returnflag", (F.col("l_suppkey") % 7).alias("l_shipmode_code"), "l_quantity")
-    counted = {r["column"]: r["n_values"] for r in cardinalities(fit_codes(rows, ["l_returnflag", "l_shipmode_code"])).collect()}
-    coded = rows.withColumn("l_returnflag", F.ascii("l_returnflag"))
-    marks = ml.to_vectors(coded, rows.columns, None, counted).schema["features"].metadata["ml_attr"]["attrs"]
-    slots = [(a["name"].removeprefix("__f_"), kind, a.get("num_vals")) for kind, group in marks.items() for a in group]
-    return t.spark.createDataFrame(slots, "name string, kind string, n_values long")
+    """The marks of a vector's slots, with the number of values that the dictionary has; codes of the dictionary, and a tree on them."""
+    names = ["l_returnflag", "l_shipmode_code"]
+    rows = t.lineitem.select("l_returnflag", (F.col("l_suppkey") % 7).alias("l_shipmode_code"), "l_quantity", "l_extendedprice")
+    dictionary = materialise(fit_codes(rows, names), "codes")
+    counted = {r["column"]: r["n_values"] for r in cardinalities(dictionary).collect()}
+    coded = apply_codes(rows, names, dictionary)
+    vectors = materialise(ml.to_vectors(coded, [*names, "l_quantity"], "l_extendedprice", counted), "vectors")
+    beyond = vectors.agg(*[F.max(F.col(c) >= counted[c]).alias(c) for c in names]).first()
+    tree = DecisionTreeRegressor(maxDepth=2, maxBins=64, seed=1).fit(vectors)
+    marks = vectors.schema["features"].metadata["ml_attr"]["attrs"]
+    slots = [
+        (a["name"].removeprefix("__f_"), kind, a.get("num_vals"), not beyond.asDict().get(a["name"].removeprefix("__f_"), False), tree.numFeatures == 3)
+        for kind, group in marks.items() for a in group
+    ]
+    return t.spark.createDataFrame(slots, "name string, kind string, n_values long, codes_fit boolean, fits_a_tree boolean")
+
+
+_SPLIT_SQL = """
+    WITH x AS (SELECT unnest(['l_discount', 'l_quantity', 'l_tax']) AS feature, unnest([l_discount, l_quantity, l_tax])::DOUBLE AS value,
+                      round(l_extendedprice * 100)::BIGINT AS y FROM lineitem),
+    b AS (SELECT feature, value, count(*) AS n, sum(y) AS s FROM x GROUP BY ALL),
+    w AS (SELECT feature, (value + lead(value) OVER o) / 2 AS threshold, sum(n) OVER o AS n_left, sum(s) OVER o AS sum_left,
+                 sum(n) OVER (PARTITION BY feature) AS n, sum(s) OVER (PARTITION BY feature) AS s FROM b WINDOW o AS (PARTITION BY feature ORDER BY value)),
+    g AS (SELECT feature, threshold, n_left::BIGINT AS n_left, (n - n_left)::BIGINT AS n_right, sum_left::BIGINT AS sum_left, (s - sum_left)::BIGINT AS sum_right,
+                 sum_left::DOUBLE * sum_left::DOUBLE / n_left::DOUBLE + (s - sum_left)::DOUBLE * (s - sum_left)::DOUBLE / (n - n_left)::DOUBLE - s::DOUBLE * s::DOUBLE / n::DOUBLE AS gain
+          FROM w WHERE threshold IS NOT NULL)
+"""
+
+
+@query(f"{_SPLIT_SQL} SELECT * FROM g ORDER BY gain DESC, feature, threshold LIMIT 1")
+def first_split(t):
+    rows = t.lineitem.select("l_discount", "l_quantity", "l_tax", scaled("l_extendedprice").alias("cents"))
+    return ml.best_split(rows, ["l_discount", "l_quantity", "l_tax"], "cents")
+
+
+@query(f"{_SPLIT_SQL} SELECT feature, threshold, n_left, n_right, sum_left, sum_right FROM g")
+def split_table(t):
+    rows = t.lineitem.select("l_discount", "l_quantity", "l_tax", scaled("l_extendedprice").alias("cents"))
+    return ml.split_gains(rows, ["l_discount", "l_quantity", "l_tax"], "cents").drop("gain")
 
 
 @query(

@@ -117,14 +117,14 @@ def update_weather(store: Store, listed: DataFrame, observations: DataFrame) ->
 def hitter_averages(batters: DataFrame, games: DataFrame, cov_mode: str = "ratio") -> DataFrame:
     return trailing_stats(
         played_hitters(batters), "player_id", "game_date", rules.HITTER_STATS, rules.HITTER_WINDOWS, games,
-        ratios=hitter_ratios, exact=False, cov_mode=cov_mode,
+        ratios=hitter_ratios, scales=rules.STAT_SCALES, scaled=False, cov_mode=cov_mode,
     )
 
 
 def pitcher_averages(pitchers: DataFrame, games: DataFrame, cov_mode: str = "ratio") -> DataFrame:
     return trailing_stats(
         played_pitchers(pitchers), "player_id", "game_date", rules.PITCHER_STATS, rules.PITCHER_WINDOWS, games,
-        ratios=pitcher_ratios, exact=False, cov_mode=cov_mode,
+        ratios=pitcher_ratios, scales=rules.STAT_SCALES, scaled=False, cov_mode=cov_mode,
     )
 
 

@@ -6,6 +6,8 @@ document, which is what a postponed game looks like.
 
 from __future__ import annotations
 
+import functools
+from dataclasses import dataclass
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,18 +64,55 @@ def read_documents(
     return docs.drop("day")
 
 
-def list_games(spark: SparkSession, root: str, manifest: tuple[str, ...] = TOPICS) -> DataFrame:
-    """(game_id, file_name, bytes) of the files that are there."""
-    files = (
-        spark.read.format("binaryFile")
-        .load(f"{root}/*/*/day_*/gid_*")
-        .select(F.col("path"), F.col("length").alias("bytes"))
-    )
-    return files.select(
-        path_game_id(F.regexp_replace("path", "/[^/]*$", "")).alias("game_id"),
-        F.regexp_extract("path", "([^/]*)$", 1).alias("file_name"),
-        "bytes",
+@dataclass(frozen=True)
+class Layout:
+    """Where a landing area keeps a game's files: globs below the root and how a path names the file."""
+
+    month: str
+    rest: str
+    file_name: str
+
+    def globs(self, root: str, start: date | None, stop: date | None) -> list[str]:
+        """One glob for the months that a closed date range touches; day 00 is listed with its month."""
+        if start is None or stop is None:
+            months = [self.month.replace("{y}", "*").replace("{m}", "*")]
+        else:
+            days = [tuple(part[-4:] if "year" in part else part[-2:] for part in m.split("/")) for m in months_between(start, stop)]
+            months = [self.month.replace("{y}", y).replace("{m}", m) for y, m in days]
+        return [f"{root}/{m}/{self.rest}" for m in months]
+
+
+# fixed values: folder names of the landing area
+PLAIN = Layout("year_{y}/month_{m}", "day_*/gid_*", "([^/]*)$")
+#: The same levels as partition folders, as Spark itself writes them.
+KEYED = Layout("year={y}/month={m}", "day=*/game=gid_*/topic=*", "topic=([^/]*)/[^/]*$")
+
+
+def list_games(
+    spark: SparkSession, root: str, manifest: tuple[str, ...] = TOPICS, start: date | None = None, stop: date | None = None, layout: Layout = PLAIN
+) -> DataFrame:
+    """(game_id, day, file_name, bytes) of the files that are there, from file metadata alone.
+
+    With a date range only the folders of its months are listed, as far as they exist, and days outside it are dropped;
+    files below day 00, which is no date, have a null day and go with their month.
+    """
+    found = []
+    for glob in layout.globs(root.rstrip("/"), start, stop):
+        try:
+            found.append(spark.read.format("binaryFile").load(glob).select("path", F.col("length").alias("bytes")))
+        except AnalysisException as error:
+            if "PATH_NOT_FOUND" not in (error.getCondition() or ""):
+                raise
+    if not found:
+        return spark.createDataFrame([], "game_id string, day date, file_name string, bytes long")
+    files = functools.reduce(lambda a, b: a.union(b), found)
+    day = path_day(F.regexp_replace("path", "(year|month|day)=", "$1_"))
+    listed = files.select(
+        path_game_id(F.regexp_extract("path", r"^(.*gid_[^/]*)/", 1)).alias("game_id"), day.alias("day"), F.regexp_extract("path", layout.file_name, 1).alias("file_name"), "bytes"
     ).filter(F.col("file_name").isin(*manifest))
+    if start is not None and stop is not None:
+        listed = listed.filter(F.col("day").isNull() | F.col("day").between(F.lit(start), F.lit(stop)))
+    return listed
 
 
 _LINE = """struct<data:struct<game:struct<game_type:string,status:string,home_time:string,game_pk:string,
@@ -219,8 +258,10 @@ def game_players(docs: DataFrame) -> DataFrame:
     return conform(rows, schemas.GAME_PLAYERS)
 
 
-def missing_files(spark: SparkSession, root: str, topics: tuple[str, ...] = TOPICS) -> DataFrame:
+def missing_files(
+    spark: SparkSession, root: str, topics: tuple[str, ...] = TOPICS, start: date | None = None, stop: date | None = None, layout: Layout = PLAIN
+) -> DataFrame:
     """(game_id, file_name) pairs a game directory lacks: postponed games and failed fetches."""
-    present = list_games(spark, root, topics).select("game_id", "file_name")
+    present = list_games(spark, root, topics, start, stop, layout).select("game_id", "file_name")
     wanted = present.select("game_id").distinct().withColumn("file_name", F.explode(F.array(*[F.lit(t) for t in topics])))
     return wanted.join(present, ["game_id", "file_name"], "left_anti")

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 
 _TYPES = {
-    "string": T.StringType(), "int": T.IntegerType(), "double": T.DoubleType(), "date": T.DateType(),
+    "string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(), "date": T.DateType(),
     "boolean": T.BooleanType(), "timestamp": T.TimestampType(), "timestamp_ntz": T.TimestampNTZType(),
 }
 

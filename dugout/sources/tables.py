@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,14 +18,23 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_dimension(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """CSV with a header; the schema is inferred only when none is given.
+    """CSV with a header; a bare carriage return ends a line as well.
 
-    A bare carriage return ends a line as well.  The columns are matched by position, the header is skipped.
+    Without a schema the types are inferred.  With one the columns are found by their header names, whatever
+    their order and case, and other columns are left out; a column that is not there is an error, a
+    value that does not fit its type is null.
     """
     reader = spark.read.option("header", True)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
-    return reader.schema(schema).option("enforceSchema", True).csv(path)
+    raw = reader.csv(path)
+    found: dict[str, list[str]] = {}
+    for name in raw.columns:
+        found.setdefault(name.strip().lower(), []).append(name)
+    wanted = {f.name: found.get(f.name.lower(), []) for f in schema.fields}
+    if missing := [name for name, columns in wanted.items() if not columns]:
+        raise ValueError(f"{path}: no column {', '.join(missing)} in the header {raw.columns}")
+    return raw.select(*[F.col(f"`{wanted[f.name][0]}`").try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -115,6 +125,42 @@ def replace_json(df: DataFrame, path: str) -> None:
     _remove(spark, beside)
 
 
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """Names of the whole versions of a table, oldest first."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(hadoop):
+        return []
+    names = [entry.getPath().getName() for entry in store.listStatus(hadoop)]
+    return sorted(n for n in names if n.startswith("version-") and _exists(spark, f"{path}/{n}/_SUCCESS"))
+
+
+def read_version(spark: SparkSession, path: str, schema: T.StructType, back: int = 0) -> DataFrame:
+    """The newest whole version of a table, or the one ``back`` versions before; an empty table if there is none."""
+    names = _versions(spark, path)
+    if len(names) <= back:
+        return empty_like(spark, schema)
+    return spark.read.schema(schema).parquet(f"{path}/{names[-1 - back]}")
+
+
+def replace_version(df: DataFrame, path: str, keep: int = 2) -> str:
+    """Replace a table by a new version beside the old one; ``df`` may read the table itself.
+
+    A version is a folder of its own that counts once its success marker is there, which is the last file written and
+    appears at once.  So readers see the old version or the new one, a writer that dies leaves the old one as it
+    was, and nothing is overwritten.  Versions older than the newest ``keep`` (2 at least) go afterwards; a reader
+    that began before the last replacement can finish.  One writer at a time.
+    """
+    spark = df.sparkSession
+    names = _versions(spark, path)
+    number = int(names[-1].split("-")[1]) + 1 if names else 1
+    name = f"version-{number:010d}-{uuid.uuid4().hex[:8]}"
+    df.write.parquet(f"{path}/{name}")
+    for old in _versions(spark, path)[: -max(2, keep)]:
+        _remove(spark, f"{path}/{old}")
+    return name
+
+
 def round_trip(df: DataFrame, kind: str) -> DataFrame:
     """Write a table in a format and read it back with its schema."""
     spark = df.sparkSession

@@ -138,8 +138,11 @@ def test_trailing(spark):
         [(1, d("2015-04-01"), 3), (1, d("2015-04-03"), 5), (1, d("2015-04-03"), 1), (1, d("2015-04-10"), 7)], "p int, day date, x int"
     )
     days = spark.createDataFrame([(d(x),) for x in ("2015-04-01", "2015-04-03", "2015-04-05", "2015-04-10", "2015-04-12", "2016-01-01")], "day date")
-    for exact in (True, False):
-        got = trailing.trailing_stats(facts, "p", "day", ["x"], ("SEASON", 4), days, exact=exact)
+    halves = facts.withColumn("x", F.col("x") / 2)
+    for scale in (1, 2):
+        how = {"scales": {"x": 2.0}, "scaled": False} if scale == 2 else {}
+        got = trailing.trailing_stats(halves if scale == 2 else facts, "p", "day", ["x"], ("SEASON", 4), days, **how)
+        got = got.withColumns({c: F.col(c) * scale for c in ("mv_4_avg_x", "mv_SEASON_avg_x")})
         avg = {str(r["day"])[5:]: (r["mv_4_avg_x"], r["mv_SEASON_avg_x"]) for r in got.collect()}
         assert avg == {"04-03": (3, 3), "04-05": (3, 3), "04-10": (0, 3), "04-12": (7, 4)}
 
