@@ -180,6 +180,14 @@ def _with_labels(entries: DataFrame, links: DataFrame) -> DataFrame:
     return entries.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
+def star_pairs(labelled: DataFrame, pivot) -> DataFrame:
+    """Pairs (a, b): in each cell the first node of every component with the least or greatest (``pivot``) of them."""
+    spots = labelled.groupBy("cell", "label").agg(F.min("node").alias("node"))
+    ends = spots.groupBy("cell").agg(pivot("node").alias("end"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    met = spots.join(ends, "cell").filter("node <> end")
+    return met.select(F.least("node", "end").alias("a"), F.greatest("node", "end").alias("b")).distinct()
+
+
 def open_labels(labelled: DataFrame) -> DataFrame:
     """Components that share a cell with another one.  A component counts once per cell, however many of its nodes are there."""
     spots = labelled.select("cell", "label").distinct()
@@ -254,16 +262,19 @@ def near_duplicates(
     nodes = materialise(nodes.select(F.col("id").alias("node"), "n", "halves", "sketch"), "nodes")
 
     entries = materialise(table_entries(nodes, halves), "entries")
-    cells = entries.groupBy("cell").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi")
-    entries = materialise(entries.join(cells, "cell"), "cells")
-    ends = entries.select("node", F.explode(F.array("lo", "hi")).alias("end")).filter("node <> end")
-    star = ends.select(F.least("node", "end").alias("a"), F.greatest("node", "end").alias("b")).distinct()
+    shared = entries.groupBy("cell").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select("cell")
+    entries = materialise(entries.join(shared, "cell", "left_semi"), "cells")
     sets = materialise(shingle_rows(docs, entries.select("node").distinct(), id_col, text_col, words), "sets")
-    links = materialise(confirm(star, nodes, sets, percent), "links")
 
-    labelled = materialise(_with_labels(entries.select("node", "cell"), links), "labelled")
+    labelled, links, compared = entries.withColumn("label", F.col("node")), None, None
+    for pivot in (F.min, F.max):
+        star = star_pairs(labelled, pivot)
+        star = materialise(star if compared is None else star.join(compared, ["a", "b"], "left_anti"), "star")
+        found = materialise(confirm(star, nodes, sets, percent), "links")
+        links, compared = (found, star) if links is None else (links.union(found), compared.union(star))
+        labelled = materialise(_with_labels(entries, links), "labelled")
     members = labelled.select("node", "label").distinct().join(open_labels(labelled), "label", "left_semi")
-    rest = _prefix_pairs(materialise(members, "open"), sets, percent).join(star, ["a", "b"], "left_anti")
+    rest = _prefix_pairs(materialise(members, "open"), sets, percent).join(compared, ["a", "b"], "left_anti")
     links = materialise(links.union(confirm(rest, nodes, sets, percent)), "all-links")
 
     labels = connected_components(links).select("node", "label")
