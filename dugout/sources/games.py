@@ -6,7 +6,6 @@ document, which is what a postponed game looks like.
 
 from __future__ import annotations
 
-import functools
 from dataclasses import dataclass
 from datetime import date, timedelta
 
@@ -72,14 +71,14 @@ class Layout:
     rest: str
     file_name: str
 
-    def globs(self, root: str, start: date | None, stop: date | None) -> list[str]:
-        """One glob for the months that a closed date range touches; day 00 is listed with its month."""
+    def glob(self, root: str, start: date | None, stop: date | None) -> str:
+        """The months that a closed date range touches; day 00 is listed with its month."""
         if start is None or stop is None:
             months = [self.month.replace("{y}", "*").replace("{m}", "*")]
         else:
             days = [tuple(part[-4:] if "year" in part else part[-2:] for part in m.split("/")) for m in months_between(start, stop)]
             months = [self.month.replace("{y}", y).replace("{m}", m) for y, m in days]
-        return [f"{root}/{m}/{self.rest}" for m in months]
+        return f"{root}/{{{','.join(months)}}}/{self.rest}"
 
 
 # fixed values: folder names of the landing area
@@ -96,16 +95,12 @@ def list_games(
     With a date range only the folders of its months are listed, as far as they exist, and days outside it are dropped;
     files below day 00, which is no date, have a null day and go with their month.
     """
-    found = []
-    for glob in layout.globs(root.rstrip("/"), start, stop):
-        try:
-            found.append(spark.read.format("binaryFile").load(glob).select("path", F.col("length").alias("bytes")))
-        except AnalysisException as error:
-            if "PATH_NOT_FOUND" not in (error.getCondition() or ""):
-                raise
-    if not found:
+    try:
+        files = spark.read.format("binaryFile").load(layout.glob(root.rstrip("/"), start, stop)).select("path", F.col("length").alias("bytes"))
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in (error.getCondition() or ""):
+            raise
         return spark.createDataFrame([], "game_id string, day date, file_name string, bytes long")
-    files = functools.reduce(lambda a, b: a.union(b), found)
     day = path_day(F.regexp_replace("path", "(year|month|day)=", "$1_"))
     listed = files.select(
         path_game_id(F.regexp_extract("path", r"^(.*gid_[^/]*)/", 1)).alias("game_id"), day.alias("day"), F.regexp_extract("path", layout.file_name, 1).alias("file_name"), "bytes"
