@@ -2,11 +2,13 @@
 
 ``write_pages`` writes one response record per page.  ``deduplicate`` reads the archives' headers, shuffles them
 by payload digest, joins each copy with the original it refers to, and rewrites the archives with fresh headers:
-copies become revisit records without a payload.  Payloads are never shuffled by themselves: the decisions are
-gathered per archive file, which holds a bounded number of records, and meet the file there.
+copies become revisit records without a payload.  Payloads are never shuffled: the decisions of ``REVISITS_AT_ONCE``
+records at most are sent to the tasks that read those records' files, one group of files after the other, so what is sent
+has a fixed bound and the number of groups grows with the archives.
 
 Archives are written and read by Spark's own text and binary file sources, so they may lie in any store that
-Spark reaches.  A file is one gzip stream of at most ``RECORDS_PER_FILE`` records.
+Spark reaches.  A file is one gzip stream.  Records are written by size, so that a file of small ones has many and one of large
+ones few: at most 4,000 below 64 KB, 250 below 1 MB, and one beyond that, some 250 MB unless a page alone is larger.
 
 Defined cases: null html is an empty payload; a page without an address has no target header; line breaks in an
 address are percent-encoded; a null id is written as ``none`` and read back as null; of equal payloads the
@@ -19,15 +21,18 @@ from __future__ import annotations
 import gzip
 import hashlib
 import io
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialise, scratch_path
+from .tiles import arrow_limits, parts
 
-RECORDS_PER_FILE = 4_000
+#: Records of a file by the size of their pages: (bytes below, records).
+FILE_SIZES = ((1 << 16, 4_000), (1 << 20, 250), (None, 1))
+REVISITS_AT_ONCE = 2_000_000
 LEAST_BYTES = 1_000
 DATE = "2024-01-01T00:00:00Z"
 _END = "\r\n\r\n"
@@ -35,10 +40,14 @@ _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _BATCH_BYTES = 8 << 20
 
 
-def _write(records: DataFrame, path: str) -> None:
-    """One string column of records; the line separator is what ends a WARC record."""
-    writer = records.write.option("lineSep", _END).option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE)
-    writer.text(path)
+def _write(records: DataFrame, path: str, size: Column, classes: Sequence[tuple[int | None, int]] = FILE_SIZES) -> None:
+    """One string column of records; the line separator is what ends a WARC record.  One pass per class of sizes."""
+    least = 0
+    for below, per_file in classes:
+        chosen = records.filter((size >= least) & (F.lit(True) if below is None else size < below))
+        writer = chosen.select("value").write.mode("append").option("lineSep", _END).option("compression", "gzip")
+        writer.option("maxRecordsPerFile", per_file).text(path)
+        least = below
 
 
 def write_pages(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> None:
@@ -64,7 +73,7 @@ def write_pages(pages: DataFrame, path: str, id_col: str = "page_id", url_col: s
         http,
         html,
     )
-    _write(pages.select(record.alias("value")), path)
+    _write(pages.select(record.alias("value"), F.octet_length(html).alias("size")), path, F.col("size"))
 
 
 def records_in(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -98,7 +107,7 @@ def http_parts(block: bytes) -> tuple[bytes, bytes, int]:
     return block[:at], block[at:], int(length)
 
 
-def _files(spark: SparkSession, path: str) -> DataFrame:
+def _files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "content")
 
 
@@ -138,12 +147,24 @@ def find_revisits(headers: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFra
     return met.filter(~F.col("page_id").eqNullSafe(F.col("refers_to"))).select("path", "place", "refers_to")
 
 
-def deduplicate(spark: SparkSession, source: str, target: str, least_bytes: int = LEAST_BYTES) -> None:
+def deduplicate(spark: SparkSession, source: str, target: str, least_bytes: int = LEAST_BYTES, at_once: int = REVISITS_AT_ONCE) -> None:
     """Rewrite the archives of ``source`` to ``target`` with revisit records in place of copies."""
-    headers = materialise(read_headers(spark, source), "warc-headers")
-    # at most one entry per record of a file
-    per_file = find_revisits(headers, least_bytes).groupBy("path").agg(F.collect_list(F.struct("place", "refers_to")).alias("revisits"))
-    files = _files(spark, source).join(per_file, "path", "left").select("content", "revisits")
+    with arrow_limits(spark, 1):
+        headers = materialise(read_headers(spark, source), "warc-headers")
+        revisits = materialise(find_revisits(headers, least_bytes), "warc-revisits")
+        groups = parts(revisits.count(), at_once)
+        for group in range(groups):
+            mine = F.pmod(F.xxhash64("path"), F.lit(groups)) == group
+            # the names of one group's files
+            paths = source if groups == 1 else [r["path"] for r in headers.filter(mine).select("path").distinct().toLocalIterator()]
+            if paths:
+                _rewrite(_files(spark, paths), revisits.filter(mine), target)
+
+
+def _rewrite(files: DataFrame, revisits: DataFrame, target: str) -> None:
+    """Append the files' records to the target.  ``revisits`` are bounded by the caller and sent to the tasks."""
+    per_file = revisits.groupBy("path").agg(F.collect_list(F.struct("place", "refers_to")).alias("revisits"))
+    files = files.join(F.broadcast(per_file), "path", "left").select("content", "revisits")
 
     def fresh(head: dict[str, str], block: bytes, original: int | None) -> bytes:
         http, payload, _ = http_parts(block)
@@ -170,8 +191,9 @@ def deduplicate(spark: SparkSession, source: str, target: str, least_bytes: int
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
 
-    records = files.mapInArrow(run, "value binary")
-    _write(records.select(F.col("value").cast("string")), target)
+    records = files.mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value"))
+    # one pass: the files read are bounded, and so are those written by a task that read one of them
+    _write(records, target, F.lit(0), [(None, FILE_SIZES[0][1])])
 
 
 def archive_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_bytes: int = LEAST_BYTES) -> DataFrame:
@@ -180,4 +202,5 @@ def archive_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     raw, deduplicated = scratch_path(spark, "warc-raw"), scratch_path(spark, "warc")
     write_pages(pages, raw, id_col, url_col, html_col)
     deduplicate(spark, raw, deduplicated, least_bytes)
-    return read_headers(spark, deduplicated)
+    with arrow_limits(spark, 1):
+        return materialise(read_headers(spark, deduplicated), "warc-clean-headers")

@@ -4,7 +4,7 @@ import gzip
 
 from pyspark.sql import types as T
 
-from dugout.llm import url_filter, warc
+from dugout.llm import tiles, url_filter, warc
 from dugout.session import scratch_path
 
 PAGES = T.StructType([T.StructField("page_id", T.LongType()), T.StructField("url", T.StringType()), T.StructField("html", T.StringType())])
@@ -38,6 +38,32 @@ def test_payloads_survive(spark):
     assert found == {i: f"page {i} " * 200 for i in range(50)}
 
 
+def test_groups_of_files_give_the_same_archives(spark):
+    pages = spark.createDataFrame([(i, f"http://h/{i}", f"page {i % 40} " * 300) for i in range(200)], PAGES).repartition(8)
+    raw = scratch_path(spark, "raw")
+    warc.write_pages(pages, raw)
+    found = []
+    for at_once in (10**6, 30):
+        clean = scratch_path(spark, "clean")
+        warc.deduplicate(spark, raw, clean, at_once=at_once)
+        found.append(sorted((r["page_id"], r["record_type"], r["refers_to"]) for r in warc.read_headers(spark, clean).collect()))
+    assert found[0] == found[1] and [r[1:] for r in found[0]] == [("revisit", 160 + i % 40) if i < 160 else ("response", None) for i in range(200)]
+
+
+def test_pages_of_all_sizes_share_no_file(spark):
+    sizes = [(1, 10), (2, 70_000), (3, 70_000), (4, 64 << 20), (5, 2 << 20), (6, 100)]
+    pages = spark.createDataFrame([(i, "http://h/", "x") for i, _ in sizes], PAGES).selectExpr("page_id", "url", "page_id AS k").repartition(1)
+    length = "CASE page_id " + " ".join(f"WHEN {i} THEN {n}" for i, n in sizes) + " END"
+    pages = pages.selectExpr("page_id", "url", f"repeat(chr(cast(96 + page_id AS int)), {length}) AS html")
+    raw = scratch_path(spark, "raw")
+    warc.write_pages(pages, raw)
+    with tiles.arrow_limits(spark, 1):
+        files = {}
+        for r in warc.read_headers(spark, raw).collect():
+            files.setdefault(r["path"], set()).add((r["page_id"], r["payload_bytes"]))
+    assert sorted(map(sorted, files.values())) == [[(1, 10), (6, 100)], [(2, 70_000), (3, 70_000)], [(4, 64 << 20)], [(5, 2 << 20)]]
+
+
 def brute(rules, url):
     host, path, rest = url_filter.split_url(url)
     import re
