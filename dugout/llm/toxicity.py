@@ -11,8 +11,10 @@ Words, their beginnings and ends are counted in toxic and other labelled documen
 confidence, at least half of the documents are toxic make the lexicon.  The three strongest words of the restored
 text are a document's evidence, which a monotone histogram of labelled documents kept apart turns into a score.
 
-Learned from: folds 0 and 3 (words) and 1 (scores) of the ids; fold 2 is held out.  Only counts per trigram, the
-lexicon and the histogram reach the driver, whatever the number of documents.
+Learned from: folds 0 and 3 (words) and 1 (scores) of the ids; fold 2 is held out.  The lexicon grows with the documents, so
+it stays a table: tasks get a bit set of fixed size that knows every entry and a few others, documents give
+out the features that pass it, and those are joined with the table.  Only counts per trigram, the bit set and
+the histogram reach the driver, whatever the number of documents.
 
 Defined cases: null and empty texts have no evidence and get the score of such texts; without labels every score
 is 0; a null id is scored and never learned from; a label that is repeated counts once, toxic if one of them is;
@@ -22,10 +24,11 @@ repeated documents are scored each on their own; other columns are not read.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +49,8 @@ LEAST_RUN = 3
 LONGEST_WORD = 24
 NEAR = 6.0
 BINS = 64
+#: Logarithm of the bits of the set that stands for the lexicon in the tasks; a fuller set lets more features through to the join.
+FILTER_BITS = 22
 CACHED_WORDS = 300_000
 _SYMBOLS = 64
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -262,8 +267,8 @@ def count_trigrams(docs: DataFrame, text_col: str) -> dict[int, int]:
     return {r["trigram"]: r["n"] for r in partial.groupBy("trigram").agg(F.sum("n").alias("n")).collect()}
 
 
-def learn_lexicon(labelled: DataFrame, model: CharModel) -> dict[str, float]:
-    """Weights of word features from (text, toxic) rows."""
+def learn_lexicon(labelled: DataFrame, model: CharModel) -> DataFrame:
+    """(feature, least): weights of word features from (text, toxic) rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer, seen = Restorer(model), {}
@@ -289,44 +294,97 @@ def learn_lexicon(labelled: DataFrame, model: CharModel) -> dict[str, float]:
     sums = partial.groupBy("feature").agg(F.sum("toxic").alias("n1"), F.sum("other").alias("n0"))
     share = (F.col("n1") + 1) / (F.col("n1") + F.col("n0") + 2)
     least = share - CONFIDENCE * F.sqrt(share * (1 - share) / (F.col("n1") + F.col("n0") + 3))
-    return {r["feature"]: r["least"] for r in sums.select("feature", least.alias("least")).filter(F.col("least") >= LEAST_SHARE).collect()}
+    return sums.select("feature", least.alias("least")).filter(F.col("least") >= LEAST_SHARE)
 
 
-class Evidence:
-    """Weight of a text from the three strongest of its distinct words; remembers a bounded number of tokens."""
+class FeatureFilter:
+    """A bit set that knows every feature of a lexicon; ``in`` is true for all of them and for few others."""
 
-    def __init__(self, model: CharModel, lexicon: dict[str, float], limit: int = CACHED_WORDS):
-        self.restorer, self.lexicon, self.limit = Restorer(model), lexicon, limit
-        self.known: dict[str, tuple[str, float] | None] = {}
+    def __init__(self, lexicon: DataFrame, bits: int = FILTER_BITS):
+        self.bits, self.words = bits, np.zeros(max(1, (1 << bits) // 64), np.uint64)
+        mask = F.lit((1 << bits) - 1)
+        hashed = F.xxhash64("feature")
+        places = F.array(hashed.bitwiseAND(mask), F.shiftrightunsigned(hashed, 32).bitwiseAND(mask))
+        at = lexicon.select(F.explode(places).alias("place")).select(F.shiftright("place", 6).alias("word"), F.expr("shiftleft(1L, cast(place & 63 as int))").alias("bit"))
+        # one row per word of the set at most
+        for r in at.groupBy("word").agg(F.bit_or("bit").alias("bit")).toLocalIterator():
+            self.words[r["word"]] = r["bit"] % 2**64
 
-    def word(self, word: str) -> float:
-        return max(self.lexicon.get(f, 0.0) for f in word_features(word))
+    def __contains__(self, feature: str) -> bool:
+        hashed = xxhash.xxh64_intdigest(feature.encode("utf-8", "surrogatepass"), 42)
+        mask = (1 << self.bits) - 1
+        return all(int(self.words[place >> 6]) >> (place & 63) & 1 for place in (hashed & mask, hashed >> 32 & mask))
 
-    def token(self, token: str) -> tuple[str, float] | None:
-        """The strongest word of a token, with its weight; none without one in the lexicon."""
-        best = max(((self.word(w), w) for w in self.restorer.words(token)), default=(0.0, ""))
-        return (best[1], best[0]) if best[0] else None
 
-    def __call__(self, text: str) -> float:
+class Readings:
+    """The words that a text may be read as and whose features are ``known``; remembers a bounded number of tokens."""
+
+    def __init__(self, model: CharModel, known, limit: int = CACHED_WORDS):
+        self.restorer, self.known, self.limit = Restorer(model), known, limit
+        self.seen: dict[str, list[tuple[str, str]]] = {}
+
+    def features(self, words: Iterable[str]) -> list[tuple[str, str]]:
+        return [(word, f) for word in words for f in word_features(word) if f in self.known]
+
+    def __call__(self, text: str) -> list[tuple[str, str, str]]:
+        """(slot, word, feature): of the words of one slot only the strongest counts.  A token is a slot, a word set apart is its own."""
         tokens = text.split()
         distinct = set(tokens)
-        new = distinct.difference(self.known)
+        new = distinct.difference(self.seen)
         if new:
-            if len(self.known) > self.limit:
-                self.known.clear()
+            if len(self.seen) > self.limit:
+                self.seen.clear()
                 new = distinct
             for t in new:
-                self.known[t] = self.token(t)
-        hits = dict(h for h in map(self.known.__getitem__, distinct) if h)
-        for word in self.restorer.spaced(tokens):
-            if self.word(word):
-                hits[word] = self.word(word)
+                self.seen[t] = self.features(self.restorer.words(t))
+        found = [(t, *pair) for t in sorted(distinct) for pair in self.seen[t]]
+        return found + [(f" {word}", word, f) for word, f in self.features(self.restorer.spaced(tokens))]
+
+
+class Evidence:
+    """Weight of a text from the three strongest of its distinct words, with a lexicon at hand."""
+
+    def __init__(self, model: CharModel, lexicon: dict[str, float]):
+        self.lexicon, self.readings = lexicon, Readings(model, lexicon)
+
+    def __call__(self, text: str) -> float:
+        words: dict[tuple[str, str], float] = {}
+        for slot, word, feature in self.readings(text):
+            words[slot, word] = max(words.get((slot, word), 0.0), self.lexicon[feature])
+        slots: dict[str, tuple[float, str]] = {}
+        for (slot, word), weight in words.items():
+            slots[slot] = max(slots.get(slot, (0.0, "")), (weight, word))
         rest = 1.0
-        for weight in sorted(hits.values(), reverse=True)[:3]:
+        for weight in sorted({word: weight for weight, word in slots.values()}.values(), reverse=True)[:3]:
             rest *= 1 - 0.98 * weight
         return 1 - rest
 
 
+def gather_evidence(docs: DataFrame, model: CharModel, lexicon: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """(id, evidence) of (id, text) rows, as :class:`Evidence` has it, with the lexicon as a table."""
+    known = FeatureFilter(lexicon, bits)
+    kind = docs.schema["id"].dataType.simpleString()
+    entry = pa.list_(pa.struct([("slot", pa.string()), ("word", pa.string()), ("feature", pa.string())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        readings = Readings(model, known)
+        for batch in batches:
+            found = [[{"slot": s, "word": w, "feature": f} for s, w, f in readings(t.as_py() or "")] for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, entry)], ["id", "found"])
+
+    read = docs.mapInArrow(run, f"id {kind}, found array<struct<slot:string,word:string,feature:string>>")
+    # repeated ids are told apart by the stored row number
+    read = materialise(read.withColumn("row", F.monotonically_increasing_id()), "readings")
+    hits = read.select("row", F.explode("found").alias("h")).select("row", "h.*").join(lexicon, "feature")
+    words = hits.groupBy("row", "slot", "word").agg(F.max("least").alias("least"))
+    slots = words.groupBy("row", "slot").agg(F.max(F.struct("least", "word")).alias("best"))
+    strongest = slots.groupBy("row").agg(F.collect_set("best").alias("best"))  # one document's words
+    weights = F.slice(F.reverse(F.array_sort(F.transform("best", lambda b: b["least"]))), 1, 3)
+    rest = F.aggregate(weights, F.lit(1.0), lambda rest, weight: rest * (1 - F.lit(0.98) * weight))
+    weighed = strongest.select("row", (1 - rest).alias("evidence"))
+    return read.select("id", "row").join(weighed, "row", "left").select("id", F.coalesce("evidence", F.lit(0.0)).alias("evidence"))
+
+
 def monotone(counts: dict[int, tuple[int, int]], bins: int = BINS) -> list[float]:
     """Share of toxic documents per bin of evidence (toxic, all), made non-decreasing by pooling neighbours."""
     if not counts:
@@ -350,15 +408,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     words = marks.filter(fold_of(F.col("id")).isin(0, 3))
     # one plan at every size: the labels grow with the documents and are not broadcast
     learn = narrow.filter(fold_of(F.col("id")).isin(0, 3)).join(words.hint("merge"), "id")
-    lexicon = learn_lexicon(learn, model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        evidence = Evidence(model, lexicon)
-        for batch in batches:
-            found = [evidence(t.as_py() or "") for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.float64())], ["id", "evidence"])
-
-    scored = materialise(narrow.mapInArrow(run, f"id {narrow.schema['id'].dataType.simpleString()}, evidence double"), "evidence")
+    lexicon = materialise(learn_lexicon(learn, model), "lexicon")
+    scored = materialise(gather_evidence(narrow, model, lexicon), "evidence")
     bin_of = F.least(F.floor(F.col("evidence") * BINS), F.lit(BINS - 1)).cast("int")
     apart = scored.filter(fold_of(F.col("id")) == 1).join(marks, "id").groupBy(bin_of.alias("bin"))
     counts = {r["bin"]: (r["n1"], r["n"]) for r in apart.agg(F.sum("toxic").alias("n1"), F.count(F.lit(1)).alias("n")).collect()}
