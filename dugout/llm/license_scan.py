@@ -1,8 +1,10 @@
 """License scan: an exact set-similarity join of text blocks with license templates, and literal phrases.
 
-A block is a line, and with ``around`` also the text around a line break: up to that many words before it and as many
-after it, other breaks among them.  A notice of at most ``around`` words is then in one block however its lines are
-wrapped; ``AROUND`` is the length of the longest template.  Its tokens are words of digits, letters and non-ASCII characters in lower case.  A block
+A block is a line of at most twice the words of the longest template.  A longer line is taken apart into windows of
+that many words, one beginning at every so many words as the longest template has, so every run of that length is whole in one of them and words that
+are scattered over a long line match nothing.  With ``around`` the text around a line break is a block as well: up to
+that many words before it and as many after it, other breaks among them.  A notice of at most ``around`` words is then in one block
+however its lines are wrapped; ``AROUND`` is the length of the longest template.  Its tokens are words of digits, letters and non-ASCII characters in lower case.  A block
 matches a template when it holds at least ``THRESHOLD`` of the template's distinct tokens.  Tokens are ordered
 by their frequency in all blocks, rarest first.  A block with c = ceil(threshold * size) of a template's tokens
 must hold one of its first size - c + 1 tokens (prefix filter), must have c template tokens in all (length
@@ -90,10 +92,29 @@ def _around_breaks(parts: Column, around: int, known: Column) -> Column:
     return F.when(F.size(parts) > 0, F.transform(breaks, block))
 
 
-def scan_blocks(docs: DataFrame, id_col: str, text_col: str, phrases: dict[str, str], vocabulary: list[str], least: int, around: int = 0) -> DataFrame:
-    """One row per document: number of words, phrase places, and the template tokens of blocks that hold at least ``least``."""
-    known = F.array(*[F.lit(t) for t in vocabulary])
-    held = F.transform(F.split("text", "\n"), lambda line: F.array_intersect(words_of(line), known))
+def _line_blocks(words: Column, known: Column, templates: list[tuple[str, str, list[str], int]]) -> Column:
+    """Template tokens of a line's blocks.  A long line is only taken apart if it holds enough tokens of a template in all."""
+    longest = max(len(row[1].split()) for row in templates)
+
+    def whole(block: Column) -> Column:
+        tests = [F.size(F.array_intersect(block, F.array(*map(F.lit, tokens)))) >= least for _, _, tokens, least in templates]
+        return functools.reduce(lambda a, b: a | b, tests)
+
+    def windows(w: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(w), F.lit(longest))
+        return F.transform(starts, lambda i: F.array_intersect(F.slice(w, i, 2 * longest), known))
+
+    # arrays of one element give a name to what is used more than once
+    bound = F.transform(F.array(words), lambda w: F.struct(w.alias("w"), F.array_intersect(w, known).alias("block")))
+    made = F.transform(bound, lambda x: F.when(F.size(x["w"]) <= 2 * longest, F.array(x["block"])).when(whole(x["block"]), windows(x["w"])))
+    return F.coalesce(made[0], F.array().cast("array<array<string>>"))
+
+
+def scan_blocks(docs: DataFrame, id_col: str, text_col: str, phrases: dict[str, str], templates: list[tuple[str, str, list[str], int]], around: int = 0) -> DataFrame:
+    """One row per document: number of words, phrase places, and the template tokens of blocks that hold enough of them."""
+    known = F.array(*[F.lit(t) for t in sorted({t for row in templates for t in row[2]})])
+    least = min(row[3] for row in templates)
+    held = F.flatten(F.transform(F.split("text", "\n"), lambda line: _line_blocks(words_of(line), known, templates)))
     parts = F.lit(None).cast("array<string>")
     if around:
         # a break takes the signs and breaks that follow it
@@ -161,7 +182,7 @@ def scan_licenses(
     rows = template_rows(templates if templates is not None else TEMPLATES, threshold)
     phrases = PHRASES if phrases is None else phrases
     vocabulary = sorted({t for row in rows for t in row[2]})
-    scanned = materialise(scan_blocks(docs, id_col, text_col, phrases, vocabulary, min(r[3] for r in rows), around), "license-blocks")
+    scanned = materialise(scan_blocks(docs, id_col, text_col, phrases, rows, around), "license-blocks")
     found = (
         matching_blocks(scanned, rows, token_order(scanned, vocabulary))
         .groupBy("id", "row")

@@ -47,7 +47,12 @@ p AS (
 b AS (SELECT doc_id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word,
         string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM p GROUP BY doc_id),
 tpl AS (SELECT label, list_distinct(tokens) AS tokens FROM (VALUES {_TEMPLATES}) v(label, tokens)),
-l AS (SELECT doc_id, regexp_extract_all(lower(line), '{_WORD}') AS block FROM d, unnest(string_split(t, chr(10))) u(line)),
+lw AS (SELECT doc_id, n, regexp_extract_all(lower(line), '{_WORD}') AS lw FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS n FROM d)),
+aw AS (SELECT doc_id, flatten(list(lw ORDER BY n)) AS aw FROM lw GROUP BY doc_id HAVING count(*) > 1),
+br AS (SELECT doc_id, sum(len(lw)) OVER (PARTITION BY doc_id ORDER BY n)::BIGINT AS p FROM lw),
+l AS (SELECT doc_id, lw AS block FROM lw WHERE len(lw) <= {2 * license_scan.AROUND}
+      UNION ALL SELECT doc_id, lw[i + 1:i + {2 * license_scan.AROUND}] FROM lw, unnest(range(0, len(lw), {license_scan.AROUND})) u(i) WHERE len(lw) > {2 * license_scan.AROUND}
+      UNION ALL SELECT doc_id, aw[greatest(p - {license_scan.AROUND - 1}, 1):p + {license_scan.AROUND}] FROM br JOIN aw USING (doc_id)),
 s AS (SELECT doc_id, label, len(list_intersect(tokens, list_distinct(block))) / len(tokens) AS share FROM l, tpl
       WHERE len(list_intersect(tokens, list_distinct(block))) >= ceil(round(len(tokens) * {license_scan.THRESHOLD}, 9))),
 m AS (SELECT doc_id, max(share) AS share FROM s GROUP BY doc_id),

@@ -65,3 +65,25 @@ def test_notices_wrapped_over_lines(spark):
     table = documents(spark, [(1, bsd), (2, gpl), (3, mit), (4, narrow), (5, far), (6, "\n\n"), (7, "\nplain\n"), (8, None), (9, "x " * 50_000 + "\n" + bsd)])
     got = {r["id"]: r["labels"] for r in license_scan.scan_licenses(table, phrases={"no phrase": "none"}, around=license_scan.AROUND).collect()}
     assert got == {1: "bsd", 2: "gpl", 3: "mit", 4: "bsd", 5: "", 6: "", 7: "", 8: "", 9: "bsd"}
+
+
+def test_words_scattered_over_a_long_line_match_nothing(spark):
+    import random
+
+    random.seed(1)
+    filler = [f"w{i}" for i in range(1_100)]
+    cc, bsd = "licensed under cc by 4 0".split(), "redistribution and use in source and binary forms with or without modification are permitted".split()
+    table = []
+    for number, words in ((1, cc), (2, bsd)):
+        spread = list(filler)
+        for at, word in enumerate(words):
+            spread.insert(100 * at, word)
+        table += [(number, " ".join(spread)), (number + 10, " ".join(filler + words + filler))]
+    long = [random.choice(filler) for _ in range(20_000)]
+    for _ in range(40):
+        long[random.randrange(20_000)] = random.choice(cc + bsd)
+    table.append((3, " ".join(long)))
+    for offset in range(0, 80, 7):
+        table.append((100 + offset, " ".join(filler[:offset] + bsd + filler)))
+    got = {r["id"]: r["labels"] for r in license_scan.scan_licenses(documents(spark, table), around=license_scan.AROUND).collect()}
+    assert got == {1: "", 2: "", 11: "cc-by,cc-by-nc", 12: "bsd", 3: "", **{100 + offset: "bsd" for offset in range(0, 80, 7)}}
