@@ -1,13 +1,18 @@
 """Language identification in two levels.
 
 One-versus-one linear support vector machines first choose the language family and then, among the languages of
-that family only, the language.  Features are hashed character n-grams of the letters of the whole text.  The
-machines are fitted on about ``SAMPLE_ROWS`` labelled rows, the same number for each language, chosen by a hash of
-the id; this bound is all that reaches the driver.  Every text is then scored where it is read.
+that family only, the language.  Features are hashed character n-grams of the letters of the whole text.  Languages
+that no family lists make up the family ``other``; they are not closely related, so one machine per language
+separates it from the rest of them.
+
+The machines are fitted on about ``SAMPLE_ROWS`` labelled rows, the same number for each language, chosen by a hash of
+the id.  At most ``MAX_LANGUAGES`` languages are learned, those with most labelled rows, and each of them with ``LEAST_ROWS``
+rows at least.  These bounds are all that reaches the driver; each machine is fitted in a task, from a table of one
+row per machine.  Every text is then scored where it is read.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0; without any labelled row all texts are
-``und``; with one language every text with letters is of that language with score 1; a language that no family
-lists is a family of its own; null ids are scored and never learned from; repeated rows are scored each on their
+``und``; with one language every text with letters is of that language with score 1; a label with fewer rows than are
+wanted, or beyond the most frequent ones, is not learned; null ids are scored and never learned from; repeated rows are scored each on their
 own; other columns are not read.
 """
 
@@ -15,7 +20,7 @@ from __future__ import annotations
 
 import itertools
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,7 +42,10 @@ FAMILIES = {
     "indic": ("hi", "ur", "bn", "mr", "gu", "pa", "ne"),
     "semitic": ("ar", "he", "mt", "am"),
 }
+OTHER = "other"
 SAMPLE_ROWS = 2_000
+MAX_LANGUAGES = 200
+LEAST_ROWS = 1
 # below: the predicted language clearly loses a comparison, the machines contradict each other
 LEAST_SCORE = 0.4
 BITS = 12
@@ -83,7 +91,7 @@ def fit_svm(x: np.ndarray, y: np.ndarray, strength: float = 10.0, rounds: int =
 
 @dataclass
 class LanguageModel:
-    """Machines per pair of families and per pair of languages of one family."""
+    """Machines per pair of families, per pair of languages of one family, and per language of the family ``other``."""
 
     families: dict[str, list[str]]
     pairs: list[tuple[str, str]]
@@ -94,9 +102,19 @@ class LanguageModel:
             return UNDETERMINED, 0.0
         margins = dict(zip(self.pairs, grams @ self.weights[:-1] + self.weights[-1])) if self.pairs else {}
         family, sure = self._best(list(self.families), margins, "family:")
-        language, surer = self._best(self.families[family], margins, "")
+        if family == OTHER:
+            language, surer = self._strongest(self.families[family], margins)
+        else:
+            language, surer = self._best(self.families[family], margins, "")
         return language, float(min(sure, surer))
 
+    def _strongest(self, names: list[str], margins: dict) -> tuple[str, float]:
+        """The name with the largest margin over the rest."""
+        if len(names) == 1:
+            return names[0], 1.0
+        best = max(names, key=lambda n: (margins[n, None], n))
+        return best, 1 / (1 + np.exp(-3 * margins[best, None]))
+
     def _best(self, names: list[str], margins: dict, prefix: str) -> tuple[str, float]:
         """The name with the most won comparisons, ties by margin; how sure its closest comparison is."""
         won = dict.fromkeys(names, (0, 0.0))
@@ -110,40 +128,56 @@ class LanguageModel:
         return best, 1.0 if len(names) == 1 else 1 / (1 + np.exp(-3 * closest[best]))
 
 
-def fit_languages(rows: list[tuple[str, np.ndarray]]) -> LanguageModel:
-    """Fit on (language, grams) rows."""
+def family_tree(languages: Iterable[str]) -> dict[str, list[str]]:
+    """Languages by family."""
     known = {code: family for family, codes in FAMILIES.items() for code in codes}
     families: dict[str, list[str]] = {}
-    for language in sorted({r[0] for r in rows}):
-        families.setdefault(known.get(language, language), []).append(language)
-    if not rows:
-        return LanguageModel({}, [], np.zeros((0, 0)))
-    x, of = np.empty((len(rows), len(rows[0][1])), np.float32), np.array([r[0] for r in rows], object)
-    for i, (_, grams) in enumerate(rows):
-        x[i] = grams
-    family_of = np.array([known.get(r[0], r[0]) for r in rows], object)
-    pairs, weights = [], []
-
-    def add(names: list[str], groups: np.ndarray, prefix: str) -> None:
-        for a, b in itertools.combinations(names, 2):
-            use = (groups == a) | (groups == b)
-            pairs.append((prefix + a, prefix + b))
-            weights.append(fit_svm(x[use], np.where(groups[use] == a, 1.0, -1.0)))
+    for language in sorted(set(languages)):
+        families.setdefault(known.get(language, OTHER), []).append(language)
+    return families
+
 
-    add(list(families), family_of, "family:")
-    for members in families.values():
-        add(members, of, "")
-    return LanguageModel(families, pairs, np.array(weights).T.astype(np.float32))
+def machines(families: dict[str, list[str]]) -> list[tuple[str, str | None]]:
+    """The machines to fit: pairs of families (with a prefix), pairs in a family, and (language, none) in the family ``other``."""
+    wanted: list[tuple[str, str | None]] = [(f"family:{a}", f"family:{b}") for a, b in itertools.combinations(families, 2)]
+    for family, members in families.items():
+        if family != OTHER:
+            wanted += itertools.combinations(members, 2)
+        elif len(members) > 1:
+            wanted += [(language, None) for language in members]
+    return wanted
 
 
-def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample_rows: int = SAMPLE_ROWS) -> LanguageModel:
-    labelled = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).alias("lang"))
+def fit_machine(pair: tuple[str, str | None], x: np.ndarray, of: np.ndarray, families: dict[str, list[str]]) -> np.ndarray:
+    """The weights of one machine from all sampled rows ``x`` with their languages."""
+    sides = [set(families[name[7:]]) if name.startswith("family:") else {name} for name in pair if name is not None]
+    rest = set(families[OTHER]) - sides[0] if pair[1] is None else sides[1]
+    first = np.array([language in sides[0] for language in of])
+    use = first | np.array([language in rest for language in of])
+    return fit_svm(x[use].astype(np.float32), np.where(first[use], 1.0, -1.0))
+
+
+def fit_languages(rows: list[tuple[str, np.ndarray]]) -> LanguageModel:
+    """Fit on (language, grams) rows at hand, one machine after the other."""
+    families = family_tree(r[0] for r in rows)
+    wanted = machines(families)
+    if not wanted:
+        return LanguageModel(families, [], np.zeros((0, 0)))
+    x, of = np.array([r[1] for r in rows], np.float16), np.array([r[0] for r in rows], object)
+    return LanguageModel(families, wanted, np.array([fit_machine(pair, x, of, families) for pair in wanted]).T)
+
+
+def train(
+    docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample_rows: int = SAMPLE_ROWS, max_languages: int = MAX_LANGUAGES, least_rows: int = LEAST_ROWS
+) -> LanguageModel:
+    spark = docs.sparkSession
+    labelled = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     labelled = labelled.filter(F.col("id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("id")))
-    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
-    if not counts:
-        return fit_languages([])
+    counted = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_rows)
+    # at most max_languages rows
+    counts = {r["lang"]: r["n"] for r in counted.orderBy(F.desc("n"), "lang").limit(max_languages).collect()}
     draw = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)
-    rate = F.coalesce(*[F.when(F.col("lang") == lang, sample_rows / len(counts) / n) for lang, n in counts.items()])
+    rates = spark.createDataFrame([(lang, sample_rows / len(counts) / n) for lang, n in counts.items()], "lang string, rate double")
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,9 +186,24 @@ def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample_row
             vectors = pa.array([None if v is None else v.astype(np.float16).tobytes() for v in found], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(1), vectors], ["lang", "grams"]).filter(kept)
 
-    sample = labelled.filter(draw < rate).select("text", "lang").mapInArrow(grams, "lang string, grams binary")
+    sample = labelled.join(F.broadcast(rates), "lang").filter(draw < F.col("rate")).select("text", "lang").mapInArrow(grams, "lang string, grams binary")
     rows = sorted((r["lang"], bytes(r["grams"])) for r in sample.collect())
-    return fit_languages([(lang, np.frombuffer(g, np.float16)) for lang, g in rows])
+    families = family_tree(r[0] for r in rows)
+    wanted = machines(families)
+    if not wanted:
+        return LanguageModel(families, [], np.zeros((0, 0)))
+    x, of = np.frombuffer(b"".join(r[1] for r in rows), np.float16).reshape(len(rows), -1), np.array([r[0] for r in rows], object)
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in batch.column(0).to_pylist():
+                weights = fit_machine(wanted[at], x, of, families)
+                yield pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([weights.tobytes()], pa.binary())], ["at", "weights"])
+
+    tasks = min(len(wanted), 64)
+    fitted = spark.range(0, len(wanted), 1, tasks).select(F.col("id").alias("at")).mapInArrow(fit, "at long, weights binary")
+    weights = [np.frombuffer(r["weights"], np.float32) for r in sorted(fitted.collect())]
+    return LanguageModel(families, wanted, np.array(weights).T)
 
 
 def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

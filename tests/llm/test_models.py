@@ -1,6 +1,8 @@
 """Language, toxicity and leaks on small tables."""
 
 import random
+import time
+import zlib
 
 import numpy as np
 from pyspark.sql import types as T
@@ -193,3 +195,56 @@ def test_leaks_of_long_items():
     # one passage of an item is no leak of it
     assert not search(np.concatenate([rng.integers(1, 3001, 64), terms[5][96:160], rng.integers(1, 3001, 64)]).astype(np.int32))
     assert all({int(w) for at in decontaminate.passage_starts(n) for w in range(at, min(at + 32, n))} == set(range(n)) for n in range(1, 300))
+
+
+def test_many_label_values_end_in_seconds(spark):
+    random.seed(2)
+    words = {f"q{k:03d}": [f"{chr(97 + k % 26)}{chr(97 + k // 26)}{c}" for c in "abcdef"] for k in range(300)}
+    table = [(i * 300 + k, sentence(words[f"q{k:03d}"], 12), f"q{k:03d}") for k in range(300) for i in range(3)]
+    table += [(100_000 + i, sentence({"en": EN, "de": DE}[lang], 12), lang) for i, lang in enumerate(["en", "de"] * 40)]
+    docs = documents(spark, table)
+    started = time.time()
+    model = language_id.train(docs, "doc_id", "text", "lang", max_languages=150)
+    assert time.time() - started < 60
+    assert sorted(model.families) == ["germanic", "other"] and sum(map(len, model.families.values())) <= 150
+    assert len(model.pairs) == 1 + 1 + len(model.families["other"])
+    got = language_id.predict_languages(docs.filter("doc_id >= 100000")).collect()
+    assert all(r["lang_pred"] in ("en", "de") for r in got)
+    assert language_id.train(docs, "doc_id", "text", "lang", least_rows=20).families == {"germanic": ["de", "en"]}
+
+
+def test_machines_of_tasks_are_those_of_a_plain_loop(spark):
+    random.seed(4)
+    rows = [(i, sentence({"en": EN, "de": DE, "fr": FR, "xa": ["zz", "yy"], "xb": ["kk", "jj"]}[lang], 12), lang) for i, lang in enumerate(["en", "de", "fr", "xa", "xb"] * 20)]
+    model = language_id.train(documents(spark, rows), "doc_id", "text", "lang", sample_rows=10**6)
+    seen = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2]
+    plain = language_id.fit_languages(sorted(((lang, language_id.letter_grams(text)) for _, text, lang in seen), key=lambda r: (r[0], r[1].astype(np.float16).tobytes())))
+    assert model.families == plain.families and model.pairs == plain.pairs
+    for _, text, lang in rows:
+        a, b = (m.predict(language_id.letter_grams(text)) for m in (model, plain))
+        assert a[0] == b[0] == lang and abs(a[1] - b[1]) < 1e-4
+
+
+def test_a_lexicon_as_a_table_gives_the_same_evidence(spark):
+    random.seed(6)
+    words = ["idiot", "loser", "scum", "that", "the", "not", "book", "see", "idiots", "pathetic"]
+    counts = {}
+    for w in words * 20:
+        s = [0, 0, *toxicity.symbols(f" {w} ").tolist()[1:]]
+        for a, b, c in zip(s, s[1:], s[2:]):
+            counts[(a * 64 + b) * 64 + c] = counts.get((a * 64 + b) * 64 + c, 0) + 1
+    model = toxicity.CharModel(counts)
+    lexicon = {"=idiot": 0.9, "<idio": 0.6, "=scum": 0.8, "=loser": 0.7, ">etic": 0.55, "=wörd": 0.9}
+    table = spark.createDataFrame(list(lexicon.items()), "feature string, least double")
+    texts = [None, "", "you 1d10t", "s c u m", "the book", "idiots idiot pathetic loser scum", "wörd", "i d i o t. l0ser", "that not see " * 500]
+    texts += [" ".join(random.choices(words, k=5)) for _ in range(40)]
+    docs = spark.createDataFrame([(i % 45, t) for i, t in enumerate(texts)], "id long, text string").repartition(3)
+    here = toxicity.Evidence(model, lexicon)
+    want = sorted((i % 45, here(t or "")) for i, t in enumerate(texts))
+    for bits in (22, 6):  # a full bit set lets everything through to the join
+        got = sorted((r["id"], r["evidence"]) for r in toxicity.gather_evidence(docs, model, table, bits).collect())
+        assert [g[0] for g in got] == [w[0] for w in want] and all(abs(g[1] - w[1]) < 1e-12 for g, w in zip(got, want))
+    assert max(w[1] for w in want) > 0.9
+    known = toxicity.FeatureFilter(table)
+    assert all(f in known for f in lexicon) and sum(f"={i}" in known for i in range(2_000)) < 20
+    assert {r["evidence"] for r in toxicity.gather_evidence(docs, model, table.limit(0)).collect()} == {0.0}
