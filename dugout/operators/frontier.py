@@ -124,5 +124,6 @@ def count_rosters(candidates: DataFrame, slots: Sequence[str], cap: int, team_li
     every = cost_frontier(candidates, slots, 2**62).agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("n_total"), F.coalesce(F.sum(F.when(F.col("cost") > cap, F.col("n"))), F.lit(0)).alias("n_over_cap")
     )
-    both = every.withColumn("k", F.lit(1)).join(legal.withColumn("k", F.lit(1)), "k")
+    names = ("n_total", "n_over_cap", "n_legal")
+    both = every.unionByName(legal, allowMissingColumns=True).agg(*[F.max(c).alias(c) for c in names])
     return both.select("n_total", "n_over_cap", (F.col("n_total") - F.col("n_over_cap") - F.col("n_legal")).alias("n_illegal"), "n_legal")

@@ -37,10 +37,6 @@ def split_by_hash(df: DataFrame, keys: Sequence[str], train_tenths: int = 7) ->
     return df.filter(mine), df.filter(~mine)
 
 
-def split_random(df: DataFrame, train_share: float = rules.TRAIN_SHARE, seed: int = rules.SEED):
-    return df.randomSplit([train_share, 1 - train_share], seed=seed)
-
-
 def to_vectors(
     df: DataFrame, features: Sequence[str], target: str | None = None, cardinality: Mapping[str, int] | None = None
 ) -> DataFrame:

@@ -41,11 +41,6 @@ def select_except(df: DataFrame, skip: Sequence[str], schema: T.StructType | Non
     return df.select(*[c for c in names if c not in skip])
 
 
-def field_list(schema: T.StructType, skip: Sequence[str], alias: str) -> str:
-    """Select list for SQL text: ``alias.a, alias.b``."""
-    return ", ".join(f"{alias}.{c}" for c in schema.fieldNames() if c not in skip)
-
-
 def sorted_columns(df: DataFrame) -> DataFrame:
     return df.select(*sorted(df.columns))
 

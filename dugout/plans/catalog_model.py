@@ -95,9 +95,9 @@ def predicted_and_actual(t):
     p = t.orders.select("o_custkey", scaled("o_totalprice").alias("cents"), "o_orderpriority")
     means = p.groupBy("o_orderpriority").agg(F.sum("cents").alias("s"), F.count(F.lit(1)).alias("n"))
     means = means.select("o_orderpriority", F.floor(F.expr("s div n")).cast("bigint").alias("predicted"))
-    scored = p.join(means, "o_orderpriority").groupBy("o_custkey").agg(
-        F.sum("cents").alias("actual"), F.sum("predicted").alias("predicted")
-    )
+    actual = p.groupBy("o_custkey").agg(F.sum("cents").alias("actual"))
+    scored = p.join(means, "o_orderpriority").groupBy("o_custkey").agg(F.sum("predicted").alias("predicted"))
+    scored = ml.join_predictions([actual, scored], ["o_custkey"])
     return with_defaults(scored, {"predicted": 0}).withColumn("miss", F.col("actual") - F.col("predicted"))
 
 
@@ -205,11 +205,40 @@ def roster_histogram(t):
     return roster.top_score_histogram(_candidates(t), _SMALL_SLOTS, cap=9000, team_limit=1)
 
 
-@query()
+_FULL_SLOTS = ["PROMO", "PROMO", "PROMO", "SMALL", "ECONOMY", "STANDARD", "LARGE", "MEDIUM"]
+
+
+def _full_sql(slots: list[str], cap: int, limit: int, keep: int, width: int = 4, unit: int = 100) -> str:
+    """The search as a chain of tables: bounds per budget, a few legal rosters for a floor, then all that can reach it."""
+    n = len(slots)
+    parts = [f"{_PLAYERS.format(k=4)}, {_RANKED}", f"g AS (SELECT unnest(range({cap // unit + 1})) AS b)", f"u{n} AS (SELECT b, 0::BIGINT AS u FROM g)",
+             f"o AS (SELECT position, cost // {unit} AS c, max(points) AS p FROM cand GROUP BY ALL)"]
+    for i in reversed(range(1, n)):
+        parts.append(f"u{i} AS MATERIALIZED (SELECT g.b, max(p + u) AS u FROM g JOIN o ON position = '{slots[i]}' AND c <= g.b JOIN u{i + 1} n ON n.b = g.b - c GROUP BY g.b)")
+    for name, floor in (("k", None), ("e", "(SELECT f FROM floor)")):
+        for i, slot in enumerate(slots):
+            reach = f"JOIN u{i + 1} u ON u.b = ({cap} - {{cost}}) // {unit}" + (f" AND {{points}} + u.u >= {floor}" if floor else "")
+            if i == 0:
+                body = f"SELECT [player] AS players, [team] AS teams, cost, points, cid FROM r {reach.format(cost='cost', points='points')} WHERE position = '{slot}' AND cost <= {cap}"
+            else:
+                again = " AND r.cid > s.cid" if slot == slots[i - 1] else ""
+                body = (
+                    f"SELECT list_append(players, player) AS players, list_append(teams, team) AS teams, s.cost + r.cost AS cost, s.points + r.points AS points, r.cid AS cid FROM {name}{i - 1} s "
+                    f"JOIN r ON r.position = '{slot}' AND s.cost + r.cost <= {cap}{again} AND len(list_filter(s.teams, lambda t: t = r.team)) < {limit} {reach.format(cost='(s.cost + r.cost)', points='s.points + r.points')}"
+                )
+            if not floor:
+                body = f"SELECT * FROM ({body}) QUALIFY row_number() OVER (PARTITION BY cost ORDER BY points DESC, players) <= {width}"
+            parts.append(f"{name}{i} AS MATERIALIZED ({body})")
+        if not floor:
+            parts.append(f"floor AS MATERIALIZED (SELECT CASE WHEN count(*) >= {keep} THEN min(points) ELSE -1e18::BIGINT END AS f FROM (SELECT points FROM k{n - 1} ORDER BY points DESC LIMIT {keep}))")
+    listed = f"SELECT array_to_string(players, ',') AS players, cost, points::BIGINT AS points FROM e{n - 1}"
+    return f"WITH {', '.join(parts)} SELECT players, cost, points, row_number() OVER (ORDER BY points DESC, players)::INT AS rank FROM ({listed}) ORDER BY rank LIMIT {keep}"
+
+
+@query(_full_sql(_FULL_SLOTS, 14000, 2, 30))
 def roster_full(t):
-    """Nine choices with four candidates per cost in the triple slot; the space is too large for plain SQL."""
-    slots = ["PROMO", "PROMO", "PROMO", "SMALL", "ECONOMY", "STANDARD", "LARGE", "MEDIUM"]
-    return roster.top_rosters(_candidates(t, 4), slots, cap=14000, team_limit=2)
+    """Eight picks with four candidates per cost for three of them."""
+    return roster.top_rosters(_candidates(t, 4), _FULL_SLOTS, cap=14000, team_limit=2, keep=30)
 
 
 @query(

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import functions as F
 
+from ..functions import baseball as rules
 from ..operators.joins import missing_keys, upsert
 from ..operators.rollup import fetch_failures, fetch_totals
 from ..operators.shape import one_or_many
@@ -57,8 +59,12 @@ def link_extract(t):
     return web.links(t.pages, "page_id", "url", "html", prefix="/")
 
 
+def _quoted(names) -> str:
+    return ", ".join(f"'{n}'" for n in names)
+
+
 @query(
-    r"""
+    rf"""
     WITH s AS (SELECT page_id, string_split_regex(html, '<(?:title|h1)') AS parts FROM pages),
          h AS (SELECT page_id, unnest(parts) AS part, unnest(range(len(parts))) AS heading_no FROM s),
          i AS (SELECT page_id, heading_no,
@@ -66,8 +72,8 @@ def link_extract(t):
                       regexp_extract_all(part, '<li><a[^>]*>([^<]*)</a></li>', 1) AS items FROM h),
          r AS (SELECT page_id, heading_no, heading, unnest(range(len(items))) AS pos, unnest(items) AS item FROM i)
     SELECT page_id, heading_no::INT AS heading_no, heading, pos::INT AS pos, item,
-           CASE WHEN heading IN ('Pitchers','Catchers','Infielders','Outfielders','Designated Hitters') THEN 'Active'
-                WHEN heading IN ('Disabled List','Minors','Suspended','Bereavement') THEN 'Inactive'
+           CASE WHEN heading IN ({_quoted(rules.ACTIVE_SECTIONS)}) THEN 'Active'
+                WHEN heading IN ({_quoted(rules.INACTIVE_SECTIONS)}) THEN 'Inactive'
                 ELSE 'Unknown' END AS section FROM r
     """
 )
@@ -107,11 +113,13 @@ def one_or_many_explode(t):
     """
 )
 def json_positional_map(t):
-    register({"contest_source": t.part})
+    name = f"contest_source_{uuid.uuid4().hex}"
+    register({name: t.part})
     docs = t.spark.sql(
-        """select concat('{"', p_partkey, '":["', p_type, '","', p_name, '",', p_size, ',', p_retailprice, ']}') as doc
-           from contest_source"""
+        f"""select concat('{{"', p_partkey, '":["', p_type, '","', p_name, '",', p_size, ',', p_retailprice, ']}}') as doc
+           from {name}"""
     )
+    t.spark.catalog.dropTempView(name)
     entries = docs.select(F.explode(positional_entries(F.col("doc"))).alias("entry_key", "v"))
     return entries.select(
         "entry_key", F.get("v", 0).alias("position"), F.get("v", 1).alias("name"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import baseball as rules
 from ..functions.rules import recode
-from ..operators.resolve import literal_lookup, resolve_alias
+from ..operators.resolve import literal_lookup
 from ..operators.shape import conform
 from . import schemas
 
@@ -38,10 +38,6 @@ def read_contest_json(spark: SparkSession, path: str) -> DataFrame:
     return conform(rows, schemas.CONTEST)
 
 
-def canonical_team(players: DataFrame, aliases: DataFrame) -> DataFrame:
-    return resolve_alias(players, "team", aliases, "team_code").withColumn("team", F.col("team_code")).drop("team_code")
-
-
 def eligible_csv(
     position: Column, probable: Column, injury: Column, lineup_status: Column, active: Column
 ) -> Column:

@@ -13,10 +13,6 @@ from pyspark.sql.utils import AnalysisException
 from ..session import materialise, scratch_path
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
 def read_dimension(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """CSV with a header; a bare carriage return ends a line as well.
 
