@@ -301,19 +301,20 @@ class FeatureFilter:
     """A bit set that knows every feature of a lexicon; ``in`` is true for all of them and for few others."""
 
     def __init__(self, lexicon: DataFrame, bits: int = FILTER_BITS):
-        self.bits, self.words = bits, np.zeros(max(1, (1 << bits) // 64), np.uint64)
+        self.mask, words = (1 << bits) - 1, np.zeros(max(1, (1 << bits) // 64), "<u8")
         mask = F.lit((1 << bits) - 1)
         hashed = F.xxhash64("feature")
         places = F.array(hashed.bitwiseAND(mask), F.shiftrightunsigned(hashed, 32).bitwiseAND(mask))
         at = lexicon.select(F.explode(places).alias("place")).select(F.shiftright("place", 6).alias("word"), F.expr("shiftleft(1L, cast(place & 63 as int))").alias("bit"))
         # one row per word of the set at most
         for r in at.groupBy("word").agg(F.bit_or("bit").alias("bit")).toLocalIterator():
-            self.words[r["word"]] = r["bit"] % 2**64
+            words[r["word"]] = r["bit"] % 2**64
+        self.table = words.tobytes()
 
     def __contains__(self, feature: str) -> bool:
         hashed = xxhash.xxh64_intdigest(feature.encode("utf-8", "surrogatepass"), 42)
-        mask = (1 << self.bits) - 1
-        return all(int(self.words[place >> 6]) >> (place & 63) & 1 for place in (hashed & mask, hashed >> 32 & mask))
+        one, two = hashed & self.mask, hashed >> 32 & self.mask
+        return bool(self.table[one >> 3] >> (one & 7) & self.table[two >> 3] >> (two & 7) & 1)
 
 
 class Readings:
@@ -337,7 +338,7 @@ class Readings:
                 new = distinct
             for t in new:
                 self.seen[t] = self.features(self.restorer.words(t))
-        found = [(t, *pair) for t in sorted(distinct) for pair in self.seen[t]]
+        found = [(t, *pair) for t in distinct if self.seen[t] for pair in self.seen[t]]
         return found + [(f" {word}", word, f) for word, f in self.features(self.restorer.spaced(tokens))]
 
 
