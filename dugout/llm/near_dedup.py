@@ -6,8 +6,10 @@ tables of 2 * ROWS minhashes each cost only 2 * HALVES * ROWS minhashes.  At the
 meets in some table with probability (1 - (1 - 0.75 ** ROWS) ** HALVES) ** 2, 0.995 with the defaults.
 
 Half keys that only one document has cannot meet and are dropped before pairs are formed; documents with equal
-shingle sets are one node.  In each table cell every node is compared with the smallest and the largest node
-(two pairs per entry, however large the cell).  Components that then still share a cell with others go through
+shingle sets are one node.  In each table cell every node is compared with the one that shares most cells with others, and
+where that leaves several components with the one that shares fewest (two pairs per entry at most, however large the
+cell; near copies have the same few nodes for most of their cells).  New links join the components found before, of which
+only those that they touch are followed again.  Components that then still share a cell with others go through
 an exact prefix join across components (two sets that are similar enough share one of the first n - ceil(0.75 n)
 + 1 shingles of any common order, and behind the first shared one both rests must be long enough; frequent
 shingles come last in that order; and the parities of the shingles in 256 classes may differ in no more classes than two such
@@ -175,16 +177,19 @@ def parities(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def _with_labels(entries: DataFrame, links: DataFrame) -> DataFrame:
-    labels = connected_components(links)
-    return entries.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The rows (node, label, ...) with the labels that hold after more links; only links between different labels are followed."""
+    a, b = (labels.select(F.col("node").alias(c), F.col("label").alias(f"label_{c}")) for c in "ab")
+    between = links.join(a, "a").join(b, "b").filter("label_a <> label_b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
+    moved = connected_components(between).select(F.col("node").alias("label"), F.col("label").alias("to"))
+    return labels.join(moved, "label", "left").withColumn("label", F.coalesce("to", "label")).select(*labels.columns)
 
 
 def star_pairs(labelled: DataFrame, pivot) -> DataFrame:
-    """Pairs (a, b): in each cell the first node of every component with the least or greatest (``pivot``) of them."""
-    spots = labelled.groupBy("cell", "label").agg(F.min("node").alias("node"))
-    ends = spots.groupBy("cell").agg(pivot("node").alias("end"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    met = spots.join(ends, "cell").filter("node <> end")
+    """Pairs (a, b): in each cell the node of every component that shares most cells, with the least or greatest (``pivot``) of them."""
+    spots = labelled.groupBy("cell", "label").agg(F.max(F.struct("shared", (-F.col("node")).alias("node"))).alias("spot"))
+    ends = spots.groupBy("cell").agg(pivot("spot").alias("end"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("cell", (-F.col("end.node")).alias("end"))
+    met = spots.select("cell", (-F.col("spot.node")).alias("node")).join(ends, "cell").filter("node <> end")
     return met.select(F.least("node", "end").alias("a"), F.greatest("node", "end").alias("b")).distinct()
 
 
@@ -266,18 +271,19 @@ def near_duplicates(
     entries = materialise(entries.join(shared, "cell", "left_semi"), "cells")
     sets = materialise(shingle_rows(docs, entries.select("node").distinct(), id_col, text_col, words), "sets")
 
-    labelled, links, compared = entries.withColumn("label", F.col("node")), None, None
-    for pivot in (F.min, F.max):
+    labels = entries.groupBy("node").agg(F.count(F.lit(1)).alias("shared")).select("node", F.col("node").alias("label"), "shared")
+    labels, compared = materialise(labels, "labels"), None
+    for pivot in (F.max, F.min):
+        labelled = materialise(entries.join(labels, "node"), "labelled")
         star = star_pairs(labelled, pivot)
         star = materialise(star if compared is None else star.join(compared, ["a", "b"], "left_anti"), "star")
-        found = materialise(confirm(star, nodes, sets, percent), "links")
-        links, compared = (found, star) if links is None else (links.union(found), compared.union(star))
-        labelled = materialise(_with_labels(entries, links), "labelled")
+        compared = star if compared is None else compared.union(star)
+        labels = materialise(merged(labels, materialise(confirm(star, nodes, sets, percent), "links")), "labels")
+    labelled = materialise(entries.join(labels, "node"), "labelled")
     members = labelled.select("node", "label").distinct().join(open_labels(labelled), "label", "left_semi")
     rest = _prefix_pairs(materialise(members, "open"), sets, percent).join(compared, ["a", "b"], "left_anti")
-    links = materialise(links.union(confirm(rest, nodes, sets, percent)), "all-links")
+    labels = merged(labels, materialise(confirm(rest, nodes, sets, percent), "links")).select("node", "label")
 
-    labels = connected_components(links).select("node", "label")
     joined = named.join(labels, "node", "left")
     component = F.coalesce("label", "node", "id")
     return joined.select("id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn("kept", F.col("id").eqNullSafe(F.col("component_id")))

@@ -106,3 +106,41 @@ def test_few_pairs_of_one_text_s_variants_meet(spark, monkeypatch):
         assert sum(r["component_id"] == want[r["id"]] for r in got) >= 0.98 * n
     # of 179,700 pairs of the larger table
     assert met[1] < 1_000
+
+
+def test_links_are_followed_once(spark, monkeypatch):
+    followed, found = [], []
+    components, confirmed = near_dedup.connected_components, near_dedup.confirm
+
+    def counted(links):
+        followed.append(links.count())
+        return components(links)
+
+    def links_of(*args):
+        found.append(near_dedup.materialise(confirmed(*args), "counted"))
+        return found[-1]
+
+    monkeypatch.setattr(near_dedup, "connected_components", counted)
+    monkeypatch.setattr(near_dedup, "confirm", links_of)
+    random.seed(5)
+    words = [f"w{i}" for i in range(5000)]
+    base, table = random.choices(words, k=120), []
+    for i in range(300):
+        text = list(base)
+        for _ in range(random.randint(1, 3)):
+            text[random.randrange(120)] = random.choice(words)
+        table.append((i, " ".join(text)))
+    near_dedup.near_duplicates(documents(spark, table)).count()
+    assert len(followed) == 3 and sum(followed) <= sum(links.count() for links in found)
+    # a link found later counts only where it joins two components
+    assert sum(followed[1:]) < 300
+
+
+def test_merged_labels(spark):
+    random.seed(9)
+    first, later = ([(random.randrange(80), random.randrange(80)) for _ in range(n)] for n in (30, 25))
+    labels = spark.createDataFrame([(i, i, 7) for i in range(80)], "node long, label long, shared long")
+    for links in (first, [], later):
+        labels = near_dedup.merged(labels, spark.createDataFrame(links, "a long, b long"))
+    assert {r["node"]: r["label"] for r in labels.collect()} == closure(range(80), first + later)
+    assert labels.columns == ["node", "label", "shared"] and labels.filter("shared = 7").count() == 80
