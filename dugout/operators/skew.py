@@ -5,14 +5,14 @@ table that task never ends, so the helpers here deal the rows out by ranges of (
 the number of their segment and their place in it.  A window then runs per key and segment, and what it needs from
 the segments before comes from a small table with one row per segment edge.  There is one form for tables of any size.
 
-One sampled pass cuts the ranges and one writes them.  Nothing is counted first: there are as many segments as the session has shuffle partitions,
-fewer where adaptive execution puts small ones together, so they are as large as any other partition.  Rows with equal
+One sampled pass cuts the ranges and one writes them.  Nothing is counted first: there are as many ranges as the session has shuffle partitions,
+fewer where adaptive execution puts small ones together, so they are as large as any other partition.  A range is one segment
+or, where smaller ones are asked for, several by place; so the number of tasks does not depend on their size.  Rows with equal
 keys and order are cut like others, by their place in the input.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from ..session import materialise
 
 SEGMENT, PLACE = "__segment", "__place"
-_WITHIN = (1 << 33) - 1
+_PLACE_BITS = 33
+_WITHIN = (1 << _PLACE_BITS) - 1
 
 
 def segmented(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_segment: int | None = None) -> DataFrame:
@@ -29,14 +30,18 @@ def segmented(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per
 
     Storing fixes the cuts: every later branch and every repeated task sees the same ones.  ``df`` is read twice, to
     sample the ranges and to deal it out, so it should be a stored table where it is dear to compute.  With
-    ``rows_per_segment`` it is counted as well and cut into segments of about that many rows.
+    ``rows_per_segment`` each range is cut into segments of that many rows and one of the rest.
     """
     by = [*[F.col(c) for c in dict.fromkeys([*keys, *order])], F.col("__tie")]
     tied = df.withColumn("__tie", F.monotonically_increasing_id())
-    parts = [] if rows_per_segment is None else [max(1, math.ceil(df.count() / rows_per_segment))]
-    dealt = tied.repartitionByRange(*parts, *by).sortWithinPartitions(*by).drop("__tie")
-    place = F.monotonically_increasing_id().bitwiseAND(_WITHIN)
-    return materialise(dealt.withColumns({SEGMENT: F.spark_partition_id(), PLACE: place}), "segments")
+    dealt = tied.repartitionByRange(*by).sortWithinPartitions(*by).drop("__tie")
+    # the number of the range above the place in it
+    number = dealt.withColumn(PLACE, F.monotonically_increasing_id())
+    segment, place = F.shiftright(PLACE, _PLACE_BITS), F.col(PLACE).bitwiseAND(_WITHIN)
+    if rows_per_segment is not None:
+        cut = F.floor(place / F.lit(rows_per_segment)).cast("long")
+        segment, place = F.col(PLACE) - place + cut, place % rows_per_segment
+    return materialise(number.withColumns({SEGMENT: segment, PLACE: place}), "segments")
 
 
 def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:

@@ -120,3 +120,15 @@ def test_frontier_and_counts_equal_enumeration(spark, seed):
         assert tuple(row) == (len(picks), len(over), len(crowded), len(picks) - len(over) - len(crowded))
     assert frontier.cost_frontier(df.limit(0), ["OF", "SS"], 1000).count() == 0
     assert tuple(frontier.count_rosters(df.limit(0), ["OF", "SS"], 1000, 2).first()) == (0, 0, 0, 0)
+
+
+def test_small_segments_make_no_more_tasks(spark):
+    df = spark.range(6_000).selectExpr("id % 3 AS k", "id AS o")
+    rows = skew.segmented(df, ["k"], ["o"], rows_per_segment=10)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(rows.inputFiles()) <= tasks
+    sizes = [r["count"] for r in rows.groupBy(skew.SEGMENT).count().collect()]
+    assert max(sizes) == 10 and 600 <= len(sizes) <= 600 + tasks
+    spans = sorted((r["lo"], r["hi"], r["segment"]) for r in rows.selectExpr("k * 10000 + o AS at", f"{skew.SEGMENT} AS segment").groupBy("segment").agg(F.min("at").alias("lo"), F.max("at").alias("hi")).collect())
+    assert all(a[1] < b[0] and a[2] < b[2] for a, b in zip(spans, spans[1:]))
+    assert rows.filter(f"{skew.PLACE} >= 10 OR {skew.PLACE} < 0").count() == 0
