@@ -154,9 +154,9 @@ _INNING = f"struct<num:string,top:{_HALF},bottom:{_HALF}>"
 def game_events(docs: DataFrame) -> DataFrame:
     """At-bats and actions of every half inning, without the deny-listed ones, with their event codes."""
     node = F.get_json_object("doc", "$.data.game.inning")
-    # a single object instead of a list of innings is a game that never started
-    innings_ = docs.withColumn("node", node).filter(F.ltrim("node").startswith("["))
-    per_inning = innings_.select("game_id", "game_date", F.explode(one_or_many(F.col("node"), _INNING)).alias("i"))
+    # a single object instead of a list of innings is a game that never started; not a filter, which would take the node out of the document again
+    listed = F.when(F.ltrim("node").startswith("["), one_or_many(F.col("node"), _INNING))
+    per_inning = docs.withColumn("node", node).select("game_id", "game_date", F.explode(listed).alias("i"))
     halves = F.array(*[F.struct(F.lit(h).alias("top_bottom"), F.col(f"i.{h}").alias("half")) for h in ("top", "bottom")])
     per_half = (
         per_inning.select("game_id", "game_date", F.col("i.num").alias("inning"), F.explode(halves).alias("h"))
@@ -176,11 +176,14 @@ def game_events(docs: DataFrame) -> DataFrame:
         is_action, denied(F.col("event"), rules.ACTION_DENY, rules.ACTION_DENY_PREFIXES)
     ).otherwise(denied(F.col("event"), rules.AT_BAT_DENY))
     kept = events.filter(~dropped)
-    at_bats = kept.filter(~is_action)
-    actions = re_role(kept.filter(is_action), "event", "player", ["Wild Pitch"]).withColumn(
-        "start_tfs_zulu", F.col("tfs_zulu")
+    # one pass over the documents: at-bats keep the roles that they name, actions get theirs
+    named = ("num", "pitcher", "batter")
+    actors = kept.withColumns({f"__{c}": F.col(c) for c in named} | {"player": F.when(is_action, F.col("player"))})
+    roles = re_role(actors, "event", "player", ["Wild Pitch"])
+    rows = roles.withColumns(
+        {c: F.when(is_action, F.col(c).cast("string")).otherwise(F.col(f"__{c}")) for c in named}
+        | {"start_tfs_zulu": F.when(is_action, F.col("tfs_zulu")).otherwise(F.col("start_tfs_zulu"))}
     )
-    rows = at_bats.unionByName(actions.select(*[F.col(c).cast("string") if c in ("num", "pitcher", "batter") else F.col(c) for c in at_bats.columns]))
     return conform(
         rows.select(
             "game_id", "game_date", "inning", "top_bottom",

@@ -223,3 +223,14 @@ def test_scratch_needs_a_shared_folder_off_a_local_master(spark):
     assert scratch_path(Session, "x", "hdfs://shared/").startswith("hdfs://shared/x-")
     Session.conf["spark.checkpoint.dir"] = "hdfs://other"
     assert scratch_path(Session, "x").startswith("hdfs://other/x-")
+
+
+def test_events_are_read_in_one_pass_over_the_documents(spark):
+    inning = '{"num":"1","top":{"atbat":{"event":"Walk","pitcher":"5","batter":"6","num":"1","player":"x"},"action":[{"event":"Wild Pitch","player":"7","tfs_zulu":"2016-05-01T23:00:00Z"},{"event":"Stolen Base 2B","player":"8"}]}}'
+    doc = F.concat(F.lit('{"data":{"game":{"inning":'), F.when(F.col("id") == 0, F.lit(inning)).otherwise(F.lit(f"[{inning}]")), F.lit("}}}"))
+    docs = spark.range(2).select(F.concat(F.lit("gid_"), "id").alias("game_id"), F.to_date(F.lit("2016-05-01")).alias("game_date"), doc.alias("doc"))
+    events = games.game_events(docs)
+    plan = events._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (") == 1 and plan.count("get_json_object") == 1
+    got = {(r["game_id"], r["fd_batter_event"], r["pitcher"], r["batter"], r["num"], r["start_tfs_zulu"] is None) for r in events.collect()}
+    assert got == {("gid_1", "W", 5, 6, 1, True), ("gid_1", "WP", 7, -1, -1, False), ("gid_1", "SB", -1, 8, -1, True)}
