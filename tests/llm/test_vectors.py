@@ -155,3 +155,63 @@ def test_hard_negative_edge_cases(spark):
     assert hard.mine(table(spark, []), "label", F.col("vec_id") % 10 == 0).collect() == []
     assert hard.mine(table(spark, rows[12:18]), "label", F.lit(True)).collect() == []
     assert hard.mine(table(spark, rows), "label", F.lit(None).cast("boolean")).collect() == []
+
+
+def dealt_out(plan):
+    """Bytes that the exchanges of an executed plan have dealt out."""
+    below = sum(dealt_out(plan.children().apply(i)) for i in range(plan.children().size()))
+    return below + (plan.metrics().apply("dataSize").value() if plan.nodeName() == "Exchange" else 0)
+
+
+def test_packs_are_not_copied_for_every_block(spark, monkeypatch):
+    vectors, labels, total, stored = clusters(8, 2000, 24), np.random.default_rng(2).integers(0, 4, 2000), [], hard.materialise
+    rows = [(i, v.tolist(), int(l)) for i, (v, l) in enumerate(zip(vectors, labels))]
+
+    def counted(df, name):
+        df.collect()
+        total[-1] += dealt_out(df._jdf.queryExecution().executedPlan())
+        return stored(df, name)
+
+    monkeypatch.setattr(hard, "materialise", counted)
+    adaptive, want = spark.conf.get("spark.sql.adaptive.enabled"), brute_hard(rows, 10)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for size in (640, 64):
+            total.append(0)
+            got = hard.mine(table(spark, rows), "label", F.col("vec_id") % 10 == 0, block_values=24 * size, pack_rows=16)
+            assert sorted(tuple(r) for r in got.collect()) == want
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    # ten times the blocks are the same anchors and candidates
+    assert total[1] <= 1.2 * total[0]
+
+
+def test_cells_of_any_size_give_the_same(spark):
+    for seed, scale, kept in ((1, 0.2, 0), (2, 30, 0), (3, 1e5, 0), (4, 1e300, 0.5), (5, 1, 0.5)):
+        random = np.random.default_rng(seed)
+        vectors = random.standard_normal((250, 37)) * np.where(random.random((250, 1)) < kept, 1, scale)
+        vectors[random.random(250) < 0.2] = vectors[0]
+        rows = [(i // 2 if i % 5 == 0 else i, v[: 37 - i % 3].tolist(), i % 3) for i, v in enumerate(vectors)]
+        got = hard.mine(table(spark, rows), "label", F.col("vec_id") % 4 == 0, block_values=37 * 30, pack_rows=9, held_bytes=30_000, cell_pairs=2_000, shares=3)
+        assert sorted(tuple(r) for r in got.collect()) == brute_hard(rows, 4)
+
+
+def test_few_entries_wait_in_heaps_however_many_scores_are_equal():
+    low, high = np.full((3, 2), -5), np.array([[5, 2], [5, 2], [5, -9]])
+    heaps, random = hard.Heaps(low, high, 4), np.random.default_rng(6)
+    scores, ids = random.integers(-8, 8, (3, 4000)), random.permutation(4000)
+    for block in np.array_split(np.arange(4000), 3):
+        block = block[np.argsort(ids[block])]
+        heaps.offer(scores[:, block].astype(np.float32), ids[block], lambda at, column: np.ones(np.broadcast(at, column).shape, bool), hard.Room())
+        assert heaps.waits <= 200
+    batch = heaps.batch(np.arange(3))
+    for i in range(3):
+        want = [sorted((-s, j) for s, j in zip(scores[i].tolist(), ids.tolist()) if -5 <= s <= h)[:4] for h in high[i]]
+        assert np.frombuffer(batch["n"][i].as_py(), np.int32).tolist() == [len(w) for w in want]
+        assert np.frombuffer(batch["ids"][i].as_py(), np.int64).tolist() == [j for w in want for _, j in w]
+
+
+def test_strassen_of_odd_sides_and_integers_of_any_size():
+    random = np.random.default_rng(7)
+    a, b = (random.integers(-9, 9, s).astype(object) * 10**200 for s in ((35, 37), (37, 33)))
+    assert (hard.strassen(a, b, 8) == a @ b).all()
