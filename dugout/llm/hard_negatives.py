@@ -9,7 +9,8 @@ around in between and the result is right wherever it fits 64 bits.  Where it mi
 A *cell* is the work of one task: a group of anchors, held in memory with their heaps, and a share of the candidates, which
 stream by once in blocks.  Heaps live as long as the cell, so most products are only compared with what the heaps still take, and
 a task hands on at most one full heap per anchor and place, however many blocks went by.  Anchors are copied once per share
-(at most ``SHARES``), candidates once per group of anchors (``GROUPS``, or as many as fill ``HELD_BYTES`` each); neither is copied per pack or block.
+(at most ``SHARES``), candidates once per group of anchors (one that fills ``HELD_BYTES``; in the second pass ``GROUPS`` at least,
+where the work is worth as many tasks); neither is copied per pack or block.
 
 Candidates are dealt by a hash of their label into ``LABEL_PARTS`` parts.  A first pass has cells within parts, which hold all
 rows of the anchors' labels, and keeps the best ``positives``; heaps of one anchor merge by its row number.  A second pass takes
@@ -45,7 +46,7 @@ SCALE = 256
 LABEL_PARTS = 64
 LEAF = 32
 #: Anchors and heaps that a task holds, pairs worth a task of their own, shares of the candidates at most, and groups of anchors
-#: that are made for more tasks (heaps that start anew in every share cost more than copies of the candidates).
+#: that the second pass makes for more tasks (its heaps that start anew in every share cost more than copies of the candidates).
 HELD_BYTES = 200 << 20
 CELL_PAIRS = 1 << 30
 SHARES = 12
@@ -448,7 +449,7 @@ def mine(
         """Merged heaps of anchors; sizes: rows and anchors of each part."""
         held = max(pack_rows, held_bytes // (8 * dim + places * (16 * k + 48)))
         tasks = [parts(n * a, cell_pairs) for n, a in sizes]
-        groups = [max(parts(a, held), min(least_groups, t)) if a else 0 for (_, a), t in zip(sizes, tasks)]
+        groups = [max(parts(a, held), 1 if same else min(least_groups, t)) if a else 0 for (_, a), t in zip(sizes, tasks)]
         dealt_in = [min(shares, parts(t, max(g, 1))) for t, g in zip(tasks, groups)]
         first = np.cumsum([0, *(g * d for g, d in zip(groups, dealt_in))]).tolist()
         keys = F.lit(_keys(spark, first[-1])).cast("array<long>")
