@@ -117,12 +117,18 @@ def strassen(a: np.ndarray, b: np.ndarray, leaf: int = LEAF, room: Room | None =
     return out
 
 
-def _joined(values: pa.BinaryArray, kind) -> np.ndarray:
+def _bounds(values: pa.Array) -> np.ndarray:
+    """Where the rows of a binary column begin and end."""
+    kind = np.int64 if pa.types.is_large_binary(values.type) else np.int32
+    return np.frombuffer(values.buffers()[1], kind)[values.offset : values.offset + len(values) + 1]
+
+
+def _joined(values: pa.Array, kind) -> np.ndarray:
     """All bytes of a binary column as numbers."""
-    _, offsets, data = values.buffers()
-    bounds = np.frombuffer(offsets, np.int32)[values.offset : values.offset + len(values) + 1]
+    data = values.buffers()[2]
     if data is None or not len(values):
         return np.zeros(0, kind)
+    bounds = _bounds(values)
     return np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]].copy().view(kind)
 
 
@@ -144,9 +150,9 @@ def _packed(vectors: np.ndarray, scale: int) -> tuple[np.ndarray, int]:
     return (whole.astype(np.int64), 8) if top < 2**52 else (vectors, 0)
 
 
-def _unpacked(vectors: pa.BinaryArray, widths: np.ndarray, dim: int, scale: int) -> np.ndarray:
+def _unpacked(vectors: pa.Array, widths: np.ndarray, dim: int, scale: int) -> np.ndarray:
     """Whole-number vectors as the rows of a matrix: the least integer type that holds all, else integers of any size."""
-    lengths = np.diff(np.frombuffer(vectors.buffers()[1], np.int32)[vectors.offset : vectors.offset + len(vectors) + 1])
+    lengths = np.diff(_bounds(vectors))
     out = np.zeros((len(widths), dim), object if (widths == 0).any() else f"i{widths.max()}")
     for width, length in set(zip(widths.tolist(), lengths.tolist())):
         at = np.flatnonzero((widths == width) & (lengths == length))
@@ -417,7 +423,7 @@ def mine(
     """One row per anchor, positive and rank: anchor_id, positive_id, rank, negative_id, positive_score, negative_score."""
     spark = vectors.sparkSession
     label = (F.col(label) if isinstance(label, str) else label).cast("string")
-    kind = vectors.schema[vector_col].dataType
+    kind = vectors.select(vector_col).schema[0].dataType
     floats = isinstance(kind, T.ArrayType) and isinstance(kind.elementType, (T.FloatType, T.DoubleType))
     vector = F.col(vector_col) if floats else F.col(vector_col).cast("array<double>")
     usable = vectors.select(F.col(id_col).cast("long").alias("id"), vector.alias("vector"), label.alias("label"), F.coalesce(is_anchor, F.lit(False)).alias("is_anchor"))
